@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,13 +46,21 @@ def tiered_fee(
     minimum: float = MIN_FEE,
 ) -> Column:
     """Brokerage: the first tier whose bound holds the base-currency gross
-    picks the rate (bp), applied to the local gross; at least ``minimum``."""
+    picks the rate (bp), applied to the local gross; at least ``minimum``.
+
+    With a decimal gross the arithmetic stays exact decimal (the rate is a
+    decimal fraction), so half-cent ties round the same on every engine.
+    """
     g = _c(gross_amount)
     b = g if base_amount is None else _c(base_amount)
-    bp = F.lit(tiers[-1][1])
+
+    def frac(bp: float) -> Column:
+        return F.lit(Decimal(str(bp)) / Decimal(10_000))
+
+    rate = frac(tiers[-1][1])
     for cap, r in reversed(list(tiers[:-1])):
-        bp = F.when(b <= cap, F.lit(r)).otherwise(bp)
-    return F.round(F.greatest(F.lit(minimum), g * bp / 10_000), 2)
+        rate = F.when(b <= F.lit(Decimal(str(cap))), frac(r)).otherwise(rate)
+    return F.round(F.greatest(F.lit(Decimal(str(minimum))), g * rate), 2)
 
 
 def accrued_interest(nominal: str | Column, coupon_rate: str | Column, last_coupon: str | Column, day: str | Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkbook.functions.keys import stable_hash64
+from sparkbook.session import checkpoint_root
 
 # The identifiers planted by the orphan defects.
 ORPHAN_ISIN = "XX0000000000"
@@ -39,10 +40,17 @@ def duplicate_row(df: DataFrame, id_col: str) -> DataFrame:
 
 
 def replace_in_row(df: DataFrame, id_col: str, changes: dict[str, Column]) -> DataFrame:
-    """Swap exactly one occurrence of the victim for a modified copy."""
+    """Swap exactly one occurrence of the victim for a modified copy.
+
+    The injected table is materialised (reliable checkpoint under the shared
+    checkpoint root, never the clean location): downstream checks then plan
+    against a plain table instead of pushing joins into a branch whose key
+    became a constant (which would turn an equi-join into a nested loop).
+    """
     v = victim(df, id_col)
     changed = v.withColumns(changes).select(*df.columns)
-    return df.exceptAll(v).unionByName(changed)
+    checkpoint_root(df.sparkSession)
+    return df.exceptAll(v).unionByName(changed).checkpoint(eager=True)
 
 
 def remove_row(df: DataFrame, id_col: str, refuse_empty: bool = True) -> DataFrame:

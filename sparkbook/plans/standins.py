@@ -43,8 +43,12 @@ def book_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
-    x = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
-    x = x.join(p, li.l_partkey == p.p_partkey)
+    # orders is as large as the facts: shuffle join. customer and part are
+    # dimensions: the planner broadcasts them only when their measured size
+    # (file statistics, then AQE's runtime shuffle statistics) is under the
+    # broadcast threshold, with no extra counting job
+    x = li.join(o, li.l_orderkey == o.o_orderkey)
+    x = x.join(c, F.col("o_custkey") == c.c_custkey).join(p, li.l_partkey == p.p_partkey)
     return x.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id"),
         F.col("c_nationkey").cast("bigint").alias("account_id"),
@@ -87,10 +91,12 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounds are two scalars read once (one column of one table); the
+    calendar itself is then built from literals, so every later size check
+    or broadcast of it costs nothing upstream."""
     li = table(spark, sf_dir, "lineitem")
-    bounds = li.agg(
-        F.min("l_shipdate").cast("date").alias("start_date"), F.max("l_shipdate").cast("date").alias("end_date")
-    )
+    lo, hi = li.agg(F.min("l_shipdate").cast("date"), F.max("l_shipdate").cast("date")).first()
+    bounds = spark.range(1).select(F.lit(lo).alias("start_date"), F.lit(hi).alias("end_date"))
     closed = cal.fixed_holidays(bounds, CLOSING_MONTH_DAYS)
     return cal.trading_calendar(bounds, closed)
 

@@ -273,8 +273,55 @@ def q_stratified_sample(spark, d):
     return SM.stratified_sample(p, "p_type", "p_partkey", "p_retailprice", 5).select("p_type", "p_partkey")
 
 
-@register("q_portfolio_value", None)
+_VALUED_DEC = {
+    "vdec": """select b.account_id, b.business_date, b.is_last_trading_day_of_month,
+        case p.price_convention when 'percent_of_par'
+          then round(b.closing_quantity * v.nominal_value_per_unit * p.price * 0.01, 2)
+          else round(b.closing_quantity * p.price * coalesce(v.price_multiplier, 1), 2) end as mv
+      from book b left join prices_filled p on b.isin = p.isin and b.business_date = p.business_date
+      left join brand_versions v on b.isin = v.isin and b.business_date >= v.valid_from and b.business_date <= v.valid_to""",
+    "pv": "select account_id, business_date, sum(mv) as pv from vdec where is_last_trading_day_of_month "
+          "group by account_id, business_date",
+}
+
+
+def _pv_sql(body):
+    from sparkbook.plans.q_positions import _PRICES_FILLED, book_sql
+    return book_sql(body, "prices", "brand_versions", extra={**_PRICES_FILLED, **_VALUED_DEC})
+
+
+def portfolio_value(spark, d):
+    v = valued_book(spark, d, exact=True).filter("is_last_trading_day_of_month")
+    return v.groupBy("account_id", "business_date").agg(F.sum("market_value_local").alias("pv"))
+
+
+@register("q_portfolio_value", _pv_sql(
+    "select account_id, business_date, cast(pv as double) as portfolio_value from pv"))
 def q_portfolio_value(spark, d):
-    """Portfolio value per account at each month-end session."""
-    v = valued_book(spark, d).filter("is_last_trading_day_of_month")
-    return v.groupBy("account_id", "business_date").agg(F.sum("market_value_local").alias("portfolio_value"))
+    """Portfolio value per account at each month-end session (exact sum)."""
+    return portfolio_value(spark, d).select("account_id", "business_date",
+                                            F.col("pv").cast("double").alias("portfolio_value"))
+
+
+@register("q_periodic_fees", _pv_sql(
+    "select pv.account_id, pv.business_date, cast(round(pv.pv * 0.000625, 2) as double) as custody_fee, "
+    "cast(case when pv.account_id % 2 = 0 then round(pv.pv * 0.00225, 2) else 0 end as double) as management_fee "
+    "from pv join (select calendar_date from (select calendar_date, row_number() over (partition by "
+    "date_trunc('quarter', calendar_date) order by calendar_date desc) as rq from calendar where is_trading_day) q "
+    "where rq = 1) qe on qe.calendar_date = pv.business_date"))
+def q_periodic_fees(spark, d):
+    """Quarter-end custody (25 bp/yr) on holdings for every account and
+    management (90 bp/yr) for discretionary (stand-in: even) accounts, /4."""
+    from decimal import Decimal
+
+    from sparkbook.functions.finance import CUSTODY_BP, MANAGEMENT_BP
+    from sparkbook.operators.calendar import session_flags
+    qe = session_flags(S.calendar(spark, d)).filter("is_quarter_last_session").select(
+        F.col("calendar_date").alias("business_date"))
+    pv = portfolio_value(spark, d).join(broadcast_if_small(qe), "business_date")
+    cust = F.lit(Decimal(str(CUSTODY_BP)) / Decimal(40000))
+    mgmt = F.lit(Decimal(str(MANAGEMENT_BP)) / Decimal(40000))
+    return pv.select("account_id", "business_date",
+                     F.round(F.col("pv") * cust, 2).cast("double").alias("custody_fee"),
+                     F.when(F.col("account_id") % 2 == 0, F.round(F.col("pv") * mgmt, 2)).otherwise(F.lit(0))
+                     .cast("double").alias("management_fee"))

@@ -119,8 +119,9 @@ _VALUED = {
 }
 
 
-def valued_book(spark, d, quantity_basis="units"):
-    """fct_position_daily: dense book + carried prices + version + market value."""
+def valued_book(spark, d, quantity_basis="units", exact=False):
+    """fct_position_daily: dense book + carried prices + version + market value
+    (``exact`` keeps the value decimal for exact downstream sums)."""
     mv = S.movements(spark, d)
     dates = S.dates(spark, d)
     book = pos.position_book(mv, dates, BOOK_KEYS)
@@ -133,7 +134,7 @@ def valued_book(spark, d, quantity_basis="units"):
         "account_id", "isin", "instrument_version_sk", "closing_quantity", "price",
         pos.market_value(F.col("closing_quantity"), F.col("price"), F.col("price_convention"),
                          F.col("nominal_value_per_unit"), F.col("price_multiplier"), quantity_basis)
-        .cast("double").alias("market_value_local"),
+        .cast("decimal(38,2)" if exact else "double").alias("market_value_local"),
         "price_currency", "price_source", "is_last_trading_day_of_month", "business_date",
     )
 

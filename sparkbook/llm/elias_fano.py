@@ -176,10 +176,10 @@ class Level:
 
 
 def quantised(logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """8-bit codes and their 256 values: bins of equal count, each standing for its mean."""
+    """8-bit codes and their 256 values, the means of bins: edges half of equal count, half of equal width, so that rare values keep their place too."""
     if not len(logp):
         return np.zeros(0, np.uint8), np.zeros(256, np.float32)
-    edges = np.unique(np.quantile(logp, np.linspace(0, 1, 257)[1:-1]))
+    edges = np.unique(np.concatenate([np.quantile(logp, np.linspace(0, 1, 128)[1:-1]), np.linspace(logp.min(), logp.max(), 131)[1:-1]]))
     codes = np.searchsorted(edges, logp, "right").astype(np.uint8)
     n = np.bincount(codes, minlength=256)
     return codes, (np.bincount(codes, logp, 256) / np.maximum(n, 1)).astype(np.float32)

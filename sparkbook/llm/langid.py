@@ -70,8 +70,8 @@ def subwords(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]
             if m <= 0:
                 break
             h = (h[:m] ^ (h[:m] >> np.uint32(15))) * np.uint32(0x85EBCA6B) + c[n - 1 :] * np.uint32(0xC2B2AE35)
-            inside = inside[:m] & ~ends[n - 2 : n - 2 + m] if n > 2 else inside[:m]
-            good = inside & (own[:m] == own[n - 1 :]) & ~(ends[:m] & ends[n - 1 :] if n == 2 else False)
+            inside = inside[:m] if n == 2 else inside[:m] & ~ends[n - 2 : n - 2 + m]  # no word end between the first and the last
+            good = inside & (own[:m] == own[n - 1 :]) & ~(ends[:m] & ends[n - 1 :])
             good[n_here:] = False
             mixed = (h ^ (h >> np.uint32(16))) * np.uint32(0x27D4EB2F)
             yield (mixed >> np.uint32(32 - BITS))[good], own[:m][good]

@@ -226,7 +226,7 @@ def scores(docs: DataFrame, mu: float = MU, size: int = BATCH, keep_levels: bool
                     number[own == p["shard"]], count[own == p["shard"]] = unpacked(p["blob"], 2)
                 p1 = np.log10((count + ADD) / norm) if norm else np.zeros(len(h))
                 doc = np.repeat(np.arange(len(sizes)), sizes)
-                base = np.bincount(doc, p1[tokens], len(sizes))
+                base = np.bincount(doc, p1[tokens], len(sizes)).astype(float)
                 known = np.bincount(doc, count[tokens] > 0, len(sizes)).astype(np.int64)
                 first = np.concatenate([[True], doc[1:] != doc[:-1]])
                 prev = np.concatenate([tokens[:1], tokens[:-1]])
@@ -235,7 +235,7 @@ def scores(docs: DataFrame, mu: float = MU, size: int = BATCH, keep_levels: bool
                 total = np.where(first, start_total, count[prev])
                 ask_ = (number[tokens] > 0) & (total > 0)
                 here = np.where(total > 0, np.log10(mu / (total + mu)), 0.0) + p1[tokens]
-                score = np.bincount(doc[~ask_], here[~ask_], len(sizes))
+                score = np.bincount(doc[~ask_], here[~ask_], len(sizes)).astype(float)  # an empty count is of whole numbers
                 # What is asked: distinct (context, word) with training count and the documents they occur in.
                 left, right = np.where(first, len(h), prev)[ask_], tokens[ask_]
                 key, back = np.unique(left * (len(h) + 1) + right, return_inverse=True)

@@ -74,7 +74,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
-def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int = GRADES, steps: int = STEPS, ridge: float = 2e-4) -> Ordinal:
+def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int = GRADES, steps: int = STEPS, ridge: float = 1e-3) -> Ordinal:
     """Maximum likelihood by Adam; thresholds stay ordered because their gaps are exponentials."""
     if not rows:
         even = np.arange(1, grades) / grades

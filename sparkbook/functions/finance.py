@@ -22,15 +22,17 @@ def _c(c: str | Column) -> Column:
 
 
 def gross(quantity: str | Column, price: str | Column, convention: str | Column) -> Column:
-    """Consideration: percent-of-par prices apply to the nominal quantity."""
+    """Consideration in cents: percent-of-par prices apply to the nominal quantity."""
     q, p = _c(quantity), _c(price)
-    return F.when(_c(convention) == "percent_of_par", q * p / 100).otherwise(q * p)
+    return F.when(_c(convention) == "percent_of_par", F.round(q * p / 100, 2)).otherwise(F.round(q * p, 2))
 
 
-def lot_floor(budget: str | Column, price: str | Column, step: str | Column) -> Column:
-    """Largest multiple of the dealing step affordable with the budget."""
-    units = F.floor(_c(budget) / _c(price) / _c(step))
-    return F.greatest(units, F.lit(0)) * _c(step)
+def lot_floor(budget: str | Column, price: str | Column, step: str | Column, convention: str | Column) -> Column:
+    """Largest multiple of the dealing step that the budget buys: of nominal
+    at a percent-of-par price, of units otherwise."""
+    unit_price = F.when(_c(convention) == "percent_of_par", _c(price) / 100).otherwise(_c(price))
+    steps = F.floor(_c(budget) / unit_price / _c(step))
+    return F.greatest(steps, F.lit(0)) * _c(step)
 
 
 def pull_to_par(price: str | Column, elapsed_days: str | Column, days_to_maturity: str | Column) -> Column:

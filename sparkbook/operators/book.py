@@ -4,11 +4,13 @@ running balances, payment schedules and income, fees, portfolio value."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkbook.operators.joins import asof_join, broadcast_if_small
+from sparkbook.operators.joins import asof_join
 
 
 def fx_rate(
@@ -34,10 +36,10 @@ def fx_rate(
     out = asof_join(cd, r, ["currency"], "__day", "rate_date", ["units_per_eur"]).drop("rate_date")
     if before_start == "first":
         first = r.groupBy("currency").agg(F.min_by("units_per_eur", "rate_date").alias("__first"))
-        out = out.join(broadcast_if_small(first), "currency", "left").withColumn(
+        out = out.join(first, "currency", "left").withColumn(
             "units_per_eur", F.coalesce("units_per_eur", "__first")).drop("__first")
     if pegs is not None:
-        p = broadcast_if_small(pegs.select("currency", F.col("units_per_eur").alias("__peg")))
+        p = pegs.select("currency", F.col("units_per_eur").alias("__peg"))
         out = out.join(p, "currency", "left").withColumn("units_per_eur", F.coalesce("units_per_eur", "__peg")).drop("__peg")
     rate = F.when(F.col("currency") == F.lit(base_currency), F.lit(1.0)).otherwise(F.col("units_per_eur"))
     return out.select(F.col("currency").alias(currency_col), F.col("__day").alias(day_col), rate.alias("units_per_eur"))
@@ -75,30 +77,31 @@ def running_sum(
     """Running total per ``keys`` in order (chunk, *within), computed in two
     levels so no task holds a whole key: totals per (keys, chunk) are
     accumulated over chunks (window bounded by the number of chunks), and
-    rows are accumulated inside their (keys, chunk) partition.
+    rows are accumulated inside their (keys, chunk) partition. Null keys and
+    chunks are groups of their own (a null chunk comes first).
     """
     keys = list(keys)
     totals = df.groupBy(*keys, chunk).agg(F.sum(value).alias("__t"))
     wk = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    opening = totals.select(*keys, chunk, F.coalesce(F.sum("__t").over(wk), F.lit(0)).alias("__open"))
+    group = [*keys, chunk]
+    opening = totals.select(*[F.col(c).alias(f"__{c}") for c in group], F.coalesce(F.sum("__t").over(wk), F.lit(0)).alias("__open"))
     wc = Window.partitionBy(*keys, chunk).orderBy(*within).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inner = df.withColumn("__in", F.sum(value).over(wc))
-    j = inner.join(opening, [*keys, chunk], "inner")
-    return j.withColumn(out, F.col("__open") + F.col("__in")).drop("__open", "__in")
+    j = inner.join(opening, reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in group]), "inner")
+    return j.withColumn(out, F.col("__open") + F.coalesce("__in", F.lit(0))).drop("__open", "__in", *[f"__{c}" for c in group])
 
 
 def payment_schedule(instruments: DataFrame, key: str, per_year: str, anchor_month: str, anchor_day: str,
-                     first_year: int, last_year: int) -> DataFrame:
-    """Evenly spaced payment dates: ``per_year`` payments a year starting at
-    the anchor month/day, for every year in range (one row per payment)."""
-    years = F.sequence(F.lit(first_year), F.lit(last_year))
-    step = (F.lit(12) / F.col(per_year)).cast("int")
-    slots = F.sequence(F.lit(0), F.col(per_year) - 1)
+                     first_year: int | Column, last_year: int | Column) -> DataFrame:
+    """Payment dates (key, pay_date): ``per_year`` evenly spaced months counted
+    from the anchor month, wrapping inside the calendar year, on the anchor day
+    (the month's last day where it is shorter), for every year in range.
+    """
+    years = F.sequence(*[y if isinstance(y, Column) else F.lit(y) for y in (first_year, last_year)])
+    payments = F.sequence(F.lit(0), F.col(per_year) - 1)
     x = instruments.select(key, per_year, anchor_month, anchor_day, F.explode(years).alias("__y"))
-    x = x.select(key, anchor_month, anchor_day, "__y", F.explode(slots).alias("__k"), step.alias("__step"))
-    month0 = F.col(anchor_month) - 1 + F.col("__k") * F.col("__step")
-    y = F.col("__y") + F.floor(month0 / 12).cast("int")
-    m = (month0 % 12 + 1).cast("int")
-    first_of_month = F.make_date(y, m, F.lit(1))
+    x = x.withColumn("__k", F.explode(payments))
+    month = (F.col(anchor_month) - 1 + F.col("__k") * F.floor(F.lit(12) / F.col(per_year))) % 12 + 1
+    first_of_month = F.make_date("__y", month.cast("int"), F.lit(1))
     day = F.least(F.col(anchor_day), F.dayofmonth(F.last_day(first_of_month)))
-    return x.select(key, F.make_date(y, m, day).alias("pay_date"))
+    return x.select(key, F.date_add(first_of_month, (day - 1).cast("int")).alias("pay_date"))

@@ -3,29 +3,27 @@ matching check is shown able to fail.
 
 The victim is chosen deterministically and in a distributed way: the row
 with the smallest stable hash of its id (ties broken by the whole row), a
-single-row aggregate rather than a global sort. Modifying exactly one row
-uses ``exceptAll`` so duplicate rows keep multiset semantics.
+single-row aggregate rather than a global sort. Taking one row out is a join
+with that one row on all columns, which moves no other row; its further
+occurrences are counted and put back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkbook.functions.keys import stable_hash64
-from sparkbook.session import checkpoint_root
+from sparkbook.session import materialise
 
 # The identifiers planted by the orphan defects.
 ORPHAN_ISIN = "XX0000000000"
 ORPHAN_ACCOUNT = 99999
 
-DEFECT_NAMES = [
-    "duplicate_trade_id", "orphan_instrument", "broken_invariant", "missing_price", "duplicate_event_id",
-    "orphan_cash_event", "assignment_before_onboarding", "bad_enum", "null_required", "snapshot_break",
-]
-
 
 def victim(df: DataFrame, id_col: str) -> DataFrame:
     """The single row with the least stable hash of ``id_col``."""
@@ -35,6 +33,15 @@ def victim(df: DataFrame, id_col: str) -> DataFrame:
     return picked.select(*[F.col(f"__v.{c}").alias(c) for c in cols])
 
 
+def without_one(df: DataFrame, v: DataFrame) -> DataFrame:
+    """``df`` less one occurrence of the single row ``v``."""
+    one = F.broadcast(v.select(*[F.col(c).alias(f"__v_{c}") for c in df.columns]))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__v_{c}")) for c in df.columns])
+    copies = df.join(one, same, "left_semi").groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    again = copies.withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n")))).filter("__k > 1").drop("__n", "__k")
+    return df.join(one, same, "left_anti").unionByName(again)
+
+
 def duplicate_row(df: DataFrame, id_col: str) -> DataFrame:
     return df.unionByName(victim(df, id_col))
 
@@ -42,15 +49,14 @@ def duplicate_row(df: DataFrame, id_col: str) -> DataFrame:
 def replace_in_row(df: DataFrame, id_col: str, changes: dict[str, Column]) -> DataFrame:
     """Swap exactly one occurrence of the victim for a modified copy.
 
-    The injected table is materialised (reliable checkpoint under the shared
-    checkpoint root, never the clean location): downstream checks then plan
-    against a plain table instead of pushing joins into a branch whose key
-    became a constant (which would turn an equi-join into a nested loop).
+    The injected table is written under the shared folder, never to the clean
+    location: downstream checks then plan against a plain table instead of
+    pushing joins into a branch whose key became a constant (which would turn
+    an equi-join into a nested loop).
     """
     v = victim(df, id_col)
     changed = v.withColumns(changes).select(*df.columns)
-    checkpoint_root(df.sparkSession)
-    return df.exceptAll(v).unionByName(changed).checkpoint(eager=True)
+    return materialise(without_one(df, v).unionByName(changed), "injected")
 
 
 def remove_row(df: DataFrame, id_col: str, refuse_empty: bool = True) -> DataFrame:
@@ -58,7 +64,7 @@ def remove_row(df: DataFrame, id_col: str, refuse_empty: bool = True) -> DataFra
     v = victim(df, id_col)
     if refuse_empty and v.limit(1).count() == 0:
         raise ValueError("defect removed nothing: the input is empty")
-    return df.exceptAll(v)
+    return without_one(df, v)
 
 
 def oversell(movements: DataFrame, book_last: DataFrame, keys: Sequence[str], day: Column) -> DataFrame:

@@ -1,40 +1,18 @@
-"""Join operators: size-checked broadcast, point-in-time (interval) resolution,
-as-of lookup, referential anti-joins and skew salting.
+"""Join operators: point-in-time (interval) resolution, as-of lookup and
+referential anti-joins.
 
-Every broadcast here sits behind an explicit, bounded size check
-(``limit(n + 1).count()``), never behind an assumption about the data.
+No side is broadcast by a hint: the planner broadcasts by measured bytes (file
+statistics, then the runtime sizes that adaptive execution sees), shuffles
+otherwise, and splits skewed partitions. Building a join runs no job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Row bound under which a side is shipped to every executor. A few hundred
-# thousand narrow rows is a few tens of MB; above it the shuffle join wins.
-BROADCAST_MAX_ROWS = 500_000
-
-
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the row count is proven under the bound."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def _keys_equal(left: DataFrame, right: DataFrame, keys: Sequence[str] | dict[str, str]) -> Column:
-    pairs = keys.items() if isinstance(keys, dict) else [(k, k) for k in keys]
-    cond = None
-    for lk, rk in pairs:
-        c = left[lk] == right[rk]
-        cond = c if cond is None else cond & c
-    return cond
-
 
 def resolve_version(
     facts: DataFrame,
@@ -45,14 +23,13 @@ def resolve_version(
     valid_to: str = "valid_to",
     take: Sequence[str] = ("instrument_version_sk",),
     how: str = "left",
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Point-in-time join: attach the version whose [valid_from, valid_to]
     (inclusive) holds the fact's date, matching on the equi ``keys``.
 
     Planned as an equi-join on the keys with the date range as a residual
-    predicate, so it is a hash join (broadcast when the version table is
-    proven small, sort-merge otherwise; AQE splits skewed key partitions).
+    predicate: a broadcast join when the version table measures small, else a
+    sort-merge join whose skewed partitions adaptive execution splits.
     A null fact key never matches and keeps nulls. Resolving on fewer keys
     than the version grain can fan out; ``count_versions`` checks that.
     """
@@ -62,7 +39,6 @@ def resolve_version(
         F.col(valid_to).alias("__v_to"),
         *[F.col(c) for c in take],
     )
-    v = broadcast_if_small(v, broadcast_max_rows)
     cond = None
     for k in keys:
         c = facts[k] == v[f"__v_{k}"]
@@ -113,7 +89,6 @@ def asof_join(
     left_on: str,
     right_on: str,
     value_cols: Sequence[str],
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Left as-of join: for each left row, the right row of the same ``by``
     group with the greatest ``right_on`` <= ``left_on``; nulls when none.
@@ -131,7 +106,6 @@ def asof_join(
         F.col("__next").alias("__r_to"),
         *value_cols,
     )
-    r = broadcast_if_small(r, broadcast_max_rows)
     cond = None
     for lk, rk in by_map.items():
         c = left[lk] == r[f"__r_{rk}"]
@@ -160,24 +134,3 @@ def missing_parents(
         e = kids[c] == par[f"__p_{c}"]
         cond = e if cond is None else cond & e
     return kids.join(par, cond, "left_anti")
-
-
-def salted_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: Sequence[str],
-    salt_buckets: int,
-    how: str = "inner",
-    salt_from: Sequence[str] | None = None,
-) -> DataFrame:
-    """Equi-join that spreads each key of ``big`` over ``salt_buckets`` tasks.
-
-    The big side gets a deterministic salt from a hash of ``salt_from``
-    columns (default: all its columns); the other side is replicated once
-    per salt value. Use when one key holds a large share of ``big`` and the
-    other side cannot be broadcast.
-    """
-    cols = list(salt_from) if salt_from else big.columns
-    b = big.withColumn("__salt", F.pmod(F.xxhash64(*cols), F.lit(salt_buckets)))
-    s = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return b.join(s, [*keys, "__salt"], how).drop("__salt")

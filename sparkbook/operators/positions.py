@@ -5,7 +5,7 @@ The dense book is the largest output of the system (holdings x trading
 days). It is derived from the *sparse* per-holding running sum: one window
 over the daily deltas of each holding (bounded by the number of days), then
 every delta row is expanded over the days until the next delta and kept on
-open days through a broadcast of the bounded calendar. No range join, no
+open days through a broadcast of the calendar (one row per day). No range join, no
 nested loop, and no shuffle of the dense rows.
 """
 
@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkbook.operators.joins import asof_join, broadcast_if_small
+from sparkbook.operators.joins import asof_join
 
 
 def position_movements(trades: DataFrame, transfers: DataFrame) -> DataFrame:
@@ -60,14 +60,14 @@ def daily_deltas(
 
 
 def _calendar_end(dates: DataFrame) -> Column:
-    return F.lit(dates.agg(F.max("date_key")).first()[0])
+    return dates.agg(F.max("date_key")).scalar()
 
 
 def roll_movements(movements: DataFrame, rolls: DataFrame, date_col: str = "movement_date", direction: str = "following") -> DataFrame:
     """Move each movement dated on a closed day to the next (or previous) open
-    day; ``rolls`` comes from ``calendar.roll_map`` (bounded, broadcast)."""
+    day; ``rolls`` comes from ``calendar.roll_map`` (one row per day, broadcast)."""
     target = "following_date" if direction == "following" else "preceding_date"
-    r = broadcast_if_small(rolls.select(F.col("calendar_date").alias("__d"), F.col(target).alias("__rolled")))
+    r = F.broadcast(rolls.select(F.col("calendar_date").alias("__d"), F.col(target).alias("__rolled")))
     out = movements.join(r, movements[date_col] == r["__d"], "left")
     return out.withColumn(date_col, F.coalesce("__rolled", date_col)).drop("__d", "__rolled")
 
@@ -92,7 +92,7 @@ def position_book(
     keys = list(keys)
     open_days = dates.filter("is_trading_day").select("date_key", "is_last_trading_day_of_month")
     end = _calendar_end(open_days)
-    open_flag = broadcast_if_small(open_days.select(F.col("date_key").alias("__d"), F.lit(True).alias("__open")))
+    open_flag = F.broadcast(open_days.select(F.col("date_key").alias("__d"), F.lit(True).alias("__open")))
 
     agg = [F.sum(qty_col).alias("quantity_delta")] + [F.first(c).alias(c) for c in carry]
     deltas = movements.groupBy(*keys, date_col).agg(*agg)
@@ -114,7 +114,7 @@ def position_book(
         "closing_quantity",
         F.explode(F.when(F.col("__from") <= upto, F.sequence("__from", upto))).alias("business_date"),
     )
-    cal = broadcast_if_small(open_days)
+    cal = F.broadcast(open_days)
     book = dense.join(cal, dense["business_date"] == cal["date_key"], "inner").drop("date_key")
     return book.select(*keys, *carry, "business_date", "is_last_trading_day_of_month", F.col("closing_quantity").cast("bigint"))
 
@@ -129,7 +129,7 @@ def held_days(movements: DataFrame, dates: DataFrame, key: str = "isin", date_co
     days = start.select(
         key, F.explode(F.when(F.col("__start") <= end, F.sequence("__start", end))).alias("business_date")
     )
-    cal = broadcast_if_small(open_days)
+    cal = F.broadcast(open_days)
     return days.join(cal, days["business_date"] == cal["date_key"], "inner").select(key, "business_date")
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkbook.operators.joins import broadcast_if_small, missing_parents
+from sparkbook.operators.joins import missing_parents
 
 BLANKS = ("", "N/A")
 
@@ -83,7 +83,7 @@ def is_trading_date(df: DataFrame, col: str, dates: DataFrame, where=None) -> Da
     counts as a violation (a join miss must not pass)."""
     cal = dates.select(F.col("date_key").alias("__d"), F.col("is_trading_day").alias("__open"))
     d = _scope(df, where)
-    cal = broadcast_if_small(cal)
+    cal = F.broadcast(cal)  # one row per day
     j = d.join(cal, d[col] == cal["__d"], "left")
     return j.filter(~F.coalesce(F.col("__open"), F.lit(False))).drop("__d", "__open")
 

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkbook.operators.joins import broadcast_if_small
 
 
 def reconcile(
@@ -61,16 +60,18 @@ def positions_at(
     sum of every movement dated on or before the statement date. Zero
     positions are omitted (a statement lists holdings only).
 
-    Independent of the running-sum book: movements are bucketed into the
-    statement period that first covers them (calendar-bounded lookup), summed
-    per period, accumulated over periods and spread over the following
-    statement dates by index. ``open_days_only`` drops movements on closed
+    Movements are bucketed into the statement period that first covers them,
+    summed per period, accumulated over periods and spread over the following
+    statement dates. Like the daily book it is a running sum, over periods
+    instead of days, so agreement of the two shows that day handling and period
+    handling match, not that summing is right; the range join of the oracle does
+    the latter. ``open_days_only`` drops movements on closed
     days, as the book does; without it they count, as a custodian books them.
     """
     keys = list(keys)
     st = statement_dates.select(F.col(statement_dates.columns[0]).alias("__s")).distinct()
     idx = st.select("__s", F.row_number().over(Window.orderBy("__s")).alias("__i"))
-    last_i = idx.agg(F.max("__i")).first()[0] or 0
+    last_i = F.coalesce(idx.agg(F.max("__i")).scalar(), F.lit(0))
     cal = dates.select("date_key", "is_trading_day")
     cal = cal.join(idx, cal["date_key"] == idx["__s"], "left")
     fwd = Window.orderBy("date_key").rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -78,7 +79,7 @@ def positions_at(
     period = period.filter(F.col("__period").isNotNull())
     if open_days_only:
         period = period.filter("is_trading_day")
-    period = broadcast_if_small(period.select("date_key", "__period"))
+    period = F.broadcast(period.select("date_key", "__period"))
 
     d = movements.groupBy(*keys, date_col).agg(F.sum(qty_col).alias("__q"))
     d = d.join(period, d[date_col] == period["date_key"], "inner")
@@ -91,7 +92,7 @@ def positions_at(
     )
     spread = cum.select(
         *keys, "__cum",
-        F.explode(F.sequence("__period", F.coalesce(F.col("__nextp") - 1, F.lit(last_i)))).alias("__i"),
+        F.explode(F.sequence("__period", F.coalesce(F.col("__nextp") - 1, last_i))).alias("__i"),
     )
-    out = spread.join(broadcast_if_small(idx), "__i").filter(F.col("__cum") != 0)
+    out = spread.join(F.broadcast(idx), "__i").filter(F.col("__cum") != 0)
     return out.select(*keys, F.col("__s").alias(out_date), F.col("__cum").cast("bigint").alias(out_qty))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkbook.functions.keys import surrogate_key
-from sparkbook.operators.joins import broadcast_if_small
 
 # Open end and floor of every validity interval.
 OPEN_END = "9999-12-31"
@@ -23,14 +24,15 @@ def in_base_scope(date_col: str, type_col: str, base_date: str) -> Column:
     return (d > base) | ((d == base) & F.col(type_col).isin("TERMNTD", "CANC"))
 
 
-def cancelled_keys(events: DataFrame, keys: Sequence[str], type_col: str = "version_source") -> DataFrame:
-    return events.filter(F.col(type_col) == "CANC").select(*keys).distinct()
-
-
 def erase_cancelled(events: DataFrame, keys: Sequence[str], type_col: str = "version_source") -> DataFrame:
-    """Drop every row of a key that was ever cancelled (retroactive erasure)."""
-    cancelled = broadcast_if_small(cancelled_keys(events, keys, type_col))
-    return events.join(cancelled, list(keys), "left_anti")
+    """Drop every row of a key that was ever cancelled (retroactive erasure).
+
+    One window on the key, the same partitioning the replay needs, so the feed
+    is read and shuffled once. A row with a null key has no identity to cancel.
+    """
+    cancelled = F.max(F.coalesce(F.col(type_col) == "CANC", F.lit(False))).over(Window.partitionBy(*keys))
+    unnamed = reduce(or_, [F.col(k).isNull() for k in keys])
+    return events.withColumn("__cancelled", cancelled).filter(~F.col("__cancelled") | unnamed).drop("__cancelled")
 
 
 def replay_versions(

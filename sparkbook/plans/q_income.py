@@ -4,62 +4,89 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparkbook.functions import finance as FN
 from sparkbook.operators import calendar as cal
 from sparkbook.operators import sampling as SM
-from sparkbook.operators.joins import broadcast_if_small
 from sparkbook.operators.positions import position_book
 from sparkbook.plans import standins as S
-from sparkbook.plans.q_book import _SCHED, brand_no, schedule
-from sparkbook.plans.q_positions import BOOK_KEYS, book_sql
+from sparkbook.plans.q_book import _ACCRUED, _SCHED, accrued, brand_no, is_bond, payments_per_year, schedule
+from sparkbook.plans.q_positions import _PRICES_FILLED, BOOK_KEYS, book_sql, prices_filled
 from sparkbook.plans.registry import register
 
 
-def _book(spark, d):
-    return position_book(S.movements(spark, d), S.dates(spark, d), BOOK_KEYS)
-
-
+_NO = "cast(substr({c}, 7, 10) as int)"
 _REDEEM = {
-    "maturity": "select distinct p_brand as isin, cast(date '2000-06-15' + to_days(cast(cast(substr(p_brand, 7, 10) as int) "
-                "* 30 as integer)) as date) as maturity_date from part",
-    "redeem_day": "select m.isin, m.maturity_date, (select max(date_key) from dates where is_trading_day and date_key <= "
-                  "m.maturity_date) as redemption_date from maturity m where m.maturity_date <= (select max(date_key) from dates)",
+    **_PRICES_FILLED,
+    **_SCHED,
+    "matures": "select distinct p_brand as isin, cast(date '2000-06-15' + to_days(cast(" + _NO.format(c="p_brand") + " * 30 as integer)) as date) "
+               "as maturity_date from part",
+    "leaves": "select matures.isin, date_key as redemption_date from matures asof join (select date_key from dates where is_trading_day) "
+              "on maturity_date >= date_key where maturity_date <= (select max(date_key) from dates)",
+    "paid_out": "select b.account_id, b.isin, redemption_date, closing_quantity as quantity, case when " + _NO.format(c="b.isin") + " % 2 = 0 then 100.0 "
+                "else cast(price as double) end as price from book b join leaves on b.isin = leaves.isin and business_date = redemption_date "
+                "left join prices_filled f on f.isin = b.isin and f.business_date = redemption_date where closing_quantity > 0",
+    "dirty": "select p.*, pay_date from paid_out p asof left join schedule s on p.isin = s.isin and redemption_date >= pay_date",
 }
 
 
 @register("q_redemptions", book_sql(
-    "select b.account_id, b.isin, r.redemption_date, b.closing_quantity as quantity, "
-    "cast(b.closing_quantity * 100 as double) as redemption_amount from book b join redeem_day r "
-    "on b.isin = r.isin and b.business_date = r.redemption_date where b.closing_quantity > 0", extra=_REDEEM))
+    "select account_id, isin, redemption_date, quantity, price, round(quantity * price / (case when " + _NO.format(c="isin") + " % 2 = 0 then 100 else 1 end), 2) "
+    "as gross, case when " + _NO.format(c="isin") + " % 2 = 0 then coalesce(" + _ACCRUED.format(q="quantity", i="isin", p="pay_date", t="redemption_date")
+    + ", 0) else 0.0 end as accrued, 'REDEMPTION' as trade_type from dirty", "prices", extra=_REDEEM))
 def q_redemptions(spark, d):
-    """Holdings sold out at par on the last session on/before maturity."""
+    """Holdings sold on the last session on or before maturity: bonds at
+    par with accrued interest, others at the final fixing."""
+    bk = S.book(spark, d)
     brands = S.table(spark, d, "part").select(F.col("p_brand").alias("isin")).distinct()
-    mat = brands.select("isin", F.date_add(F.to_date(F.lit("2000-06-15")), brand_no() * 30).alias("maturity_date"))
-    rolls = broadcast_if_small(cal.roll_map(S.calendar(spark, d)).select(
-        F.col("calendar_date").alias("maturity_date"), F.col("preceding_date").alias("redemption_date")))
-    red = mat.join(rolls, "maturity_date")
-    b = _book(spark, d).filter(F.col("closing_quantity") > 0)
-    j = b.join(red, (b.isin == red.isin) & (b.business_date == red.redemption_date)).drop(red.isin)
-    return j.select("account_id", "isin", "redemption_date", F.col("closing_quantity").alias("quantity"),
-                    (F.col("closing_quantity") * 100).cast("double").alias("redemption_amount"))
+    due = brands.select("isin", F.date_add(F.to_date(F.lit("2000-06-15")), brand_no() * 30).alias("calendar_date"))
+    due = due.join(F.broadcast(cal.roll_map(bk.calendar)), "calendar_date").select("isin", F.col("preceding_date").alias("business_date"))
+    held = position_book(bk.movements, bk.dates, BOOK_KEYS).filter("closing_quantity > 0")
+    x = held.join(due, ["isin", "business_date"]).join(prices_filled(bk).select("isin", "business_date", "price"), ["isin", "business_date"], "left")
+    x = x.withColumn("price", F.when(is_bond(), F.lit(100.0)).otherwise(F.col("price").cast("double")))
+    x = accrued(spark, d, x.withColumnsRenamed({"business_date": "trade_date", "closing_quantity": "quantity"}))
+    return x.select("account_id", "isin", F.col("trade_date").alias("redemption_date"), "quantity", "price",
+                    FN.gross(F.col("quantity"), F.col("price"), S.convention()).alias("gross"),
+                    F.when(is_bond(), F.coalesce("accrued", F.lit(0.0))).otherwise(0.0).alias("accrued"), F.lit("REDEMPTION").alias("trade_type"))
+
+
+# Fixed value: sessions between the ex date and the payment of a dividend.
+PAY_LAG = 10
+_INCOME = {
+    **_SCHED,
+    "sessions": "select date_key, row_number() over (order by date_key) as nth from dates where is_trading_day",
+    "due": "select s.isin, s.pay_date, n.date_key as due_date, n.nth from schedule s asof join sessions n on s.pay_date <= n.date_key where s.pay_date >= (select min(date_key) from sessions)",
+    "entitled": "select b.account_id, b.isin, due_date, nth, closing_quantity as q, " + _NO.format(c="b.isin") + " as no, [1, 2, 4, 12][" + _NO.format(c="b.isin")
+                + " % 4 + 1] as n from book b join due on b.isin = due.isin and business_date = due_date where closing_quantity > 0",
+}
+
+
+def dividend_per_share(c="isin"):
+    """Stand-in: an amount per share and payment, declared by brand."""
+    return (F.lit(5) + brand_no(c) % 7) / F.lit(20.0)
 
 
 @register("q_income_events", book_sql(
-    "select b.account_id, b.isin, p.due_date, cast(round(b.closing_quantity * cast(2.5 + cast(substr(b.isin, 7, 10) as int) "
-    "% 5 as decimal(9,4)) * 0.01, 2) as double) as coupon_amount from book b join (select s.isin, "
-    "(select min(date_key) from dates where is_trading_day and date_key >= s.pay_date) as due_date from schedule s) p "
-    "on b.isin = p.isin and b.business_date = p.due_date where b.closing_quantity > 0",
-    extra={k: v for k, v in _SCHED.items()}))
+    "select account_id, isin, 'COUPON' as event_type, due_date as ex_date, due_date as pay_date, cast(round(q * cast((2.5 + no % 5) / n as decimal(12,6)) "
+    "* 0.01, 2) as double) as amount from entitled where no % 2 = 0 union all select account_id, isin, 'DIVIDEND', due_date, date_key, "
+    "round(q * ((5 + no % 7) / 20.0), 2) from entitled e join sessions s on s.nth = e.nth + 10 where no % 2 = 1", extra=_INCOME))
 def q_income_events(spark, d):
-    """Coupons on each held position at the due session (payment date
-    rolled to the next open day): quantity x rate / 100."""
-    rolls = broadcast_if_small(cal.roll_map(S.calendar(spark, d)).select(
-        F.col("calendar_date").alias("pay_date"), F.col("following_date").alias("due_date")))
-    due = schedule(spark, d).join(rolls, "pay_date").select("isin", "due_date")
-    b = _book(spark, d).filter(F.col("closing_quantity") > 0)
-    j = b.join(due, (b.isin == due.isin) & (b.business_date == due.due_date)).drop(due.isin)
-    rate = (F.lit(2.5) + brand_no() % 5).cast("decimal(9,4)")
-    return j.select("account_id", "isin", "due_date",
-                    F.round(F.col("closing_quantity") * rate / 100, 2).cast("double").alias("coupon_amount"))
+    """Coupons of bonds and dividends of shares on positions held at the
+    due session (payment date rolled forward). A coupon pays the annual rate
+    divided by the payments a year; a dividend pays its amount per share ten
+    sessions later, and one whose payment lies beyond the calendar is dropped.
+    """
+    bk = S.book(spark, d)
+    due = schedule(spark, d).join(F.broadcast(cal.roll_map(bk.calendar)), F.col("pay_date") == F.col("calendar_date"))
+    due = due.filter("following_date is not null and preceding_date is not null").select("isin", F.col("following_date").alias("business_date"))
+    held = position_book(bk.movements, bk.dates, BOOK_KEYS).filter("closing_quantity > 0").join(due, ["isin", "business_date"])
+    portion = ((F.lit(2.5) + brand_no() % 5) / payments_per_year()).cast("decimal(12,6)")
+    coupons = held.filter(is_bond()).select("account_id", "isin", F.lit("COUPON").alias("event_type"), F.col("business_date").alias("ex_date"),
+                                            F.col("business_date").alias("pay_date"), F.round(F.col("closing_quantity") * portion / 100, 2).cast("double").alias("amount"))
+    pays = cal.session_offset(bk.calendar, PAY_LAG).filter("offset_date is not null")
+    shares = held.filter(~is_bond()).join(F.broadcast(pays), F.col("business_date") == F.col("calendar_date"))
+    dividends = shares.select("account_id", "isin", F.lit("DIVIDEND").alias("event_type"), F.col("business_date").alias("ex_date"),
+                              F.col("offset_date").alias("pay_date"), F.round(F.col("closing_quantity") * dividend_per_share(), 2).alias("amount"))
+    return coupons.unionByName(dividends)
 
 
 _STRAT = ("select p_partkey, p_brand, p_type from (select *, row_number() over (partition by p_type order by "

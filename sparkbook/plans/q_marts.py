@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from sparkbook.functions.finance import CUSTODY_BP, MANAGEMENT_BP, periodic_fee
+from sparkbook.operators import book as B
 from sparkbook.operators import sampling as SM
-from sparkbook.operators.joins import broadcast_if_small, resolve_version
+from sparkbook.operators.calendar import roll_map, session_flags
+from sparkbook.operators.joins import asof_join, resolve_version
 from sparkbook.operators.sets import latest_per_key, union_distinct
 from sparkbook.plans import standins as S
 from sparkbook.plans.oracle_sql import with_ctes
-from sparkbook.plans.q_book import brand_no
-from sparkbook.plans.q_positions import valued_book
+from sparkbook.plans.q_book import _LEDGER, _RBD, _SCHED, _STEPS, brand_no, cash_steps
+from sparkbook.plans.q_positions import _VALUED, book_sql, valued
 from sparkbook.plans.q_temporal import brand_versions, statement
 from sparkbook.plans.registry import register
 
@@ -31,8 +35,8 @@ def latest_rm(spark, d):
 def q_dim_accounts(spark, d):
     """M4 (W1, J1): account star-flattened with desk and current manager."""
     c = S.table(spark, d, "customer")
-    n = broadcast_if_small(S.table(spark, d, "nation"))
-    r = broadcast_if_small(S.table(spark, d, "region"))
+    n = S.table(spark, d, "nation")
+    r = S.table(spark, d, "region")
     x = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
     x = x.join(latest_rm(spark, d), x.c_custkey == F.col("client_id"), "left")
     return x.select(F.col("c_custkey").alias("account_id"), F.col("c_custkey").alias("client_id"),
@@ -113,7 +117,7 @@ _STATEMENT = {"statement": """select mv.account_id, mv.isin, m.date_key as snaps
     "movements", "dates", "brand_versions", extra=_STATEMENT))
 def q_fct_snapshots(spark, d):
     """M11 (J7): published positions with the version valid on their date."""
-    r = resolve_version(statement(spark, d), brand_versions(spark, d), ["isin"], "snapshot_date")
+    r = resolve_version(statement(S.book(spark, d)), brand_versions(spark, d), ["isin"], "snapshot_date")
     return r.select("account_id", "isin", "snapshot_date", "quantity", "instrument_version_sk")
 
 
@@ -198,7 +202,7 @@ def q_concentration(spark, d):
     """Exposure share per instrument against a 5% cap."""
     t = S.trades(spark, d).filter(F.col("trade_side") == "BUY")
     g = t.groupBy("isin").agg(F.sum("gross_consideration").alias("__e"))
-    total = F.lit(float(g.agg(F.sum("__e")).first()[0] or 0))  # one scalar
+    total = g.agg(F.sum("__e").cast("double")).scalar()
     exp = F.col("__e").cast("double")
     return g.select("isin", exp.alias("exposure"), F.round(exp / total, 8).alias("share"),
                     (exp / total > 0.05).alias("over_cap"))
@@ -207,8 +211,14 @@ def q_concentration(spark, d):
 @register("q_median_step", with_ctes(
     "select isin, median(cast(quantity as double)) as median_quantity from trades group by isin", "trades"))
 def q_median_step(spark, d):
-    """Median per class."""
-    return S.trades(spark, d).groupBy("isin").agg(F.median(F.col("quantity").cast("double")).alias("median_quantity"))
+    """Exact median per class, from counts per value: a class is never
+    held row by row, only its distinct values are ranked."""
+    counts = S.trades(spark, d).groupBy("isin", "quantity").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("isin").orderBy("quantity"))
+    ranked = counts.withColumn("upto", upto).withColumn("total", F.sum("n").over(Window.partitionBy("isin")))
+    lower = F.min(F.when(F.col("upto") * 2 >= F.col("total"), F.col("quantity")))
+    upper = F.min(F.when(F.col("upto") * 2 > F.col("total"), F.col("quantity")))
+    return ranked.groupBy("isin").agg(((lower + upper) / 2).cast("double").alias("median_quantity"))
 
 
 @register("q_availability", with_ctes(
@@ -218,22 +228,15 @@ def q_median_step(spark, d):
     "group by p.isin, f.first_print", "prices", "dates"))
 def q_availability(spark, d):
     """Share of open sessions (since the first print) with a print."""
-    from sparkbook.operators.calendar import roll_map
-    from pyspark.sql import Window
-    cal = S.calendar(spark, d)
-    open_days = cal.filter("is_trading_day").select(F.col("calendar_date").alias("date_key"))
-    # open-day index over the bounded calendar: sessions on/after a day = n_open - idx + 1
-    idx = open_days.select("date_key", F.row_number().over(Window.orderBy("date_key")).alias("__idx"))
-    n_open = idx.count()
-    rolls = broadcast_if_small(roll_map(cal).select(F.col("calendar_date").alias("__d"), "following_date"))
-    p = S.prices(spark, d)
-    ob = broadcast_if_small(open_days)
-    hits = p.join(ob, p.business_date == ob.date_key).groupBy("isin").agg(F.count(F.lit(1)).alias("__n"))
-    first = p.groupBy("isin").agg(F.min("business_date").alias("__first"))
-    first = first.join(rolls, first["__first"] == rolls["__d"]).join(
-        broadcast_if_small(idx), F.col("following_date") == idx["date_key"])
-    sessions = first.select("isin", (F.lit(n_open) - F.col("__idx") + 1).alias("__s"))
-    return hits.join(sessions, "isin").select("isin", F.round(F.col("__n") / F.col("__s"), 6).alias("availability"))
+    bk = S.book(spark, d)
+    open_days = bk.calendar.filter("is_trading_day").select(F.col("calendar_date").alias("date_key"))
+    # Sessions on or after a day, counted over the calendar (one row per day).
+    left = open_days.select("date_key", F.row_number().over(Window.orderBy(F.col("date_key").desc())).alias("__s"))
+    rolls = roll_map(bk.calendar).select(F.col("calendar_date").alias("__d"), "following_date")
+    hits = bk.prices.join(F.broadcast(open_days), F.col("business_date") == F.col("date_key")).groupBy("isin").agg(F.count(F.lit(1)).alias("__n"))
+    first = bk.prices.groupBy("isin").agg(F.min("business_date").alias("__first"))
+    first = first.join(F.broadcast(rolls), F.col("__first") == F.col("__d")).join(F.broadcast(left), F.col("following_date") == F.col("date_key"))
+    return hits.join(first.select("isin", "__s"), "isin").select("isin", F.round(F.col("__n") / F.col("__s"), 6).alias("availability"))
 
 
 @register("q_dedup_universe", with_ctes(
@@ -273,55 +276,61 @@ def q_stratified_sample(spark, d):
     return SM.stratified_sample(p, "p_type", "p_partkey", "p_retailprice", 5).select("p_type", "p_partkey")
 
 
-_VALUED_DEC = {
-    "vdec": """select b.account_id, b.business_date, b.is_last_trading_day_of_month,
-        case p.price_convention when 'percent_of_par'
-          then round(b.closing_quantity * v.nominal_value_per_unit * p.price * 0.01, 2)
-          else round(b.closing_quantity * p.price * coalesce(v.price_multiplier, 1), 2) end as mv
-      from book b left join prices_filled p on b.isin = p.isin and b.business_date = p.business_date
-      left join brand_versions v on b.isin = v.isin and b.business_date >= v.valid_from and b.business_date <= v.valid_to""",
-    "pv": "select account_id, business_date, sum(mv) as pv from vdec where is_last_trading_day_of_month "
-          "group by account_id, business_date",
+# Month-end worth of an account in its base currency (the nation's), and the base cash of its clients.
+_PV = {
+    **_VALUED,
+    **_RBD,
+    **_LEDGER,
+    **_SCHED,
+    **_STEPS,
+    "ends": "select account_id, business_date, cast(sum(value) as double) as eur from worth where is_last_trading_day_of_month "
+            "and closing_quantity > 0 group by account_id, business_date",
+    "pv": "select e.account_id, business_date, round(eur * case when e.account_id = 0 then 1 else coalesce(units_per_eur, 1) end, 2) as pv "
+          "from ends e asof left join rates r on e.account_id = r.currency and business_date >= rate_date",
+    "quarter_ends": "select max(calendar_date) as day from calendar where is_trading_day group by date_trunc('quarter', calendar_date)",
+    "base_cash": "select currency as account_id, day, sum(amount) as cash from steps join quarter_ends on step_date <= day where base = currency "
+                 "group by currency, day",
+    "bases": "select pv.account_id, business_date, pv, pv + greatest(coalesce(cast(cash as double), 0), 0) as all_in from pv "
+             "join quarter_ends on day = business_date left join base_cash b on b.account_id = pv.account_id and b.day = business_date",
+    "fees": "select account_id, business_date, 'CUSTODY_FEE' as event_type, round(pv * 25 / 10000 / 4, 2) as fee from bases "
+            "union all select account_id, business_date, 'MGMT_FEE', round(all_in * 90 / 10000 / 4, 2) from bases where account_id % 2 = 0",
 }
 
 
 def _pv_sql(body):
-    from sparkbook.plans.q_positions import _PRICES_FILLED, book_sql
-    return book_sql(body, "prices", "brand_versions", extra={**_PRICES_FILLED, **_VALUED_DEC})
+    return book_sql(body, "lines", "cash_events", "fx_tickets", "rates", "prices", "brand_versions", extra=_PV)
 
 
-def portfolio_value(spark, d):
-    v = valued_book(spark, d, exact=True).filter("is_last_trading_day_of_month")
-    return v.groupBy("account_id", "business_date").agg(F.sum("market_value_local").alias("pv"))
+def portfolio_value(spark, d, bk):
+    """(account_id, business_date, pv): long holdings marked at month-end
+    sessions, in the account's base currency. Only month ends are valued, from
+    positions at those days; an account without a rate counts at par."""
+    ends = statement(bk, open_days_only=True).filter("quantity > 0").withColumnsRenamed({"snapshot_date": "business_date", "quantity": "closing_quantity"})
+    eur = valued(spark, d, bk, ends, exact=True).groupBy("account_id", "business_date").agg(F.sum("market_value_local").cast("double").alias("eur"))
+    day = eur.select(F.col("account_id").alias("currency"), F.col("business_date").alias("trade_date"))
+    rate = B.fx_rate(day, S.rates(spark, d)).select(F.col("currency").alias("account_id"), F.col("trade_date").alias("business_date"), "units_per_eur")
+    x = eur.join(rate, ["account_id", "business_date"], "left")
+    return x.select("account_id", "business_date", F.round(F.col("eur") * F.coalesce("units_per_eur", F.lit(1.0)), 2).alias("pv"))
 
 
-@register("q_portfolio_value", _pv_sql(
-    "select account_id, business_date, cast(pv as double) as portfolio_value from pv"))
+@register("q_portfolio_value", _pv_sql("select account_id, business_date, pv as portfolio_value from pv"))
 def q_portfolio_value(spark, d):
-    """Portfolio value per account at each month-end session (exact sum)."""
-    return portfolio_value(spark, d).select("account_id", "business_date",
-                                            F.col("pv").cast("double").alias("portfolio_value"))
+    """Portfolio value per account at each month-end session, in base currency."""
+    return portfolio_value(spark, d, S.book(spark, d)).withColumnRenamed("pv", "portfolio_value")
 
 
-@register("q_periodic_fees", _pv_sql(
-    "select pv.account_id, pv.business_date, cast(round(pv.pv * 0.000625, 2) as double) as custody_fee, "
-    "cast(case when pv.account_id % 2 = 0 then round(pv.pv * 0.00225, 2) else 0 end as double) as management_fee "
-    "from pv join (select calendar_date from (select calendar_date, row_number() over (partition by "
-    "date_trunc('quarter', calendar_date) order by calendar_date desc) as rq from calendar where is_trading_day) q "
-    "where rq = 1) qe on qe.calendar_date = pv.business_date"))
+@register("q_periodic_fees", _pv_sql("select * from fees where fee > 0"))
 def q_periodic_fees(spark, d):
-    """Quarter-end custody (25 bp/yr) on holdings for every account and
-    management (90 bp/yr) for discretionary (stand-in: even) accounts, /4."""
-    from decimal import Decimal
-
-    from sparkbook.functions.finance import CUSTODY_BP, MANAGEMENT_BP
-    from sparkbook.operators.calendar import session_flags
-    qe = session_flags(S.calendar(spark, d)).filter("is_quarter_last_session").select(
-        F.col("calendar_date").alias("business_date"))
-    pv = portfolio_value(spark, d).join(broadcast_if_small(qe), "business_date")
-    cust = F.lit(Decimal(str(CUSTODY_BP)) / Decimal(40000))
-    mgmt = F.lit(Decimal(str(MANAGEMENT_BP)) / Decimal(40000))
-    return pv.select("account_id", "business_date",
-                     F.round(F.col("pv") * cust, 2).cast("double").alias("custody_fee"),
-                     F.when(F.col("account_id") % 2 == 0, F.round(F.col("pv") * mgmt, 2)).otherwise(F.lit(0))
-                     .cast("double").alias("management_fee"))
+    """Quarter-end custody (25 bp a year, holdings) for every account and
+    management (90 bp a year, holdings and base cash) for discretionary
+    (stand-in: even) accounts, a quarter each; only fees above zero."""
+    bk = S.book(spark, d)
+    ends = session_flags(bk.calendar).filter("is_quarter_last_session").select(F.col("calendar_date").alias("business_date"))
+    pv = portfolio_value(spark, d, bk).join(F.broadcast(ends), "business_date")
+    daily = cash_steps(spark, d).filter(F.col("base") == F.col("currency")).groupBy("base", "step_date").agg(F.sum("amount").alias("amount"))
+    cash = daily.select("base", "step_date", F.sum("amount").over(Window.partitionBy("base").orderBy("step_date")).cast("double").alias("cash"))
+    x = asof_join(pv, cash, {"account_id": "base"}, "business_date", "step_date", ["cash"])
+    all_in = F.col("pv") + F.greatest(F.coalesce("cash", F.lit(0.0)), F.lit(0.0))
+    fees = F.array(F.struct(F.lit("CUSTODY_FEE").alias("event_type"), periodic_fee(F.col("pv"), CUSTODY_BP).alias("fee")),
+                   F.struct(F.lit("MGMT_FEE").alias("event_type"), F.when(F.col("account_id") % 2 == 0, periodic_fee(all_in, MANAGEMENT_BP)).alias("fee")))
+    return x.select("account_id", "business_date", F.explode(fees).alias("f")).select("account_id", "business_date", "f.event_type", "f.fee").filter("fee > 0")

@@ -39,57 +39,55 @@ def q_daily_deltas(spark, d):
     return pos.daily_deltas(S.movements(spark, d), BOOK_KEYS)
 
 
+# Quantity on a day: the sum of what moved on open days so far, found by an as-of lookup.
 _BOOK_SQL_CTES = {
-    "holdings": "select account_id, isin, min(movement_date) as first_movement_date from movements group by account_id, isin",
-    "spine": """select h.account_id, h.isin, d.date_key as business_date, d.is_last_trading_day_of_month
-      from holdings h join dates d on h.first_movement_date <= d.date_key where d.is_trading_day""",
-    "deltas": "select account_id, isin, movement_date, sum(quantity_delta) as quantity_delta from movements group by account_id, isin, movement_date",
-    "book": """select s.account_id, s.isin, s.business_date, s.is_last_trading_day_of_month,
-      cast(sum(coalesce(x.quantity_delta, 0)) over (partition by s.account_id, s.isin order by s.business_date
-        rows between unbounded preceding and current row) as bigint) as closing_quantity
-      from spine s left join deltas x on s.account_id = x.account_id and s.isin = x.isin
-        and s.business_date = x.movement_date""",
+    "moved": "select account_id, isin, movement_date, sum(sum(case when is_trading_day then quantity_delta else 0 end)) over "
+             "(partition by account_id, isin order by movement_date) as so_far from movements join calendar on movement_date = calendar_date "
+             "group by account_id, isin, movement_date",
+    "open_since": "select account_id, isin, date_key, is_last_trading_day_of_month from (select account_id, isin, min(movement_date) as since "
+                  "from movements group by account_id, isin) join dates on is_trading_day and date_key >= since",
+    "book": "select o.account_id, o.isin, o.date_key as business_date, o.is_last_trading_day_of_month, cast(m.so_far as bigint) as closing_quantity "
+            "from open_since o asof join moved m on o.account_id = m.account_id and o.isin = m.isin and o.date_key >= m.movement_date",
 }
 
 
 def book_sql(body: str, *more: str, extra: dict[str, str] | None = None) -> str:
-    return with_ctes(body, "movements", "dates", *more, extra={**_BOOK_SQL_CTES, **(extra or {})})
+    return with_ctes(body, "movements", "calendar", "dates", *more, extra={**_BOOK_SQL_CTES, **(extra or {})})
 
 
-@register("q_spine", book_sql("select account_id, isin, business_date, is_last_trading_day_of_month from spine"))
+@register("q_spine", book_sql("select account_id, isin, date_key as business_date, is_last_trading_day_of_month from open_since"))
 def q_spine(spark, d):
     """Dense (holding x open day) spine from each first movement onward."""
-    book = pos.position_book(S.movements(spark, d), S.dates(spark, d), BOOK_KEYS)
+    bk = S.book(spark, d)
+    book = pos.position_book(bk.movements, bk.dates, BOOK_KEYS)
     return book.select(*BOOK_KEYS, "business_date", "is_last_trading_day_of_month")
 
 
 @register("q_position_daily", book_sql("select * from book"))
 def q_position_daily(spark, d):
     """M13 core (J8, J9, W5): dense daily closing quantity per holding."""
-    return pos.position_book(S.movements(spark, d), S.dates(spark, d), BOOK_KEYS)
+    bk = S.book(spark, d)
+    return pos.position_book(bk.movements, bk.dates, BOOK_KEYS)
 
 
+# A held day's price: its own print, or the latest print of an earlier held day.
 _PRICES_FILLED = {
-    "held": "select distinct isin, business_date from book",
-    "prices_filled": """select h.isin, h.business_date,
-        last_value(p.price ignore nulls) over pw as price,
-        last_value(p.price_currency ignore nulls) over pw as price_currency,
-        coalesce(p.price_source, 'carried_forward') as price_source,
-        last_value(p.price_convention ignore nulls) over pw as price_convention
-      from held h left join prices p on h.isin = p.isin and h.business_date = p.business_date
-      window pw as (partition by h.isin order by h.business_date rows between unbounded preceding and current row)""",
+    "days": "select distinct isin, business_date as day from book",
+    "prints": "select p.* from prices p join days on p.isin = days.isin and business_date = day",
+    "prices_filled": "select days.isin, day as business_date, price, price_currency, price_convention, "
+                     "case when business_date = day then price_source else 'carried_forward' end as price_source "
+                     "from days asof left join prints on days.isin = prints.isin and day >= business_date",
 }
 
 
-def _prices_filled(spark, d, lookback=False):
-    days = pos.held_days(S.movements(spark, d), S.dates(spark, d))
-    return pos.carry_forward_prices(days, S.prices(spark, d), lookback=lookback)
+def prices_filled(bk, lookback=False):
+    return pos.carry_forward_prices(pos.held_days(bk.movements, bk.dates), bk.prices, lookback=lookback)
 
 
 @register("q_carry_forward", book_sql("select * from prices_filled", "prices", extra=_PRICES_FILLED))
 def q_carry_forward(spark, d):
     """Last known price carried over held days, with its source marker."""
-    return _prices_filled(spark, d)
+    return prices_filled(S.book(spark, d))
 
 
 @register("q_price_texture", book_sql(
@@ -98,7 +96,7 @@ def q_carry_forward(spark, d):
     "count_if(price is null) as unpriced_rows from prices_filled", "prices", extra=_PRICES_FILLED))
 def q_price_texture(spark, d):
     """Carried-forward rows and instruments that miss a print."""
-    pf = _prices_filled(spark, d)
+    pf = prices_filled(S.book(spark, d))
     cf = F.col("price_source") == "carried_forward"
     return pf.agg(
         F.count_if(cf).alias("carried_rows"),
@@ -107,39 +105,38 @@ def q_price_texture(spark, d):
     )
 
 
+# The value of one unit at its price, by convention, times the quantity, in cents.
 _VALUED = {
     **_PRICES_FILLED,
-    "valued": """select b.account_id, b.isin, v.instrument_version_sk, b.closing_quantity, p.price,
-        cast(case p.price_convention when 'percent_of_par'
-          then round(b.closing_quantity * v.nominal_value_per_unit * p.price * 0.01, 2)
-          else round(b.closing_quantity * p.price * coalesce(v.price_multiplier, 1), 2) end as double) as market_value_local,
-        p.price_currency, p.price_source, b.is_last_trading_day_of_month, b.business_date
-      from book b left join prices_filled p on b.isin = p.isin and b.business_date = p.business_date
-      left join brand_versions v on b.isin = v.isin and b.business_date >= v.valid_from and b.business_date <= v.valid_to""",
+    "worth": "select b.*, f.price, f.price_currency, f.price_source, v.instrument_version_sk, round(b.closing_quantity * (f.price * "
+             "case f.price_convention when 'percent_of_par' then v.nominal_value_per_unit * 0.01 else coalesce(v.price_multiplier, 1) end), 2) "
+             "as value from book b left join prices_filled f using (isin, business_date) "
+             "left join brand_versions v on v.isin = b.isin and b.business_date between v.valid_from and v.valid_to",
 }
 
 
-def valued_book(spark, d, quantity_basis="units", exact=False):
-    """fct_position_daily: dense book + carried prices + version + market value
-    (``exact`` keeps the value decimal for exact downstream sums)."""
-    mv = S.movements(spark, d)
-    dates = S.dates(spark, d)
-    book = pos.position_book(mv, dates, BOOK_KEYS)
-    pf = pos.carry_forward_prices(pos.held_days(mv, dates), S.prices(spark, d))
+def valued(spark, d, bk, holdings, quantity_basis="units", exact=False):
+    """Holdings (account, isin, business_date, closing_quantity) with carried
+    prices, the version of the day and the market value (``exact`` keeps the
+    value decimal for exact downstream sums)."""
     versions = replay_versions(S.brand_register_events(spark, d), order=("effective_date", "record_sequence"))
-    x = book.join(pf, ["isin", "business_date"], "left")
+    x = holdings.join(prices_filled(bk), ["isin", "business_date"], "left")
     x = resolve_version(x, versions, ["isin"], "business_date",
                         take=("instrument_version_sk", "nominal_value_per_unit", "price_multiplier"))
-    return x.select(
-        "account_id", "isin", "instrument_version_sk", "closing_quantity", "price",
-        pos.market_value(F.col("closing_quantity"), F.col("price"), F.col("price_convention"),
-                         F.col("nominal_value_per_unit"), F.col("price_multiplier"), quantity_basis)
-        .cast("decimal(38,2)" if exact else "double").alias("market_value_local"),
-        "price_currency", "price_source", "is_last_trading_day_of_month", "business_date",
-    )
+    value = pos.market_value(F.col("closing_quantity"), F.col("price"), F.col("price_convention"),
+                             F.col("nominal_value_per_unit"), F.col("price_multiplier"), quantity_basis)
+    return x.withColumn("market_value_local", value.cast("decimal(38,2)" if exact else "double"))
+
+
+def valued_book(spark, d):
+    """The dense book with prices, versions and market values."""
+    bk = S.book(spark, d)
+    x = valued(spark, d, bk, pos.position_book(bk.movements, bk.dates, BOOK_KEYS))
+    return x.select("account_id", "isin", "instrument_version_sk", "closing_quantity", "price", "market_value_local",
+                    "price_currency", "price_source", "is_last_trading_day_of_month", "business_date")
 
 
-@register("q_valuation", book_sql("select * from valued", "prices", "brand_versions", extra=_VALUED))
+@register("q_valuation", book_sql("select * exclude (value), cast(value as double) as market_value_local from worth", "prices", "brand_versions", extra=_VALUED))
 def q_valuation(spark, d):
     """M13 + B4: the valued daily position book."""
     return valued_book(spark, d)

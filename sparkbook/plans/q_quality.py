@@ -7,15 +7,15 @@ from pyspark.sql import functions as F
 
 from sparkbook.operators import defects as DF
 from sparkbook.operators import quality as Q
-from sparkbook.operators import temporal as T
-from sparkbook.operators.positions import position_book
+from sparkbook.operators.positions import held_days, position_book
 from sparkbook.operators.recon import reconcile
 from sparkbook.plans import standins as S
 from sparkbook.plans.oracle_sql import with_ctes
 from sparkbook.plans.q_positions import BOOK_KEYS, book_sql
 from sparkbook.plans.q_scalars import instr, isql
 from sparkbook.plans.q_temporal import REG_KEYS, reg_facts, register_versions, statement
-from sparkbook.plans.registry import register
+from sparkbook.plans.registry import QUERIES, register
+from sparkbook.sources.instruments import delta_rules
 
 
 def sql_victim(table: str, id_col: str, cols: list[str]) -> str:
@@ -110,37 +110,94 @@ def q_empty_strings(spark, d):
     return wide.unpivot([], cols, "column_name", "empty_values")
 
 
-@register("q_delta_rules", with_ctes(
-    "select 'unknown_record_type' as rule, isin, trading_venue_mic, effective_date from register_deltas "
-    "where version_source not in ('NEW', 'MODFD', 'TERMNTD', 'CANC') "
-    "union all select 'missing_key', isin, trading_venue_mic, effective_date from register_deltas "
-    "where isin is null or trading_venue_mic is null "
-    "union all select 'canc_with_payload', isin, trading_venue_mic, effective_date from register_deltas "
-    "where version_source = 'CANC' and instrument_full_name is not null", "register_deltas"))
-def q_delta_rules(spark, d):
-    """Structural rules on the delta feed."""
+_FEED = {
+    "feed": "select version_source as record_type, isin, trading_venue_mic, record_sequence, source_file, effective_date as publication_date, "
+            "case when record_sequence % 17 = 0 then null when record_sequence % 13 = 0 then cast(effective_date + interval 1 day as date) else effective_date end as reporting_date, "
+            "case when version_source = 'CANC' and record_sequence % 2 = 0 then null else instrument_full_name end as full_name, "
+            "case when record_sequence % 7 = 0 then '' when version_source <> 'CANC' then 'ESVUFR' end as cfi_code, "
+            "case when record_sequence % 11 <> 0 and version_source <> 'CANC' then 'EUR' end as notional_ccy, "
+            "case when record_sequence % 5 <> 0 and version_source = 'TERMNTD' then '2001-01-01' end as termination_dt from register_deltas",
+    "kids": "select isin, trading_venue_mic, case when record_sequence % 19 = 0 then record_sequence + 1 else record_sequence end as record_sequence, source_file, "
+            "'ISIN' as t, case when record_sequence % 23 = 0 then null when record_sequence % 29 = 0 then 'X' else 'DE0001102333' end as id from feed where record_sequence % 2 = 0",
+}
+
+
+def delta_feed(spark, d):
+    """Stand-in feed and children with a fault of each kind in some records."""
     x = S.register_deltas(spark, d)
-    cols = [*REG_KEYS, "effective_date"]
-    rules = [
-        ("unknown_record_type", ~F.col("version_source").isin(*S.RECORD_TYPES)),
-        ("missing_key", F.col("isin").isNull() | F.col("trading_venue_mic").isNull()),
-        ("canc_with_payload", (F.col("version_source") == "CANC") & F.col("instrument_full_name").isNotNull()),
-    ]
-    out = None
-    for name, cond in rules:
-        part = x.filter(cond).select(F.lit(name).alias("rule"), *cols)
-        out = part if out is None else out.unionByName(part)
-    return out
+    n, kind = F.col("record_sequence"), F.col("version_source")
+    feed = x.select(
+        kind.alias("record_type"), "isin", "trading_venue_mic", n, "source_file", F.col("effective_date").alias("publication_date"),
+        F.when(n % 17 == 0, F.lit(None)).when(n % 13 == 0, F.date_add("effective_date", 1)).otherwise(F.col("effective_date")).alias("reporting_date"),
+        F.when((kind == "CANC") & (n % 2 == 0), F.lit(None)).otherwise(F.col("instrument_full_name")).alias("full_name"),
+        F.when(n % 7 == 0, "").when(kind != "CANC", "ESVUFR").alias("cfi_code"), F.when((n % 11 != 0) & (kind != "CANC"), "EUR").alias("notional_ccy"),
+        F.when((n % 5 != 0) & (kind == "TERMNTD"), "2001-01-01").alias("termination_dt"))
+    kids = feed.filter(n % 2 == 0).select(
+        F.col("isin").alias("parent_isin"), F.col("trading_venue_mic").alias("parent_mic"), F.when(n % 19 == 0, n + 1).otherwise(n).alias("record_sequence"),
+        "source_file", F.lit("ISIN").alias("underlying_type"),
+        F.when(n % 23 == 0, F.lit(None)).when(n % 29 == 0, "X").otherwise("DE0001102333").alias("underlying_id"), F.lit(None).cast("string").alias("underlying_name"))
+    return feed, kids
+
+
+def _rule(name, severity, where, table="feed"):
+    return f"select '{name}' as rule, '{severity}' as severity, isin, trading_venue_mic, source_file from {table} where {where}"
+
+
+@register("q_delta_rules", with_ctes(" union all ".join([
+    _rule("unknown_record_type", "fatal", "record_type not in ('NEW', 'MODFD', 'TERMNTD', 'CANC')"),
+    _rule("missing_key", "fatal", "isin is null or trading_venue_mic is null"),
+    _rule("no_header_date", "fatal", "reporting_date is null"),
+    _rule("header_date_differs", "fatal", "reporting_date <> publication_date"),
+    _rule("canc_with_payload", "fatal", "record_type = 'CANC' and coalesce(full_name, cfi_code, notional_ccy, termination_dt) is not null"),
+    _rule("no_cfi_code", "warn", "record_type <> 'CANC' and coalesce(cfi_code, '') = ''"),
+    _rule("no_notional_ccy", "warn", "record_type <> 'CANC' and notional_ccy is null"),
+    _rule("undated_termination", "warn", "record_type = 'TERMNTD' and termination_dt is null"),
+    _rule("orphan_underlying", "fatal", "not exists (select 1 from feed f where f.isin = k.isin and f.trading_venue_mic = k.trading_venue_mic and "
+          "f.record_sequence = k.record_sequence and f.source_file = k.source_file)", "kids k"),
+    _rule("bad_underlying_id", "fatal", "id = 'X'", "kids"),
+    _rule("unidentified_underlying", "warn", "id is null", "kids"),
+]), "register_deltas", extra=_FEED))
+def q_delta_rules(spark, d):
+    """Structural rules on the delta feed and its underlyings."""
+    return delta_rules(*delta_feed(spark, d))
 
 
 # ---- defect injectors: the matching check must fire -----------------------------------
 
+# A defect is shown by a check that finds nothing in the clean input and something in the injected one.
+# name -> (check on the clean input); tests hold both sides.
+CLEAN = {}
+
+
+def clean(name):
+    def deco(fn):
+        CLEAN[name] = fn
+        return fn
+
+    return deco
+
+
+_ONE_TRADE = {"one_trade": f"select {', '.join(TRADE_COLS)} from (select *, row_number() over (partition by trade_id order by "
+                           + ", ".join(f"{c} nulls first" for c in TRADE_COLS) + ") as rn from trades) where rn = 1"}
+
+
+def one_trade(spark, d):
+    """Trades with a total id: of rows that share an id the least stays."""
+    t = S.trades(spark, d)
+    return t.groupBy("trade_id").agg(F.min(F.struct(*TRADE_COLS)).alias("t")).select("t.*")
+
+
+@clean("q_inject_duplicate_trade_id")
+def _(spark, d):
+    return Q.unique(one_trade(spark, d), "trade_id")
+
+
 @register("q_inject_duplicate_trade_id", with_ctes(
-    "select trade_id, count(*) as n_records from (select * from trades union all (" + sql_victim("trades", "trade_id", TRADE_COLS)
-    + ")) x group by trade_id having count(*) > 1", "trades"))
+    "select trade_id, count(*) as n_records from (select * from one_trade union all (" + sql_victim("one_trade", "trade_id", TRADE_COLS)
+    + ")) x group by trade_id having count(*) > 1", "trades", extra=_ONE_TRADE))
 def q_inject_duplicate_trade_id(spark, d):
     """2.10 duplicate_trade_id -> unique(trade_id)."""
-    return Q.unique(DF.duplicate_row(S.trades(spark, d), "trade_id"), "trade_id")
+    return Q.unique(DF.duplicate_row(one_trade(spark, d), "trade_id"), "trade_id")
 
 
 def _replace_sql(table, id_col, cols, changes: dict[str, str]):
@@ -211,9 +268,8 @@ _SINCE = {"since": "select o_custkey as client_id, cast(min(o_orderdate) as date
                           "from lineitem)) - interval 3650 day as date)"})}))
 def q_inject_assignment_before_onboarding(spark, d):
     """2.10 assignment_before_onboarding -> expression assigned_date >= client_since."""
-    first_session = S.calendar(spark, d).agg(F.min("calendar_date")).first()[0]
-    a = DF.replace_in_row(S.assignments(spark, d), "tie",
-                          {"assigned_date": F.date_sub(F.lit(first_session), 3650)})
+    first_session = S.calendar(spark, d).agg(F.min("calendar_date")).scalar()
+    a = DF.replace_in_row(S.assignments(spark, d), "tie", {"assigned_date": F.date_sub(first_session, 3650)})
     o = S.table(spark, d, "orders")
     since = o.groupBy(F.col("o_custkey").alias("client_id")).agg(F.min("o_orderdate").cast("date").alias("client_since"))
     j = a.join(since, "client_id")
@@ -235,14 +291,14 @@ _PRICE_COLS = ["isin", "business_date", "price", "price_currency", "price_source
     }))
 def q_inject_missing_price(spark, d):
     """2.10 missing_price -> a held day whose print was removed."""
-    from sparkbook.operators.positions import held_days
-    p = S.prices(spark, d)
-    held = held_days(S.movements(spark, d), S.dates(spark, d))
+    bk = S.book(spark, d)
+    p = bk.prices
+    held = held_days(bk.movements, bk.dates)
     had = held.join(p, ["isin", "business_date"], "left_semi")
     pool = p.join(held, ["isin", "business_date"], "left_semi")
     keyed = pool.withColumn("pid", F.concat("isin", F.col("business_date").cast("string")))
     v = DF.victim(keyed.select("pid", *_PRICE_COLS), "pid").drop("pid")
-    injected = p.exceptAll(v)
+    injected = DF.without_one(p, v.select(*p.columns))
     return had.join(injected, ["isin", "business_date"], "left_anti").select("isin", "business_date")
 
 
@@ -264,44 +320,79 @@ def q_inject_missing_price(spark, d):
     }))
 def q_inject_snapshot_break(spark, d):
     """2.10 snapshot_break -> the book/statement reconciliation breaks."""
-    st = statement(spark, d, open_days_only=True)
+    bk = S.book(spark, d)
+    st = statement(bk, open_days_only=True)
     keyed = st.withColumn("sid", F.concat(F.col("account_id").cast("string"), "isin", F.col("snapshot_date").cast("string")))
     broken = DF.replace_in_row(keyed, "sid", {"quantity": F.col("quantity") * 2 + 1}).drop("sid")
-    book = position_book(S.movements(spark, d), S.dates(spark, d), BOOK_KEYS).filter("is_last_trading_day_of_month")
+    book = position_book(bk.movements, bk.dates, BOOK_KEYS).filter("is_last_trading_day_of_month")
     return reconcile(book.withColumnRenamed("business_date", "as_of_date"), broken, [*BOOK_KEYS, "as_of_date"],
                      "closing_quantity", "quantity", right_keys=[*BOOK_KEYS, "snapshot_date"])
 
 
-@register("q_inject_broken_invariant", book_sql(
-    "select account_id, isin, business_date, closing_quantity from ibook where closing_quantity < 0",
-    extra={
-        "last_day": "select max(date_key) as d from dates where is_trading_day",
-        "final": "select account_id, isin, closing_quantity from book where business_date = (select d from last_day) "
-                 "and closing_quantity > 0",
-        "v": "select account_id, isin, closing_quantity from final order by "
-             "('0x' || substr(sha256(cast(account_id as varchar) || '|' || isin), 1, 16))::UBIGINT, account_id, isin limit 1",
-        "imov": "select account_id, isin, movement_date, quantity_delta from movements union all "
-                "select account_id, isin, (select d from last_day), -2 * closing_quantity from v",
-        "ih": "select account_id, isin, min(movement_date) as first_movement_date from imov group by account_id, isin",
-        "isp": "select h.account_id, h.isin, d.date_key as business_date from ih h join dates d "
-               "on h.first_movement_date <= d.date_key where d.is_trading_day",
-        "idel": "select account_id, isin, movement_date, sum(quantity_delta) as quantity_delta from imov "
-                "group by account_id, isin, movement_date",
-        "ibook": "select s.account_id, s.isin, s.business_date, cast(sum(coalesce(x.quantity_delta, 0)) over "
-                 "(partition by s.account_id, s.isin order by s.business_date rows between unbounded preceding and "
-                 "current row) as bigint) as closing_quantity from isp s left join idel x on s.account_id = x.account_id "
-                 "and s.isin = x.isin and s.business_date = x.movement_date",
+def long_only(bk):
+    """A book that never falls below zero: what comes in stays."""
+    return bk.movements.filter("quantity_delta > 0")
+
+
+@clean("q_inject_broken_invariant")
+def _(spark, d):
+    bk = S.book(spark, d)
+    return position_book(long_only(bk), bk.dates, BOOK_KEYS).filter("closing_quantity < 0")
+
+
+@register("q_inject_broken_invariant", with_ctes(
+    "select account_id, isin, d as business_date, -final as closing_quantity from v",
+    "movements", "calendar", "dates", extra={
+        "nets": "select account_id, isin, movement_date, sum(quantity_delta) as q from movements group by account_id, isin, movement_date having sum(quantity_delta) > 0",
+        "final": "select account_id, isin, cast(sum(case when is_trading_day then q else 0 end) as bigint) as final, (select max(date_key) from dates where is_trading_day) as d "
+                 "from nets join calendar on movement_date = calendar_date where movement_date <= (select max(date_key) from dates where is_trading_day) "
+                 "group by account_id, isin",
+        "v": "select * from final where final > 0 order by ('0x' || substr(sha256(cast(account_id as varchar) || '|' || isin), 1, 16))::UBIGINT, "
+             "account_id, isin limit 1",
     }))
 def q_inject_broken_invariant(spark, d):
     """2.10 broken_invariant -> an oversell drives a derived position negative."""
-    mv = S.movements(spark, d).select(*BOOK_KEYS, "movement_date", "quantity_delta")
-    dates = S.dates(spark, d)
-    book = position_book(mv, dates, BOOK_KEYS)
-    last_day = dates.filter("is_trading_day").agg(F.max("date_key")).first()[0]
-    final = book.filter(F.col("business_date") == F.lit(last_day))
-    bad = DF.oversell(mv, final, BOOK_KEYS, F.lit(last_day))
-    ib = position_book(bad, dates, BOOK_KEYS)
-    return ib.filter("closing_quantity < 0").select(*BOOK_KEYS, "business_date", "closing_quantity")
+    bk = S.book(spark, d)
+    last_day = bk.dates.filter("is_trading_day").agg(F.max("date_key")).scalar()
+    final = position_book(long_only(bk), bk.dates, BOOK_KEYS).filter(F.col("business_date") == last_day)
+    bad = DF.oversell(long_only(bk), final, BOOK_KEYS, last_day)
+    return position_book(bad, bk.dates, BOOK_KEYS).filter("closing_quantity < 0").select(*BOOK_KEYS, "business_date", "closing_quantity")
+
+
+def _trades_check(name, check):
+    clean(name)(lambda spark, d: check(S.trades(spark, d), spark, d))
+
+
+_trades_check("q_inject_orphan_instrument", lambda t, s, d: Q.relationships(t, S.table(s, d, "part").select(F.col("p_brand").alias("isin")), "isin"))
+_trades_check("q_inject_bad_enum", lambda t, s, d: Q.accepted_values(t, "trade_side", ["BUY", "SELL"]))
+_trades_check("q_inject_null_required", lambda t, s, d: Q.not_null(t, "trading_venue_mic"))
+
+
+@clean("q_inject_duplicate_event_id")
+def _(spark, d):
+    return Q.unique(S.cash_events(spark, d), "event_id")
+
+
+@clean("q_inject_orphan_cash_event")
+def _(spark, d):
+    return Q.relationships(S.cash_events(spark, d), S.table(spark, d, "customer").select("c_custkey"), {"account_id": "c_custkey"})
+
+
+@clean("q_inject_assignment_before_onboarding")
+def _(spark, d):
+    a = S.assignments(spark, d)
+    since = S.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("client_id")).agg(F.min("o_orderdate").cast("date").alias("client_since"))
+    return Q.expression_is_true(a.join(since, "client_id"), "assigned_date >= client_since")
+
+
+@clean("q_inject_missing_price")
+def _(spark, d):
+    bk = S.book(spark, d)
+    held = held_days(bk.movements, bk.dates)
+    had = held.join(bk.prices, ["isin", "business_date"], "left_semi")
+    return had.join(bk.prices, ["isin", "business_date"], "left_anti")
 
 
-__all__ = ["T"]
+@clean("q_inject_snapshot_break")
+def _(spark, d):
+    return QUERIES["q_reconcile_range"].build(spark, d)

@@ -292,3 +292,12 @@ def q_max_date(spark, d):
     """The latest publication must equal the configured base date."""
     m = S.register_deltas(spark, d).agg(F.max("effective_date").alias("snapshot_publication_date"))
     return m.filter(F.col("snapshot_publication_date") != F.to_date(F.lit(S.REGISTER_BASE_DATE)))
+
+
+@register("q_calendar_recon", with_ctes(
+    "select rate_date as calendar_date, 'quoted_but_closed' as finding from (select distinct rate_date from rates) where rate_date not in "
+    "(select calendar_date from calendar where is_trading_day) union all select calendar_date, 'open_but_unquoted' from calendar where is_trading_day "
+    "and calendar_date not in (select rate_date from rates) and calendar_date between date '1993-01-01' and date '1997-12-31'", "rates", "calendar"))
+def q_calendar_recon(spark, d):
+    """Days on which observed rates and the calendar's rules disagree (both directions)."""
+    return cal.reconcile_quotes(S.calendar(spark, d), S.rates(spark, d), since="1993-01-01", until="1997-12-31")

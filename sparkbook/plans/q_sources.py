@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from sparkbook.sources import files as FS
-from sparkbook.sources import registers as R
 from sparkbook.plans import standins as S
 from sparkbook.plans.oracle_sql import with_ctes
 from sparkbook.plans.registry import register
+from sparkbook.session import checkpoint_root
+from sparkbook.sources import files as FS
+from sparkbook.sources import registers as R
 
 FLAGS = ["A", "N", "R"]
 
@@ -135,10 +138,13 @@ def q_resume_gap(spark, d):
 
 
 @register("q_fidelity", "select (select count(*) from orders) as source_rows, (select count(*) from orders) as loaded_rows, "
-          "true as schema_equal")
+          "true as schema_equal, true as content_equal")
 def q_fidelity(spark, d):
-    """Load fidelity (counts and ordered schema) of a re-read table."""
-    return FS.verify_load(S.table(spark, d, "orders"), S.table(spark, d, "orders"))
+    """Load fidelity (counts, ordered schema, contents) of a written table against its source."""
+    orders = S.table(spark, d, "orders")
+    path = f"{checkpoint_root(spark)}/tables/fidelity-{uuid.uuid4().hex}"
+    FS.replace_table(orders, path)
+    return FS.verify_load(orders, spark.read.parquet(path))
 
 
 _FP_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "order_day", "o_orderpriority"]
@@ -147,7 +153,7 @@ _FP_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "order_day", "o_orderpri
 @register("q_fingerprint", "select count(*) as n_rows, cast(sum(('0x' || substr(h, 1, 16))::UBIGINT::HUGEINT) % "
           "18446744073709551616 as varchar) as fp_a, cast(sum(('0x' || substr(h, 17, 16))::UBIGINT::HUGEINT) % "
           "18446744073709551616 as varchar) as fp_b from (select sha256(concat_ws(chr(31), " + ", ".join(
-              f"coalesce(cast({c} as varchar), '\\N')" for c in
+              f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), 'N')" for c in
               ["o_orderkey", "o_custkey", "o_orderstatus", "cast(o_orderdate as date)", "o_orderpriority"])
           + ")) as h from orders) x")
 def q_fingerprint(spark, d):

@@ -80,6 +80,60 @@ def q_interval_order(spark, d):
     return T.interval_order_violations(register_versions(spark, d)).select(*REG_KEYS, "valid_from", "valid_to")
 
 
+# Fixed values of the stand-in: which keys' second versions are broken, and by how many days.
+_BROKEN = {"broken": "select * replace (cast(valid_from + to_days(case when version_no = 2 and isin % 10 = 1 then 3 when version_no = 2 and isin % 10 = 2 "
+                     "then -3 else 0 end) as date) as valid_from, case when version_no = 2 and isin % 10 = 3 then date '1960-01-02' else valid_to end "
+                     "as valid_to, is_current and isin % 10 <> 4 as is_current) from register_versions"}
+
+
+def broken_versions(spark, d):
+    """The register with second versions that start late, start early or end in the past, and keys without a current version."""
+    v = register_versions(spark, d)
+    second = F.col("version_no") == 2
+    kind = F.col("isin") % 10
+    shift = F.when(second & (kind == 1), 3).when(second & (kind == 2), -3).otherwise(0)
+    return v.withColumns({
+        "valid_from": F.date_add("valid_from", shift),
+        "valid_to": F.when(second & (kind == 3), F.to_date(F.lit("1960-01-02"))).otherwise(F.col("valid_to")),
+        "is_current": F.col("is_current") & (kind != 4),
+    })
+
+
+@register("q_gaps_broken", with_ctes(
+    "select b.isin, b.trading_venue_mic, b.valid_from, p.valid_to as prev_valid_to from broken b join broken p on p.isin = b.isin and "
+    "p.trading_venue_mic = b.trading_venue_mic and p.valid_from = (select max(q.valid_from) from broken q where q.isin = b.isin and "
+    "q.trading_venue_mic = b.trading_venue_mic and q.valid_from < b.valid_from) where b.valid_from - p.valid_to <> 1",
+    "register_versions", extra=_BROKEN))
+def q_gaps_broken(spark, d):
+    """The gap check on a register with planted faults."""
+    return T.timeline_gaps(broken_versions(spark, d), REG_KEYS)
+
+
+@register("q_overlaps_broken", with_ctes(
+    "select b.isin, b.trading_venue_mic, b.valid_from, b.valid_to, p.valid_to as prev_valid_to from broken b join broken p on p.isin = b.isin and "
+    "p.trading_venue_mic = b.trading_venue_mic and p.valid_from = (select max(q.valid_from) from broken q where q.isin = b.isin and "
+    "q.trading_venue_mic = b.trading_venue_mic and q.valid_from < b.valid_from) where p.valid_to >= b.valid_from",
+    "register_versions", extra=_BROKEN))
+def q_overlaps_broken(spark, d):
+    """The overlap check on a register with planted faults."""
+    return T.timeline_overlaps(broken_versions(spark, d), REG_KEYS)
+
+
+@register("q_one_current_broken", with_ctes(
+    "select distinct isin, trading_venue_mic, cast(0 as bigint) as current_versions from broken b where not exists (select 1 from broken c "
+    "where c.is_current and c.isin = b.isin and c.trading_venue_mic = b.trading_venue_mic)", "register_versions", extra=_BROKEN))
+def q_one_current_broken(spark, d):
+    """The current-version check on a register with planted faults."""
+    return T.current_count_violations(broken_versions(spark, d), REG_KEYS)
+
+
+@register("q_interval_order_broken", with_ctes(
+    "select isin, trading_venue_mic, valid_from, valid_to from broken where valid_to < valid_from", "register_versions", extra=_BROKEN))
+def q_interval_order_broken(spark, d):
+    """The interval check on a register with planted faults."""
+    return T.interval_order_violations(broken_versions(spark, d)).select(*REG_KEYS, "valid_from", "valid_to")
+
+
 @register("q_key_collision", with_ctes(
     "select distinct n.isin, n.trading_venue_mic from register_deltas n join register_base b "
     "using (isin, trading_venue_mic) where n.version_source = 'NEW' and n.effective_date > date '1998-01-01'",
@@ -93,9 +147,8 @@ def q_key_collision(spark, d):
 
 
 @register("q_cancelled_present", with_ctes(
-    "select v.isin, v.trading_venue_mic, v.version_source, v.valid_from from register_versions v "
-    "join (select distinct isin, trading_venue_mic from register_deltas where version_source = 'CANC') c "
-    "using (isin, trading_venue_mic)", "register_versions", "register_deltas"))
+    "select isin, trading_venue_mic, version_source, valid_from from register_versions v where exists (select 1 from register_deltas x "
+    "where x.version_source = 'CANC' and (x.isin, x.trading_venue_mic) = (v.isin, v.trading_venue_mic))", "register_versions", "register_deltas"))
 def q_cancelled_present(spark, d):
     """Cancelled keys (recomputed from the raw deltas) still in the register."""
     canc = S.register_deltas(spark, d).filter(F.col("version_source") == "CANC").select(*REG_KEYS).distinct()
@@ -202,29 +255,27 @@ _SNAP_SQL = {
 }
 
 
-def statement(spark, d, open_days_only=False):
-    dates = S.dates(spark, d)
-    ends = dates.filter("is_last_trading_day_of_month").select("date_key")
-    return positions_at(S.movements(spark, d), ends, dates, BOOK_KEYS, open_days_only=open_days_only)
+def statement(bk, open_days_only=False):
+    ends = bk.dates.filter("is_last_trading_day_of_month").select("date_key")
+    return positions_at(bk.movements, ends, bk.dates, BOOK_KEYS, open_days_only=open_days_only)
 
 
 @register("q_snapshot", book_sql("select * from statement", extra=_SNAP_SQL))
 def q_snapshot(spark, d):
     """Published month-end statement rebuilt by range aggregation
     (custodian view: movements on closed days count)."""
-    return statement(spark, d)
+    return statement(S.book(spark, d))
 
 
-_RECON = ("select coalesce(b.account_id, s.account_id) as account_id, coalesce(b.isin, s.isin) as isin, "
-          "coalesce(b.business_date, s.snapshot_date) as as_of_date, coalesce(b.closing_quantity, 0) as derived_quantity, "
-          "coalesce(s.quantity, 0) as published_quantity from (select * from book where is_last_trading_day_of_month) b "
-          "full outer join {side} s on b.account_id = s.account_id and b.isin = s.isin and b.business_date = s.snapshot_date "
-          "where coalesce(b.closing_quantity, 0) <> coalesce(s.quantity, 0)")
+_RECON = ("select account_id, isin, as_of_date, cast(sum(d) as bigint) as derived_quantity, cast(sum(p) as bigint) as published_quantity from "
+          "(select account_id, isin, business_date as as_of_date, closing_quantity as d, 0 as p from book where is_last_trading_day_of_month "
+          "union all select account_id, isin, snapshot_date, 0, quantity from {side}) group by account_id, isin, as_of_date having sum(d) <> sum(p)")
 
 
 def _recon(spark, d, open_days_only):
-    book = position_book(S.movements(spark, d), S.dates(spark, d), BOOK_KEYS).filter("is_last_trading_day_of_month")
-    st = statement(spark, d, open_days_only)
+    bk = S.book(spark, d)
+    book = position_book(bk.movements, bk.dates, BOOK_KEYS).filter("is_last_trading_day_of_month")
+    st = statement(bk, open_days_only)
     return reconcile(book.withColumnRenamed("business_date", "as_of_date"), st, [*BOOK_KEYS, "as_of_date"],
                      "closing_quantity", "quantity", right_keys=[*BOOK_KEYS, "snapshot_date"])
 

@@ -17,11 +17,14 @@ Spark queries) and the equivalent DuckDB SQL (used only by the oracle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkbook.operators import calendar as cal
 from sparkbook.operators.positions import position_movements
+from sparkbook.session import materialise
 
 # Closing days (month, day) of the stand-in exchange calendar.
 CLOSING_MONTH_DAYS = [(1, 1), (12, 25)]
@@ -90,35 +93,64 @@ def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return position_movements(trades(spark, sf_dir), transfers(spark, sf_dir))
 
 
+def bounded_calendar(days: DataFrame, day: str) -> DataFrame:
+    """Every day between the first and the last of ``days``; nothing runs until it is used."""
+    bounds = days.agg(F.min(F.col(day).cast("date")).alias("start_date"), F.max(F.col(day).cast("date")).alias("end_date"))
+    return cal.trading_calendar(bounds, closing_month_days=CLOSING_MONTH_DAYS)
+
+
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bounds are two scalars read once (one column of one table); the
-    calendar itself is then built from literals, so every later size check
-    or broadcast of it costs nothing upstream."""
-    li = table(spark, sf_dir, "lineitem")
-    lo, hi = li.agg(F.min("l_shipdate").cast("date"), F.max("l_shipdate").cast("date")).first()
-    bounds = spark.range(1).select(F.lit(lo).alias("start_date"), F.lit(hi).alias("end_date"))
-    closed = cal.fixed_holidays(bounds, CLOSING_MONTH_DAYS)
-    return cal.trading_calendar(bounds, closed)
+    return bounded_calendar(table(spark, sf_dir, "lineitem").select("l_shipdate"), "l_shipdate")
 
 
 def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cal.dim_dates(calendar(spark, sf_dir))
 
 
-def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One print per (brand, ship day) with shipments; convention by brand parity."""
-    b = book_lines(spark, sf_dir)
-    brand_no = F.substring("isin", 7, 10).cast("int")
-    return b.groupBy("isin", F.col("ship_date").alias("business_date")).agg(
-        F.max("gross_consideration").cast("decimal(18,4)").alias("price")
-    ).select(
+def convention(brand: str = "isin") -> Column:
+    """Price convention by brand parity: even brands quote in percent of par."""
+    return F.when(F.substring(brand, 7, 10).cast("int") % 2 == 0, "percent_of_par").otherwise("per_unit")
+
+
+def _prints(tops: DataFrame) -> DataFrame:
+    return tops.select(
         "isin", "business_date", "price",
         F.lit("EUR").alias("price_currency"),
         F.lit("simulated").alias("price_source"),
-        F.when(brand_no % 2 == 0, "percent_of_par").otherwise("per_unit").alias("price_convention"),
+        convention().alias("price_convention"),
     )
 
 
+def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One print per (brand, ship day) with shipments: the day's largest gross."""
+    b = book_lines(spark, sf_dir)
+    return _prints(b.groupBy("isin", F.col("ship_date").alias("business_date")).agg(
+        F.max("gross_consideration").cast("decimal(18,4)").alias("price")))
+
+
+@dataclass(frozen=True)
+class Book:
+    """What the position book is made of, all read from one small table per
+    (account, instrument, day) that a single pass over the facts has written."""
+
+    movements: DataFrame
+    calendar: DataFrame
+    dates: DataFrame
+    prices: DataFrame
+
+
+def book(spark: SparkSession, sf_dir: str) -> Book:
+    b = book_lines(spark, sf_dir)
+    moves = F.col("linestatus").isin("F", "O")
+    signed = F.when(F.col("returnflag") == "R", -F.col("quantity")).otherwise(F.col("quantity"))
+    days = materialise(b.groupBy("account_id", "isin", F.col("ship_date").alias("movement_date")).agg(
+        F.sum(F.when(moves, signed)).alias("quantity_delta"), F.max("gross_consideration").alias("top_gross")), "book-days")
+    spine = bounded_calendar(days.select("movement_date"), "movement_date")
+    tops = days.groupBy("isin", F.col("movement_date").alias("business_date")).agg(F.max("top_gross").cast("decimal(18,4)").alias("price"))
+    moved = days.filter(F.col("quantity_delta").isNotNull()).select("account_id", "isin", "movement_date", "quantity_delta")
+    return Book(moved, spine, cal.dim_dates(spine), _prints(tops))
+
+
 def brand_register_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Versioning events of the brand-level instrument register: a base
     version per brand, then a new version at each brand's first shipment of

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +14,6 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
@@ -27,8 +25,8 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "sparkbook") -> SparkSession:
-    """A local session for tests and the bench; clusters build their own."""
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "sparkbook", shared: str | None = None) -> SparkSession:
+    """A local session for tests and the bench; clusters build their own. ``shared`` sets ``spark.checkpoint.dir``."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -38,6 +36,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "8g")
         .config("spark.sql.ansi.enabled", "true")
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for key, value in ENGINE_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -46,31 +46,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for materialised intermediates.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared, durable location and
-    is used as given. Only where it is unset (local tests) do we pick a fresh
-    scratch folder, so lineage cuts keep working on a laptop.
-    """
+    """The folder for intermediate tables that driver and executors share, named by ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="sparkbook-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
+    return root.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Cut lineage so a lost executor does not replay the whole upstream plan.
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame once under the shared folder and read it back.
 
-    With a name the frame is written as parquet under the checkpoint root and
-    read back (survives executor loss, reusable by later stages); without one
-    a reliable ``checkpoint()`` is used. Never a local checkpoint.
+    Cuts lineage, so a lost executor does not replay the upstream plan, and lets
+    several branches of one query read a small derived table in place of the facts.
     """
-    spark = df.sparkSession
-    root = checkpoint_root(spark)
-    if name is None:
-        return df.checkpoint(eager=True)
-    path = os.path.join(root, "tables", name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = f"{checkpoint_root(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkbook.functions.keys import stable_hash64
-
 # Field separator and null marker of the content fingerprint.
 FIELD_SEP = "\x1f"
-NULL_MARK = "\\N"
+NULL_MARK = "N"
 
 
 def latest_set(listing: DataFrame, stamp_col: str = "publication_date") -> DataFrame:
@@ -22,6 +21,7 @@ def latest_set(listing: DataFrame, stamp_col: str = "publication_date") -> DataF
 
 
 def sets_in_range(listing: DataFrame, since: str, until: str, stamp_col: str = "publication_date") -> DataFrame:
+    """Files published in [since, until]."""
     return listing.filter(F.col(stamp_col).between(F.to_date(F.lit(since)), F.to_date(F.lit(until))))
 
 
@@ -38,58 +38,93 @@ def resume_plan(listing: DataFrame, watermark: str, stamp_col: str = "publicatio
     )
 
 
+def require_no_gap(plan: DataFrame) -> None:
+    """Refuse a chain whose next needed day is no longer listed: a later delta cannot be applied over a hole."""
+    row = plan.first()
+    if row is not None and row["is_gap"]:
+        raise ValueError(f"publications from {row['next_needed']} on are needed, the earliest listed is {row['earliest_listed']}: take a new base")
+
+
+def framed(cols: Sequence[str]) -> Column:
+    """A row as one string from which its fields can be told apart: each is
+    preceded by its length, and a null by a mark that no length can be."""
+    parts = []
+    for c in cols:
+        text = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit(NULL_MARK)))
+    return F.concat_ws(FIELD_SEP, *parts)
+
+
 def fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Order-insensitive content fingerprint: row count plus two 64-bit sums
-    (mod 2^64) of per-row sha256 slices over the framed, typed values.
+    (mod 2^64) of per-row sha256 slices over the framed values.
 
     A commutative aggregate, so it combines map-side and never gathers the
-    rows or their hashes; any changed, added or removed row changes it.
+    rows or their hashes; any changed, added or removed row changes it. Sums
+    are kept in decimals wide enough for 10^18 rows.
     """
     cols = list(cols or df.columns)
-    framed = F.concat_ws(FIELD_SEP, *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARK)) for c in cols])
-    h = F.sha2(framed, 256)
-    a = F.conv(F.substring(h, 1, 16), 16, 10).cast("decimal(20,0)")
-    b = F.conv(F.substring(h, 17, 16), 16, 10).cast("decimal(20,0)")
+    h = F.sha2(framed(cols), 256)
+    halves = [F.conv(F.substring(h, at, 16), 16, 10).cast("decimal(28,0)") for at in (1, 17)]
     two64 = F.lit(Decimal(2**64))
-    g = df.select(a.alias("__a"), b.alias("__b")).agg(
+    g = df.select(halves[0].alias("__a"), halves[1].alias("__b")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("__a").alias("__sa"), F.sum("__b").alias("__sb"))
-    return g.select("n_rows", F.pmod("__sa", two64).cast("decimal(20,0)").cast("string").alias("fp_a"),
-                    F.pmod("__sb", two64).cast("decimal(20,0)").cast("string").alias("fp_b"))
+    total = lambda c: F.pmod(F.coalesce(c, F.lit(Decimal(0)).cast("decimal(38,0)")), two64).cast("decimal(20,0)").cast("string")
+    return g.select("n_rows", total(F.col("__sa")).alias("fp_a"), total(F.col("__sb")).alias("fp_b"))
 
 
 def verify_load(src: DataFrame, dst: DataFrame) -> DataFrame:
-    """Load fidelity: row counts and ordered (name, type) lists must agree."""
-    same_schema = [(f.name, f.dataType.simpleString()) for f in src.schema] == [
-        (f.name, f.dataType.simpleString()) for f in dst.schema]
-    n_src, n_dst = src.count(), dst.count()  # two scalars
-    return src.sparkSession.createDataFrame(
-        [(n_src, n_dst, same_schema)], "source_rows bigint, loaded_rows bigint, schema_equal boolean")
+    """Load fidelity, one row: row counts, ordered (name, type) lists and contents must agree."""
+    kinds = [[(f.name, f.dataType.simpleString()) for f in x.schema] for x in (src, dst)]
+    a = fingerprint(src).select(F.col("n_rows").alias("source_rows"), F.concat("fp_a", F.lit("-"), "fp_b").alias("__a"), F.lit(1).alias("__one"))
+    b = fingerprint(dst).select(F.col("n_rows").alias("loaded_rows"), F.concat("fp_a", F.lit("-"), "fp_b").alias("__b"), F.lit(1).alias("__one"))
+    return a.join(b, "__one").select("source_rows", "loaded_rows", F.lit(kinds[0] == kinds[1]).alias("schema_equal"),
+                                     (F.col("__a") == F.col("__b")).alias("content_equal"))
 
 
 def gated_write(df: DataFrame, fatal_checks: Sequence[DataFrame], path: str, order: Sequence[str] | None = None,
-                file_col: str | None = None) -> list[str]:
+                file_col: str | None = None) -> DataFrame | None:
     """Write ``df`` only where no fatal check fires.
 
     Without ``file_col`` the whole write is refused on any violation. With it,
-    the gate is per source file: files with a violation write nothing (anti
-    join on the failing file names), the rest are written. Returns the
-    refused file names (bounded by the number of source files).
+    the gate is per source file and the table is replaced: a file with a
+    violation has no rows in it afterwards, not even those of an earlier load.
+    Returns the refused file names as a frame (None without ``file_col``).
     """
+    rows = df.select(*order) if order else df
     if file_col is None:
         for c in fatal_checks:
             if c.limit(1).count() > 0:
                 raise ValueError("fatal check failed; nothing written")
-        (df.select(*order) if order else df).write.mode("overwrite").parquet(path)
-        return []
-    bad = None
-    for c in fatal_checks:
-        f = c.select(file_col).distinct()
-        bad = f if bad is None else bad.unionByName(f).distinct()
-    refused = [r[0] for r in bad.collect()] if bad is not None else []
-    ok = df if bad is None else df.join(bad, file_col, "left_anti")
-    (ok.select(*order) if order else ok).write.mode("overwrite").partitionBy(file_col).parquet(path)
+        replace_table(rows, path)
+        return None
+    refused = reduce(DataFrame.unionByName, [c.select(file_col) for c in fatal_checks]).distinct() if fatal_checks else df.select(file_col).limit(0)
+    replace_table(rows.join(refused, file_col, "left_anti"), path, [file_col])
     return refused
 
 
-def stable_order_key(*cols: str):
-    return stable_hash64(F.concat_ws(FIELD_SEP, *[F.col(c).cast("string") for c in cols]))
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Replace the whole table at ``path``: partitions absent from ``df`` go too, whatever the session's overwrite mode."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
+
+
+def write_clustered(df: DataFrame, path: str, partition_by: str, cluster_by: Sequence[str], files_per_partition: int = 1) -> None:
+    """Replace a table laid out for point lookups: one folder per value of
+    ``partition_by``, rows range-clustered on ``cluster_by`` inside, so that
+    file and row-group statistics prune an equality on them. A large folder is
+    dealt over ``files_per_partition`` ranges or more; none is one task's work.
+    """
+    n = max(files_per_partition, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keys = [partition_by, *cluster_by]
+    replace_table(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys), path, [partition_by])
+
+
+def manifest(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, n_rows, fingerprint) per table and a combined row '*' over all names and fingerprints in order."""
+    one = [fingerprint(df).select(F.lit(name).alias("table_name"), "n_rows", F.concat("fp_a", F.lit("-"), "fp_b").alias("fingerprint"))
+           for name, df in sorted(tables.items())]
+    rows = reduce(DataFrame.unionByName, one)
+    # One short line per table of the release: bounded by the number of tables.
+    lines = F.array_sort(F.collect_list(F.concat("table_name", F.lit(":"), "fingerprint")))
+    combined = rows.agg(F.lit("*").alias("table_name"), F.sum("n_rows").alias("n_rows"), F.sha2(F.array_join(lines, "\n"), 256).alias("fingerprint"))
+    return rows.unionByName(combined)

@@ -1,32 +1,43 @@
 """Incremental price loading as a file-source stream.
 
 New price files landing in a folder are picked up with
-``trigger(availableNow=True)``; every micro-batch replaces exactly the
-business-date partitions it carries (dynamic partition overwrite), so a
-re-delivered day overwrites itself instead of duplicating. The stream's
+``trigger(availableNow=True)``. A day may be spread over several files and
+batches, so each batch rebuilds the days it touches from all files of the
+folder, and of rows with one key the file that came last wins. Re-delivery is
+therefore idempotent and a second file of a day adds to the first. The stream's
 checkpoint lives under the shared checkpoint root.
 """
 
 from __future__ import annotations
 
-import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sparkbook.session import checkpoint_root
 from sparkbook.sources.incremental import write_partitions
 
 
-def load_prices_stream(spark: SparkSession, source_dir: str, schema: StructType, target: str,
-                       name: str = "prices_stream", date_col: str = "business_date") -> None:
-    ckpt = os.path.join(checkpoint_root(spark), "streams", name)
+def days_from_files(spark: SparkSession, source_dir: str, schema: StructType, days: DataFrame, date_col: str, keys: Sequence[str]) -> DataFrame:
+    """All rows of the folder's files for the given days, the latest file's row of each key."""
+    cols = [f.name for f in schema]
+    rows = spark.read.schema(schema).parquet(source_dir).select(
+        *cols, F.col("_metadata.file_modification_time").alias("__at"), F.col("_metadata.file_name").alias("__file"))
+    rows = rows.join(days, date_col, "left_semi")
+    rest = [c for c in cols if c not in (date_col, *keys)]
+    latest = F.max_by(F.struct(*rest), F.struct("__at", "__file")).alias("__r")
+    return rows.groupBy(date_col, *keys).agg(latest).select(date_col, *keys, *[F.col(f"__r.{c}").alias(c) for c in rest]).select(*cols)
+
 
+def load_prices_stream(spark: SparkSession, source_dir: str, schema: StructType, target: str,
+                       name: str = "prices_stream", date_col: str = "business_date", keys: Sequence[str] = ("isin",)) -> None:
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        if batch.limit(1).count():
-            write_partitions(batch, target, date_col)
+        days = batch.select(date_col).distinct()
+        write_partitions(days_from_files(batch.sparkSession, source_dir, schema, days, date_col, keys), target, date_col)
 
     q = (spark.readStream.schema(schema).parquet(source_dir)
-         .writeStream.foreachBatch(upsert).option("checkpointLocation", ckpt)
+         .writeStream.foreachBatch(upsert).option("checkpointLocation", f"{checkpoint_root(spark)}/streams/{name}")
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -33,10 +33,19 @@ CRYPTO_EXCLUDE_TOKENS = ["2X", "3X", "-1X", "SHORT", "INVERSE", "LEVERAG", "BEAR
 # CFI category letter -> asset class of the instrument dimension.
 CFI_ASSET_CLASS = [("C", "collective_investment"), ("D", "debt"), ("E", "equity")]
 
-# Nominal per unit at or above which debt is a bond quoted in
-# percent of par, and the dealing step used when no denomination is usable.
-PAR_FLOOR = 100.0
-DEFAULT_NOMINAL_STEP = 1000.0
+# How a classification code and a nominal per unit name the asset
+# class; the first rule whose prefix and least nominal hold decides.
+ASSET_RULES = [
+    ("C", None, "fund"),
+    ("D", 100.0, "bond"),
+    ("D", None, "structured"),
+    ("ES", None, "equity"),
+    ("E", None, "certificate"),
+]
+# Classes quoted in percent of par, and their dealing size where
+# the register's nominal is below the par rule.
+PAR_CLASSES = ("bond",)
+PAR_DEALING_SIZE = 1000.0
 
 
 def _c(c: str | Column) -> Column:
@@ -87,27 +96,25 @@ def cfi_asset_class(category: str | Column) -> Column:
 
 
 def asset_class(cfi: str | Column, nominal: str | Column) -> Column:
-    """C -> fund; D -> bond if nominal >= par floor else structured;
-    ES -> equity, other E -> certificate; anything else null."""
-    c = _c(cfi)
-    h1, h2 = F.substring(c, 1, 1), F.substring(c, 1, 2)
-    debt = F.when(_c(nominal) >= PAR_FLOOR, "bond").otherwise("structured")
-    return (
-        F.when(h1 == "C", "fund")
-        .when(h1 == "D", debt)
-        .when(h1 == "E", F.when(h2 == "ES", "equity").otherwise("certificate"))
-    )
+    """Class by ASSET_RULES; null where no rule holds."""
+    def holds(prefix: str, least: float | None) -> Column:
+        fits = _c(cfi).startswith(prefix)
+        return fits if least is None else fits & (_c(nominal) >= least)
+
+    return F.coalesce(*[F.when(holds(prefix, least), cls) for prefix, least, cls in ASSET_RULES])
 
 
 def price_convention(cls: str | Column) -> Column:
-    return F.when(_c(cls) == "bond", "percent_of_par").when(_c(cls).isNotNull(), "per_unit")
+    """'percent_of_par' or 'per_unit' by class, null without one."""
+    return F.when(_c(cls).isNotNull(), F.when(_c(cls).isin(*PAR_CLASSES), "percent_of_par").otherwise("per_unit"))
 
 
 def nominal_step(nominal: str | Column, convention: str | Column) -> Column:
-    """Minimum dealing size: the denomination for percent-of-par debt."""
-    n = _c(nominal).cast("double")
-    par = F.when(n >= PAR_FLOOR, n).otherwise(F.lit(DEFAULT_NOMINAL_STEP))
-    return F.when(_c(convention) == "percent_of_par", par).otherwise(F.lit(1.0))
+    """What an order must be a multiple of: whole units, or the nominal a par-quoted line is issued in."""
+    least = next(least for _, least, cls in ASSET_RULES if cls in PAR_CLASSES)
+    issued = _c(nominal).cast("double")
+    usable = F.when(issued >= least, issued)
+    return F.when(_c(convention) == "percent_of_par", F.coalesce(usable, F.lit(PAR_DEALING_SIZE))).otherwise(1.0)
 
 
 def safe_double(c: str | Column, default: float = 0.0) -> Column:

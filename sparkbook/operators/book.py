@@ -105,3 +105,50 @@ def payment_schedule(instruments: DataFrame, key: str, per_year: str, anchor_mon
     first_of_month = F.make_date("__y", month.cast("int"), F.lit(1))
     day = F.least(F.col(anchor_day), F.dayofmonth(F.last_day(first_of_month)))
     return x.select(key, F.date_add(first_of_month, (day - 1).cast("int")).alias("pay_date"))
+
+
+def ex_date_adjust(series: DataFrame, dividends: DataFrame, key: str, day: str, price: str, least: float = 0.01) -> DataFrame:
+    """``series`` with ``adjusted_price``: from each ex date on, the price less
+    the dividend (``dividends``: key, ex_date, amount, one row per ex date).
+
+    The total drop after the k-th dividend is max(D, min(D + amount, m - least)),
+    D the drop before it and m the lowest price from the ex date on, so a
+    dividend above what the series can bear is cut and never turns it negative.
+    Drops are folded over one instrument's dividends; the series itself is only
+    joined to the drop in force.
+    """
+    low = Window.partitionBy(key).orderBy(F.col(day).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    floors = series.select(F.col(key).alias("__k"), F.col(day).alias("__d"), F.min(price).over(low).alias("__m"))
+    first = F.row_number().over(Window.partitionBy(key, "ex_date").orderBy("__d"))
+    # The lowest price from the first priced day on or after the ex date: the next point of the series.
+    points = floors.select("__k", F.col("__d"), "__m", F.lag("__d").over(Window.partitionBy("__k").orderBy("__d")).alias("__before"))
+    due = dividends.join(points, (F.col(key) == F.col("__k")) & (F.col("ex_date") <= F.col("__d")) & (F.col("__before").isNull() | (F.col("ex_date") > F.col("__before"))))
+    due = due.withColumn("__n", first).filter("__n = 1")
+    ordered = F.array_sort(F.collect_list(F.struct("ex_date", F.col("amount").cast("double").alias("amount"), F.col("__m").cast("double").alias("m"))))
+    start = F.array(F.struct(F.lit(None).cast("date").alias("ex_date"), F.lit(0.0).alias("drop")))
+    fold = F.aggregate(ordered, start, lambda acc, x: F.concat(acc, F.array(F.struct(
+        x["ex_date"].alias("ex_date"), F.greatest(F.element_at(acc, -1)["drop"], F.least(F.element_at(acc, -1)["drop"] + x["amount"], x["m"] - least)).alias("drop")))))
+    drops = due.groupBy(key).agg(fold.alias("__x")).select(key, F.explode("__x").alias("__x")).filter("__x.ex_date is not null")
+    drops = drops.select(key, F.col("__x.ex_date").alias("ex_date"), F.col("__x.drop").alias("__drop"))
+    out = asof_join(series, drops, [key], day, "ex_date", ["__drop"])
+    return out.withColumn("adjusted_price", F.col(price) - F.coalesce("__drop", F.lit(0.0))).drop("__drop")
+
+
+def profile_tilt(instruments: DataFrame, targets: DataFrame, class_col: str, step_value: str, reference_slice: float) -> DataFrame:
+    """Multiplier per profile and class that draws a class toward its target share of value.
+
+    ``targets``: (profile, class, target), a row for each class a profile draws
+    from. A class's natural share is its part of the instruments, its value
+    factor the larger of 1 and its median dealing step over ``reference_slice``;
+    the multiplier is target / (share * factor). Steps are counted per value
+    first, so no class is held row by row.
+    """
+    counts = instruments.groupBy(class_col, step_value).agg(F.count(F.lit(1)).alias("n"))
+    own = Window.partitionBy(class_col)
+    ranked = counts.withColumn("upto", F.sum("n").over(own.orderBy(step_value))).withColumn("size", F.sum("n").over(own))
+    middle = (F.min(F.when(F.col("upto") * 2 >= F.col("size"), F.col(step_value))) + F.min(F.when(F.col("upto") * 2 > F.col("size"), F.col(step_value)))) / 2
+    classes = ranked.groupBy(class_col).agg(F.first("size").alias("size"), middle.cast("double").alias("step"))
+    share = F.col("size") / F.sum("size").over(Window.partitionBy())  # over one row per class
+    classes = classes.withColumn("natural", share * F.greatest(F.lit(1.0), F.col("step") / reference_slice))
+    t = targets.join(classes, F.col("class") == F.col(class_col))
+    return t.select("profile", "class", (F.col("target") / F.col("natural")).alias("multiplier"))

@@ -99,8 +99,6 @@ def run_checks(checks: Sequence[Check], sample: int = 3) -> DataFrame:
     Each check is counted in its own distributed job; only the count and a
     ``sample``-row preview (a fixed, small limit) return to the driver.
     """
-    from pyspark.sql import Row
-
     rows = []
     spark = None
     for c in checks:
@@ -111,7 +109,7 @@ def run_checks(checks: Sequence[Check], sample: int = 3) -> DataFrame:
             status = "warn" if n >= c.warn_if else "pass"
         else:
             status = "fail" if n >= c.error_if else ("warn" if n >= c.warn_if else "pass")
-        rows.append(Row(check=c.name, severity=c.severity, violations=n, status=status, sample=preview))
+        rows.append((c.name, c.severity, n, status, preview))
     if spark is None:
         raise ValueError("no checks given")
-    return spark.createDataFrame(rows)
+    return spark.createDataFrame(rows, "check string, severity string, violations long, status string, sample array<string>")

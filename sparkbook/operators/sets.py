@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], desc: bool = True) -> DataFrame:
     """One row per key: the greatest (``desc``) or least row by ``order``.
 
-    ``order`` must be a total order within a key. Planned as an aggregation
-    with ``max_by``/``min_by`` of the row struct: it combines map-side, so a
-    key holding a third of all rows still shuffles one partial row per task.
+    ``order`` must be a total order within a key. An aggregation with
+    ``max_by``/``min_by`` of the row struct: Spark sorts each task's rows by key
+    to combine them (a struct has no hash-aggregate buffer), then a key holding
+    a third of all rows shuffles one partial row per task.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
@@ -23,20 +25,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     return g.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    return latest_per_key(df, keys, order, desc=False)
-
-
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "row_no") -> DataFrame:
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+def union_all(*dfs: DataFrame) -> DataFrame:
+    """Rows of all frames by column name, repeats kept."""
+    return reduce(DataFrame.unionByName, dfs)
 
 
 def union_distinct(*dfs: DataFrame) -> DataFrame:
-    out = dfs[0]
-    for d in dfs[1:]:
-        out = out.unionByName(d)
-    return out.distinct()
-
-
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 1")
+    """Distinct rows of all frames by column name."""
+    return union_all(*dfs).distinct()

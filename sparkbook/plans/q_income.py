@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkbook.functions import finance as FN
+from sparkbook.operators import book as B
 from sparkbook.operators import calendar as cal
 from sparkbook.operators import sampling as SM
 from sparkbook.operators.positions import position_book
@@ -89,6 +90,33 @@ def q_income_events(spark, d):
     return coupons.unionByName(dividends)
 
 
+_EX = {
+    **_PRICES_FILLED,
+    **_INCOME,
+    "exes": "select distinct isin, due_date, (5 + " + _NO.format(c="isin") + " % 7) / 20.0 as a from due where " + _NO.format(c="isin") + " % 2 = 1 and due_date is not null",
+    "series": "select isin, business_date, cast(price as double) as price from prices_filled where price is not null",
+    "floors": "select e.isin, e.due_date, any_value(e.a) as a, min(s.price) as m, row_number() over (partition by e.isin order by e.due_date) as k "
+              "from exes e join series s on s.isin = e.isin and s.business_date >= e.due_date group by e.isin, e.due_date",
+    "steps_of": "select isin, list(struct_pack(k := k, due := due_date, a := a, m := m) order by k) as xs from floors group by isin",
+    "shifts": "select isin, x.due as due, d from (select isin, unnest(xs) as x, unnest(list_reduce(list_prepend([0.0::double], list_transform(xs, lambda x: [x.a, x.m])), "
+              "lambda acc, x: list_append(acc, greatest(acc[-1], least(acc[-1] + x[1], x[2] - 0.01))))[2:]) as d from steps_of)",
+}
+
+
+@register("q_ex_date_adjust", book_sql(
+    "select s.isin, s.business_date, s.price, round(s.price - coalesce(h.d, 0), 6) as adjusted_price from series s asof left join shifts h "
+    "on h.isin = s.isin and s.business_date >= h.due where " + _NO.format(c="s.isin") + " % 2 = 1", "prices", extra=_EX))
+def q_ex_date_adjust(spark, d):
+    """A share's price series drops by each dividend on its ex date and
+    stays down; no drop takes a later price below one cent."""
+    bk = S.book(spark, d)
+    due = schedule(spark, d).filter(~is_bond()).join(F.broadcast(cal.roll_map(bk.calendar)), F.col("pay_date") == F.col("calendar_date"))
+    due = due.filter("following_date is not null and preceding_date is not null")
+    due = due.select("isin", F.col("following_date").alias("ex_date"), dividend_per_share().alias("amount")).distinct()
+    series = prices_filled(bk).filter(~is_bond()).select("isin", "business_date", F.col("price").cast("double").alias("price")).filter("price is not null")
+    return B.ex_date_adjust(series, due, "isin", "business_date", "price").withColumn("adjusted_price", F.round("adjusted_price", 6))
+
+
 _STRAT = ("select p_partkey, p_brand, p_type from (select *, row_number() over (partition by p_type order by "
           "-ln((cast(('0x' || substr(sha256(cast(p_partkey as varchar)), 1, 16))::UBIGINT as double) + 0.5) / "
           "18446744073709551616.0) / p_retailprice, p_partkey) as rk from part) x where rk <= 5")
@@ -104,3 +132,19 @@ def q_topup(spark, d):
     p = S.table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_retailprice")
     sample = SM.stratified_sample(p, "p_type", "p_partkey", "p_retailprice", 5).select("p_partkey", "p_brand", "p_type")
     return SM.top_up(sample, p.select("p_partkey", "p_brand", "p_type"), "p_brand", "p_partkey", 40)
+
+
+# Fixed values of the stand-in: target shares of value by risk profile and class.
+TILT_TARGETS = [("defensive", "STANDARD", 0.5), ("defensive", "PROMO", 0.2), ("defensive", "ECONOMY", 0.01),
+                ("balanced", "STANDARD", 0.3), ("balanced", "PROMO", 0.3), ("balanced", "ECONOMY", 0.2), ("growth", "ECONOMY", 0.6)]
+TILT_SLICE = 20.0
+
+
+@register("q_profile_tilt", "with p as (select split_part(p_type, ' ', 1) as class, p_size from part), c as (select class, count(*) / (select count(*) from p) as share, "
+          "median(p_size) as step from p group by class), t(profile, class, target) as (values " + ", ".join(f"('{a}', '{b}', {c}::double)" for a, b, c in TILT_TARGETS)
+          + ") select profile, class, round(target / (share * greatest(1.0, step / 20.0)), 9) as multiplier from t join c using (class)")
+def q_profile_tilt(spark, d):
+    """How strongly a profile's draw favours each class of instruments."""
+    p = S.table(spark, d, "part").select(F.split("p_type", " ")[0].alias("class_of"), "p_size")
+    targets = spark.createDataFrame(TILT_TARGETS, "profile string, class string, target double")
+    return B.profile_tilt(p, targets, "class_of", "p_size", TILT_SLICE).withColumn("multiplier", F.round("multiplier", 9))

@@ -10,10 +10,10 @@ from sparkbook.operators import book as B
 from sparkbook.operators import sampling as SM
 from sparkbook.operators.calendar import roll_map, session_flags
 from sparkbook.operators.joins import asof_join, resolve_version
-from sparkbook.operators.sets import latest_per_key, union_distinct
+from sparkbook.operators.sets import latest_per_key, union_all, union_distinct
 from sparkbook.plans import standins as S
 from sparkbook.plans.oracle_sql import with_ctes
-from sparkbook.plans.q_book import _LEDGER, _RBD, _SCHED, _STEPS, brand_no, cash_steps
+from sparkbook.plans.q_book import _ACCRUED, _LEDGER, _RBD, _SCHED, _STEPS, accrued, brand_no, cash_steps, converted
 from sparkbook.plans.q_positions import _VALUED, book_sql, valued
 from sparkbook.plans.q_temporal import brand_versions, statement
 from sparkbook.plans.registry import register
@@ -97,13 +97,30 @@ def q_membership_flag(spark, d):
 
 
 @register("q_fct_fx", with_ctes(
-    "select fx_trade_id, account_id, trade_date, sell_currency, buy_currency, cast(buy_amount as double) as buy_amount, "
-    "cast(margin_bp as double) as margin_bp from fx_tickets", "fx_tickets"))
+    "select t.fx_trade_id, t.account_id, t.trade_date, t.sell_currency, t.buy_currency, cast(t.buy_amount as double) as buy_amount, "
+    "round(cast(t.buy_amount as double) / (coalesce(b.units_per_eur, 1) / coalesce(s.units_per_eur, 1)) * (1 + cast(t.margin_bp as double) / 10000), 2) "
+    "as sell_amount, round(coalesce(b.units_per_eur, 1) / coalesce(s.units_per_eur, 1), 8) as reference_rate, cast(t.margin_bp as double) as margin_bp, "
+    "t.fx_trade_id * 10 + 1 as related_trade_id from fx_tickets t left join rbd b on b.currency = t.buy_currency and b.trade_date = t.trade_date "
+    "left join rbd s on s.currency = t.sell_currency and s.trade_date = t.trade_date", "fx_tickets", "rates", extra=_RBD))
 def q_fct_fx(spark, d):
-    """FX tickets fact (typed projection)."""
-    t = S.fx_tickets(spark, d)
-    return t.select("fx_trade_id", "account_id", "trade_date", "sell_currency", "buy_currency",
-                    F.col("buy_amount").cast("double").alias("buy_amount"), F.col("margin_bp").cast("double").alias("margin_bp"))
+    """FX tickets with both amounts, the reference rate and the trade they serve."""
+    return converted(spark, d).select(
+        "fx_trade_id", "account_id", "trade_date", "sell_currency", "buy_currency", F.col("buy_amount").cast("double").alias("buy_amount"), "sell_amount",
+        "reference_rate", F.col("margin_bp").cast("double").alias("margin_bp"), (F.col("fx_trade_id") * 10 + 1).alias("related_trade_id"))
+
+
+_CASH_FACTS = {"events_on": "select event_id, event_date, account_id, event_type, amount, 'Brand#' || cast(account_id % 5 + 1 as varchar) || cast(event_id % 5 + 1 as varchar) "
+               "as isin from cash_events"}
+
+
+@register("q_fct_cash_events", with_ctes(
+    "select e.event_id, e.event_date, e.account_id, e.isin, e.event_type, cast(e.amount as double) as amount, v.instrument_version_sk from events_on e "
+    "left join brand_versions v on v.isin = e.isin and e.event_date between v.valid_from and v.valid_to", "cash_events", "brand_versions", extra=_CASH_FACTS))
+def q_fct_cash_events(spark, d):
+    """Cash events resolved to the version of their instrument (no venue)."""
+    brand = F.concat(F.lit("Brand#"), (F.col("account_id") % 5 + 1).cast("string"), (F.col("event_id") % 5 + 1).cast("string"))
+    r = resolve_version(S.cash_events(spark, d).withColumn("isin", brand), brand_versions(spark, d), ["isin"], "event_date")
+    return r.select("event_id", "event_date", "account_id", "isin", "event_type", F.col("amount").cast("double").alias("amount"), "instrument_version_sk")
 
 
 _STATEMENT = {"statement": """select mv.account_id, mv.isin, m.date_key as snapshot_date, cast(sum(mv.quantity_delta) as bigint) as quantity
@@ -165,17 +182,31 @@ def q_distinct(spark, d):
                  F.count_distinct(F.coalesce("raw", F.lit("<null>"))).cast("bigint").alias("n_distinct_with_null"))
 
 
-@register("q_shape", with_ctes(
-    "select 'trades_by_side' as metric, trade_side as grp, count(*) as n, cast(sum(quantity) as double) as total "
-    "from trades group by trade_side union all select 'events_by_type', event_type, count(*), cast(sum(amount) as double) "
-    "from cash_events group by event_type", "trades", "cash_events"))
+_SHAPE = {
+    **_SCHED,
+    "dirty": "select t.*, " + _ACCRUED.format(q="t.quantity", i="t.isin", p="s.pay_date", t="t.trade_date") + " as accrued "
+             "from trades t asof left join schedule s on t.isin = s.isin and t.trade_date >= s.pay_date",
+}
+
+
+@register("q_shape", with_ctes(" union all ".join([
+    "select 'trades_by_side' as metric, trade_side as grp, count(*) as n, cast(sum(quantity) as double) as total from trades group by trade_side",
+    "select 'events_by_type', event_type, count(*), cast(sum(amount) as double) from cash_events group by event_type",
+    "select 'movements_by_type', movement_type, count(*), cast(sum(quantity_delta) as double) from movements group by movement_type",
+    "select 'accrued_by_side', trade_side, count(*), cast(sum(cast(accrued as decimal(18,2))) as double) from dirty group by trade_side",
+]), "trades", "movements", "cash_events", extra=_SHAPE))
 def q_shape(spark, d):
-    """Grouped count/sum shape report as one long table."""
-    t = S.trades(spark, d).groupBy(F.col("trade_side").alias("grp")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("quantity").cast("double").alias("total"))
-    e = S.cash_events(spark, d).groupBy(F.col("event_type").alias("grp")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount").cast("double").alias("total"))
-    return t.withColumn("metric", F.lit("trades_by_side")).unionByName(e.withColumn("metric", F.lit("events_by_type")))
+    """Counts and sums by side, event type, movement type, and accrued interest by side, as one long table."""
+    def shape(df, metric, group, value):
+        return df.groupBy(F.col(group).alias("grp")).agg(F.count(F.lit(1)).alias("n"), F.sum(value).cast("double").alias("total")).withColumn("metric", F.lit(metric))
+
+    trades = S.trades(spark, d)
+    return union_all(
+        shape(trades, "trades_by_side", "trade_side", "quantity"),
+        shape(S.cash_events(spark, d), "events_by_type", "event_type", "amount"),
+        shape(S.movements(spark, d), "movements_by_type", "movement_type", "quantity_delta"),
+        shape(accrued(spark, d, trades), "accrued_by_side", "trade_side", F.col("accrued").cast("decimal(18,2)")),
+    )
 
 
 @register("q_ids_by_group", "select c_nationkey, c_custkey from customer where c_acctbal > 0 order by c_nationkey, c_custkey")
@@ -208,6 +239,21 @@ def q_concentration(spark, d):
                     (exp / total > 0.05).alias("over_cap"))
 
 
+@register("q_concentration_issuer", with_ctes(
+    "select isin, s_name as issuer, exposure, round(exposure / sum(exposure) over (partition by s_name), 8) as issuer_share, "
+    "round(sum(exposure) over (partition by s_name) / sum(exposure) over (), 8) as share, sum(exposure) over (partition by s_name) / sum(exposure) over () > 0.1 as over_cap "
+    "from (select isin, cast(sum(gross_consideration) as double) as exposure from trades where trade_side = 'BUY' group by isin) "
+    "left join supplier on s_suppkey = cast(substr(isin, 7, 10) as int)", "trades"))
+def q_concentration_issuer(spark, d):
+    """Exposure share per issuer against a 10% cap, with each instrument's part of it."""
+    e = S.trades(spark, d).filter(F.col("trade_side") == "BUY").groupBy("isin").agg(F.sum("gross_consideration").cast("double").alias("exposure"))
+    e = e.join(S.table(spark, d, "supplier").select("s_suppkey", F.col("s_name").alias("issuer")), F.col("s_suppkey") == brand_no(), "left")
+    # Sums over one row per traded instrument.
+    issuer, whole = F.sum("exposure").over(Window.partitionBy("issuer")), F.sum("exposure").over(Window.partitionBy())
+    return e.select("isin", "issuer", "exposure", F.round(F.col("exposure") / issuer, 8).alias("issuer_share"), F.round(issuer / whole, 8).alias("share"),
+                    (issuer / whole > 0.1).alias("over_cap"))
+
+
 @register("q_median_step", with_ctes(
     "select isin, median(cast(quantity as double)) as median_quantity from trades group by isin", "trades"))
 def q_median_step(spark, d):

@@ -136,3 +136,36 @@ def test_unset_shared_folder_is_an_error():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+def test_ex_date_drop_is_kept_and_never_below_a_cent(spark):
+    series = spark.createDataFrame([("A", D(2024, 1, d), p) for d, p in ((1, 10.0), (2, 11.0), (3, 2.0), (4, 12.0))], "isin string, day date, price double")
+    dividends = spark.createDataFrame([("A", D(2024, 1, 2), 1.0), ("A", D(2024, 1, 3), 5.0), ("A", D(2024, 1, 4), 1.0)], "isin string, ex_date date, amount double")
+    got = [round(r.adjusted_price, 4) for r in B.ex_date_adjust(series, dividends, "isin", "day", "price").orderBy("day").collect()]
+    assert got == [10.0, 10.0, 0.01, 9.01]  # 1, then cut to 1.99, then 1 more
+
+
+def test_profile_tilt_weighs_share_and_step(spark):
+    inst = spark.createDataFrame([("x", 10)] * 3 + [("y", 100)], "class_of string, step int")
+    targets = spark.createDataFrame([("p", "x", 0.5), ("p", "y", 0.5), ("q", "y", 1.0)], "profile string, class string, target double")
+    got = {(r.profile, r["class"]): r.multiplier for r in B.profile_tilt(inst, targets, "class_of", "step", 50.0).collect()}
+    assert got == {("p", "x"): pytest.approx(0.5 / 0.75), ("p", "y"): pytest.approx(0.5 / 0.5), ("q", "y"): pytest.approx(2.0)}
+
+
+def test_a_failing_layer_stops_the_run(spark):
+    from sparkbook.operators.layers import Layer, LayerFailed, run_pipeline
+
+    built = []
+
+    def layer(name, rows, bad):
+        def build(t):
+            built.append(name)
+            return {name: spark.createDataFrame(rows, "id int")}
+
+        return Layer(name, build, lambda t: [Q.Check("id set", Q.not_null(t[name], "id"), severity="error" if bad else "warn")])
+
+    tables, report = run_pipeline([layer("a", [(1,)], True), layer("b", [(None,)], False)], {})
+    assert set(tables) == {"a", "b"} and {(r.layer, r.status) for r in report.collect()} == {("a", "pass"), ("b", "warn")}
+    with pytest.raises(LayerFailed) as failed:
+        run_pipeline([layer("c", [(None,)], True), layer("e", [(1,)], True)], {})
+    assert failed.value.layer == "c" and "e" not in built and failed.value.report.count() == 1

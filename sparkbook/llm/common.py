@@ -46,10 +46,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 def dropped(df: DataFrame) -> None:
     """Delete a table made by saved() that nothing reads any more."""
     spark = df.sparkSession
-    folders = {path.rsplit("/", 1)[0] for path in df.inputFiles()}
-    for folder in folders:
-        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        if f"{shared_root(spark).split(':')[-1]}/llm/" in folder.replace("//", "/"):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    ours = path(f"{shared_root(spark)}/llm").toUri().getPath()
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        at = path(folder)
+        if at.toUri().getPath().startswith(f"{ours}/"):
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
@@ -60,3 +61,18 @@ def row_key(*cols: Column) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hash_share(h: Column, wanted: int, size: Column) -> Column:
+    """Whether a row's hash is among the lowest: about four times ``wanted`` of ``size`` rows pass, whatever the size."""
+    return F.pmod(h, F.lit(1 << 40)) / F.lit(float(1 << 40)) * size < 4.0 * wanted
+
+
+def hash_sample(df: DataFrame, rows: int, *cols: str) -> DataFrame:
+    """The ``rows`` rows of lowest hash (column ``h``) over ``cols``, for bounded training samples.
+
+    Ranking sees only the rows that hash_share() lets pass, so the one task that
+    takes the lowest reads a bounded number however many tasks there are.
+    """
+    size = df.agg(F.count("*")).scalar()
+    return df.withColumn("h", F.xxhash64(*cols)).filter(hash_share(F.col("h"), rows, size)).orderBy("h", *cols).limit(rows)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from sparkbook.llm.common import saved, small_batches
+from sparkbook.llm.common import hash_share, saved, small_batches
 
 BITS, DIM = 15, 12
 #: Passes over the training part, more of them where it is small.
@@ -169,7 +169,10 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
     small_batches(docs.sparkSession)
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold() != 2))
-    draw = known.select("lang", F.col("doc_id").alias("drawn"), F.xxhash64("doc_id", F.lit("langid")).alias("h"))
+    # Four times what is wanted passes the hash, whatever the size of the language; only those are ranked.
+    size = known.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("size"))
+    draw = known.select("lang", F.col("doc_id").alias("drawn"), F.xxhash64("doc_id", F.lit("langid")).alias("h")).join(size, F.col("lang") == F.col("of"))
+    draw = draw.filter(hash_share(F.col("h"), per_language, F.col("size")))
     draw = draw.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h", "drawn"))).filter(F.col("nth") <= per_language)
     draw = saved(draw.select("drawn").distinct(), "draw")
     sample = known.join(draw, F.col("doc_id") == F.col("drawn")).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id")

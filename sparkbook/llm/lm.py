@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from sparkbook.llm.common import saved, small_batches
 from sparkbook.llm.elias_fano import Level
 
-BATCH = 2_000_000
+BATCH = 1_000_000
 MU = 2.0
 ADD = 0.1
 HELD_OUT_EVERY = 10

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkbook.llm.common import saved, small_batches
+from sparkbook.llm.common import hash_sample, saved, small_batches
 
 BITS = 18
 GRADES = 3
@@ -122,8 +122,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Ordinal
     small_batches(docs.sparkSession)
     graded = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     grade = (F.least(F.greatest("quality", F.lit(0)), F.lit(1)) + F.when(F.col("toxic") > 0, 0).otherwise(1)).cast("int")
-    drawn = graded.select(F.col("doc_id").alias("of"), grade.alias("grade"), F.xxhash64("doc_id", F.lit("ordinal")).alias("h")).orderBy("h", "of", "grade").limit(rows)
-    drawn = saved(drawn, "drawn")
+    drawn = saved(hash_sample(graded.select(F.col("doc_id").alias("of"), grade.alias("grade")), rows, "of", "grade").drop("h"), "drawn")
     sample = drawn.join(docs.select("doc_id", F.col("text").cast("string").alias("text")), F.col("of") == F.col("doc_id"))
     got = saved(sample.select("grade", "text").mapInArrow(features, "grade int, idx binary, value binary"), "graded").collect()
     parts = sorted((r["grade"], bytes(r["idx"]), bytes(r["value"])) for r in got)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkbook.llm.common import saved, small_batches
+from sparkbook.llm.common import hash_sample, saved, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_ROWS = 20_000
@@ -257,7 +257,7 @@ def train(found: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     At most ``rows`` documents are read, and of them at most ``rows`` spans; a
     looser span that overlaps a base span is no example of either label.
     """
-    drawn = found.filter(F.length("marks") > 0).select(F.xxhash64("doc_id", "marks").alias("h"), "marks", "x").orderBy("h", "marks").limit(rows)
+    drawn = hash_sample(found.filter(F.length("marks") > 0), rows, "doc_id", "marks")
     bounded = drawn.select("h", F.substring("marks", 1, 16 * 64).alias("marks"), F.substring("x", 1, 4 * N_FEATURES * 64).alias("x"))
     xs, ys = [], []
     for r in sorted(bounded.collect(), key=lambda r: (r["h"], bytes(r["marks"]))):

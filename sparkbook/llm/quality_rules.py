@@ -35,8 +35,8 @@ SPREAD, LEAST = 3, 100
 #: metric: (numerator, denominator, scale, least slack, whether small values fail too)
 METRICS = {
     "symbols": ("n_symbols", "word_chars", 1000, 50, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 300, False),
-    "repeats": ("n_repeat_words", "n_words", 1000, 150, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 400, False),
+    "repeats": ("n_repeat_words", "n_words", 1000, 300, False),
     "word_length": ("word_chars", "n_words", 100, 150, True),
 }
 

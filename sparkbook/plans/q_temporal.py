@@ -80,21 +80,21 @@ def q_interval_order(spark, d):
     return T.interval_order_violations(register_versions(spark, d)).select(*REG_KEYS, "valid_from", "valid_to")
 
 
-# Fixed values of the stand-in: which keys' second versions are broken, and by how many days.
-_BROKEN = {"broken": "select * replace (cast(valid_from + to_days(case when version_no = 2 and isin % 10 = 1 then 3 when version_no = 2 and isin % 10 = 2 "
-                     "then -3 else 0 end) as date) as valid_from, case when version_no = 2 and isin % 10 = 3 then date '1960-01-02' else valid_to end "
-                     "as valid_to, is_current and isin % 10 <> 4 as is_current) from register_versions"}
+# Fixed values of the stand-in: which keys' versions are broken, and by how many days.
+_BROKEN = {"broken": "select * replace (case when version_no = 2 and isin % 10 = 3 then date '1960-01-02' when version_no = 1 and not is_current and isin % 10 = 1 "
+                     "then cast(valid_to - interval 3 day as date) when version_no = 1 and not is_current and isin % 10 = 2 then cast(valid_to + interval 3 day as date) "
+                     "else valid_to end as valid_to, is_current and isin % 10 <> 4 as is_current) from register_versions"}
 
 
 def broken_versions(spark, d):
-    """The register with second versions that start late, start early or end in the past, and keys without a current version."""
+    """The register with first versions that end early or late, second ones that end before they start, and keys without a current version."""
     v = register_versions(spark, d)
-    second = F.col("version_no") == 2
+    first = (F.col("version_no") == 1) & ~F.col("is_current")
     kind = F.col("isin") % 10
-    shift = F.when(second & (kind == 1), 3).when(second & (kind == 2), -3).otherwise(0)
+    end = F.when((F.col("version_no") == 2) & (kind == 3), F.to_date(F.lit("1960-01-02")))
+    end = end.when(first & (kind == 1), F.date_sub("valid_to", 3)).when(first & (kind == 2), F.date_add("valid_to", 3))
     return v.withColumns({
-        "valid_from": F.date_add("valid_from", shift),
-        "valid_to": F.when(second & (kind == 3), F.to_date(F.lit("1960-01-02"))).otherwise(F.col("valid_to")),
+        "valid_to": end.otherwise(F.col("valid_to")),
         "is_current": F.col("is_current") & (kind != 4),
     })
 

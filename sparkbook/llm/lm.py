@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkbook.llm.common import saved, small_batches
+from sparkbook.llm.common import dropped, saved, small_batches
 from sparkbook.llm.elias_fano import Level
 
 BATCH = 1_000_000
@@ -301,4 +301,7 @@ def scores(docs: DataFrame, mu: float = MU, size: int = BATCH, keep_levels: bool
     sums = saved(asked.groupBy("shard").applyInArrow(answer, SUMS), "sums")
     per_batch = sums.filter("batch is not null").groupBy("batch").agg(F.collect_list(F.struct("doc", "total")).alias("sums")).withColumnRenamed("batch", "of")
     result = saved(batches.select("batch", "doc_ids").join(per_batch, F.col("batch") == F.col("of")).select("doc_ids", "sums").mapInArrow(finish, SCORED), "scores")
+    small_batches(spark)
+    for table in (batches, counted):
+        dropped(table)
     return (result, sums.filter("level is not null").select("level")) if keep_levels else result

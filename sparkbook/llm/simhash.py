@@ -224,6 +224,7 @@ def classes(marked: DataFrame, max_bits: int) -> DataFrame:
     """(fp, root) for every fingerprint: fingerprints that links connect share a root."""
     distinct = saved(marked.select("fp").distinct(), "distinct")
     roots = components(links(distinct, max_bits))
+    small_batches(marked.sparkSession)
     return distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 

@@ -79,6 +79,7 @@ def position_book(
     date_col: str = "movement_date",
     qty_col: str = "quantity_delta",
     carry: Sequence[str] = (),
+    daily: bool = False,
 ) -> DataFrame:
     """Dense daily closing quantity per holding over open days.
 
@@ -88,6 +89,8 @@ def position_book(
     days count (a movement on a closed day is dropped, as in the reference
     book; use ``roll_movements`` first to roll it instead). ``carry`` names
     per-holding attributes kept from the holdings grain (e.g. a venue).
+    ``daily`` says that ``movements`` has one row per holding and day already,
+    which saves a shuffle.
     """
     keys = list(keys)
     open_days = dates.filter("is_trading_day").select("date_key", "is_last_trading_day_of_month")
@@ -95,7 +98,7 @@ def position_book(
     open_flag = F.broadcast(open_days.select(F.col("date_key").alias("__d"), F.lit(True).alias("__open")))
 
     agg = [F.sum(qty_col).alias("quantity_delta")] + [F.first(c).alias(c) for c in carry]
-    deltas = movements.groupBy(*keys, date_col).agg(*agg)
+    deltas = movements.withColumnRenamed(qty_col, "quantity_delta") if daily else movements.groupBy(*keys, date_col).agg(*agg)
     deltas = deltas.join(open_flag, deltas[date_col] == open_flag["__d"], "left")
     effective = F.when(F.col("__open"), F.col("quantity_delta")).otherwise(F.lit(0))
 

@@ -55,6 +55,7 @@ def positions_at(
     open_days_only: bool = True,
     out_date: str = "snapshot_date",
     out_qty: str = "quantity",
+    daily: bool = False,
 ) -> DataFrame:
     """Quantity per holding at each statement date by *range aggregation*:
     sum of every movement dated on or before the statement date. Zero
@@ -67,6 +68,7 @@ def positions_at(
     handling match, not that summing is right; the range join of the oracle does
     the latter. ``open_days_only`` drops movements on closed
     days, as the book does; without it they count, as a custodian books them.
+    ``daily`` as in ``position_book``.
     """
     keys = list(keys)
     st = statement_dates.select(F.col(statement_dates.columns[0]).alias("__s")).distinct()
@@ -81,7 +83,7 @@ def positions_at(
         period = period.filter("is_trading_day")
     period = F.broadcast(period.select("date_key", "__period"))
 
-    d = movements.groupBy(*keys, date_col).agg(F.sum(qty_col).alias("__q"))
+    d = movements.withColumnRenamed(qty_col, "__q") if daily else movements.groupBy(*keys, date_col).agg(F.sum(qty_col).alias("__q"))
     d = d.join(period, d[date_col] == period["date_key"], "inner")
     per = d.groupBy(*keys, "__period").agg(F.sum("__q").alias("__q"))
     w = Window.partitionBy(*keys).orderBy("__period")

@@ -41,7 +41,7 @@ def q_redemptions(spark, d):
     brands = S.table(spark, d, "part").select(F.col("p_brand").alias("isin")).distinct()
     due = brands.select("isin", F.date_add(F.to_date(F.lit("2000-06-15")), brand_no() * 30).alias("calendar_date"))
     due = due.join(F.broadcast(cal.roll_map(bk.calendar)), "calendar_date").select("isin", F.col("preceding_date").alias("business_date"))
-    held = position_book(bk.movements, bk.dates, BOOK_KEYS).filter("closing_quantity > 0")
+    held = position_book(bk.movements, bk.dates, BOOK_KEYS, daily=True).filter("closing_quantity > 0")
     x = held.join(due, ["isin", "business_date"]).join(prices_filled(bk).select("isin", "business_date", "price"), ["isin", "business_date"], "left")
     x = x.withColumn("price", F.when(is_bond(), F.lit(100.0)).otherwise(F.col("price").cast("double")))
     x = accrued(spark, d, x.withColumnsRenamed({"business_date": "trade_date", "closing_quantity": "quantity"}))
@@ -79,7 +79,7 @@ def q_income_events(spark, d):
     bk = S.book(spark, d)
     due = schedule(spark, d).join(F.broadcast(cal.roll_map(bk.calendar)), F.col("pay_date") == F.col("calendar_date"))
     due = due.filter("following_date is not null and preceding_date is not null").select("isin", F.col("following_date").alias("business_date"))
-    held = position_book(bk.movements, bk.dates, BOOK_KEYS).filter("closing_quantity > 0").join(due, ["isin", "business_date"])
+    held = position_book(bk.movements, bk.dates, BOOK_KEYS, daily=True).filter("closing_quantity > 0").join(due, ["isin", "business_date"])
     portion = ((F.lit(2.5) + brand_no() % 5) / payments_per_year()).cast("decimal(12,6)")
     coupons = held.filter(is_bond()).select("account_id", "isin", F.lit("COUPON").alias("event_type"), F.col("business_date").alias("ex_date"),
                                             F.col("business_date").alias("pay_date"), F.round(F.col("closing_quantity") * portion / 100, 2).cast("double").alias("amount"))

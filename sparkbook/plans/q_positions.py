@@ -59,7 +59,7 @@ def book_sql(body: str, *more: str, extra: dict[str, str] | None = None) -> str:
 def q_spine(spark, d):
     """Dense (holding x open day) spine from each first movement onward."""
     bk = S.book(spark, d)
-    book = pos.position_book(bk.movements, bk.dates, BOOK_KEYS)
+    book = pos.position_book(bk.movements, bk.dates, BOOK_KEYS, daily=True)
     return book.select(*BOOK_KEYS, "business_date", "is_last_trading_day_of_month")
 
 
@@ -67,7 +67,7 @@ def q_spine(spark, d):
 def q_position_daily(spark, d):
     """M13 core (J8, J9, W5): dense daily closing quantity per holding."""
     bk = S.book(spark, d)
-    return pos.position_book(bk.movements, bk.dates, BOOK_KEYS)
+    return pos.position_book(bk.movements, bk.dates, BOOK_KEYS, daily=True)
 
 
 # A held day's price: its own print, or the latest print of an earlier held day.
@@ -131,7 +131,7 @@ def valued(spark, d, bk, holdings, quantity_basis="units", exact=False):
 def valued_book(spark, d):
     """The dense book with prices, versions and market values."""
     bk = S.book(spark, d)
-    x = valued(spark, d, bk, pos.position_book(bk.movements, bk.dates, BOOK_KEYS))
+    x = valued(spark, d, bk, pos.position_book(bk.movements, bk.dates, BOOK_KEYS, daily=True))
     return x.select("account_id", "isin", "instrument_version_sk", "closing_quantity", "price", "market_value_local",
                     "price_currency", "price_source", "is_last_trading_day_of_month", "business_date")
 

@@ -257,7 +257,7 @@ _SNAP_SQL = {
 
 def statement(bk, open_days_only=False):
     ends = bk.dates.filter("is_last_trading_day_of_month").select("date_key")
-    return positions_at(bk.movements, ends, bk.dates, BOOK_KEYS, open_days_only=open_days_only)
+    return positions_at(bk.movements, ends, bk.dates, BOOK_KEYS, open_days_only=open_days_only, daily=True)
 
 
 @register("q_snapshot", book_sql("select * from statement", extra=_SNAP_SQL))
@@ -274,7 +274,7 @@ _RECON = ("select account_id, isin, as_of_date, cast(sum(d) as bigint) as derive
 
 def _recon(spark, d, open_days_only):
     bk = S.book(spark, d)
-    book = position_book(bk.movements, bk.dates, BOOK_KEYS).filter("is_last_trading_day_of_month")
+    book = position_book(bk.movements, bk.dates, BOOK_KEYS, daily=True).filter("is_last_trading_day_of_month")
     st = statement(bk, open_days_only)
     return reconcile(book.withColumnRenamed("business_date", "as_of_date"), st, [*BOOK_KEYS, "as_of_date"],
                      "closing_quantity", "quantity", right_keys=[*BOOK_KEYS, "snapshot_date"])

@@ -170,7 +170,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     small_batches(docs.sparkSession)
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold() != 2))
     # Four times what is wanted passes the hash, whatever the size of the language; only those are ranked.
-    size = known.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("size"))
+    # Written first, the counts have a size that the planner knows: no document is shuffled by language.
+    size = saved(known.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("size")), "languages")
     draw = known.select("lang", F.col("doc_id").alias("drawn"), F.xxhash64("doc_id", F.lit("langid")).alias("h")).join(size, F.col("lang") == F.col("of"))
     draw = draw.filter(hash_share(F.col("h"), per_language, F.col("size")))
     draw = draw.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h", "drawn"))).filter(F.col("nth") <= per_language)

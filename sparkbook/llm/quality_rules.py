@@ -111,7 +111,8 @@ def judged(docs: DataFrame) -> DataFrame:
     """The measures of each document with base_failed, kept and the metrics that failed (``reasons``)."""
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     measured = saved(measures(docs).withColumn("base_failed", base), "measures")
-    limits = thresholds(sketches(measured.filter(~F.col("base_failed"))))
+    # Written first, the thresholds have a size that the planner knows: documents need no shuffle by group.
+    limits = saved(thresholds(sketches(measured.filter(~F.col("base_failed")))), "limits")
     limits = limits.withColumnRenamed("lang", "t_lang").withColumnRenamed("source", "t_source")
     joined = measured.join(limits, F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")), "left")
     fails = {m: (ratio(m) > F.col(f"high_{m}")) | ((ratio(m) < F.col(f"low_{m}")) if METRICS[m][4] else F.lit(False)) for m in METRICS}

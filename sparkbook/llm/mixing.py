@@ -65,7 +65,8 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP,
     """(doc_id, source, size, source_size, target, copies) per document."""
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words(F.col("text")).alias("size"), uniform(seed).alias("u"))
     sized = saved(sized, "sizes")
-    targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
+    # Written first, the targets have a size that the planner knows: documents need no shuffle by source.
+    targets = saved(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap), "targets")
     targets = targets.withColumnRenamed("source", "of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(1.0)
     joined = sized.join(targets, F.col("source").eqNullSafe(F.col("of"))).withColumn("rate", rate)

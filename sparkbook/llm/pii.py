@@ -6,11 +6,13 @@ addresses, dotted and spaced number groups, long digit runs. Each proposal is
 described by its format (digits, groups, separators, checks that hold) and its
 context (neighbouring characters, hashed neighbouring words), and gradient-
 boosted trees trained here tell which look like personal data. Training is
-weakly supervised: the base spans are positive, proposals that fail the checks
-of their kind are negative, and what defines a base pattern on its face (the
-plus sign, the bare @) is no feature. Probabilities are calibrated on a held-out
-part, and the threshold of each kind is the least that reaches ``PRECISION``
-there; a kind that never does adds nothing.
+weakly supervised: base spans and proposals that pass their kind's check (Luhn
+and card groups, octets, a phone's grouping, a domain's form) are positive,
+proposals that fail it are negative, those it cannot tell are left out, and what
+defines a base pattern on its face (the plus sign, the bare @) is no feature.
+Probabilities are calibrated on a held-out part, and the threshold of each kind
+is the least at which its proposals there reach ``PRECISION``; a kind that never
+does adds nothing.
 
 Texts are read once, in the tasks that hold them; nothing is shuffled. Training
 reads at most ``TRAIN_ROWS`` proposals, drawn by hash; the trees that travel
@@ -52,6 +54,7 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _SPELLED = re.compile(r"[\[({<] ?(?:at|AT|At) ?[\])}>]")
 _BEFORE = re.compile(r"[\w.%+-]{1,64} ?\Z")
 _AFTER = re.compile(r" ?[\w-]{1,63}(?: ?(?:\.|[\[({<] ?(?:dot|DOT|Dot) ?[\])}>]) ?[\w-]{1,63}){1,4}")
+_TIGHT = re.compile(r" ?[\w-]{1,63}(?:(?:\.| ?[\[({<] ?(?:dot|DOT|Dot) ?[\])}>] ?)[\w-]{1,63}){1,4}")
 _NUMBERS = re.compile(r"(?<![0-9A-Za-z])\(?[0-9]++(?:[ ./()-]{1,2}[0-9]++){1,7}(?![0-9A-Za-z])")
 _RUN = re.compile(r"(?<![0-9A-Za-z])[0-9]{7,19}(?![0-9A-Za-z])")
 
@@ -102,7 +105,9 @@ def proposals(text: str) -> list[tuple[int, int, int]]:
         lo = max(0, m.start() - 65)
         before, after = _BEFORE.search(text[lo : m.start()]), _AFTER.match(text, m.end())
         if before and after:
-            out.append((lo + before.start(), 0, after.end()))
+            tight = _TIGHT.match(text, m.end())  # without the word after a full stop
+            ends = {after.end(), tight.end()} if tight else {after.end()}
+            out += [(lo + before.start(), 0, end) for end in sorted(ends)]
     for m in _NUMBERS.finditer(text):
         n = sum("0" <= c <= "9" for c in m[0])
         if m[0].count(".") == 3 and not set(m[0]) & set(" ()/-"):
@@ -120,8 +125,43 @@ def proposals(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+_DOT = re.compile(r" ?[\[({<] ?(?:dot|DOT|Dot) ?[\])}>] ?")
+_ADDRESS = re.compile(r"[A-Za-z0-9](?:[\w.%+-]*\w)?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}")
+_DATE = re.compile(r"\(?(?:[0-9]{1,2}([ ./-])[0-9]{1,2}\1[0-9]{4}|[0-9]{4}([ ./-])[0-9]{1,2}\2[0-9]{1,2})(?![0-9])")
+CARD_GROUPS = frozenset({(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 4, 2), (4, 4, 4, 3)})
+#: What check() says of a span.
+FAILS, UNSURE, PASSES = 0, 1, 2
+
+
+def check(text: str, kind: int, start: int, end: int) -> int:
+    """Whether a span passes its kind's check, whatever marks it is written with; UNSURE where the check cannot tell."""
+    span = text[start:end]
+    if kind == 0:
+        address = _DOT.sub(".", re.sub(rf" ?{_SPELLED.pattern} ?", "@", span, count=1))
+        return PASSES if _ADDRESS.fullmatch(address) else FAILS
+    groups = re.findall(r"[0-9]+", span)
+    sizes, digits = tuple(map(len, groups)), "".join(groups)
+    if kind == 1:
+        return PASSES if len(groups) == 4 and octets(".".join(groups)) else FAILS
+    if kind == 2:
+        if not luhn(digits):
+            return FAILS
+        return PASSES if 14 <= len(digits) <= 19 and (len(groups) == 1 or sizes in CARD_GROUPS) else UNSURE  # one in ten numbers passes Luhn
+    if "/" in span or _DATE.match(span):
+        return FAILS
+    if sizes[-3:] == (3, 3, 4) and groups[-3][0] > "1" and groups[:-3] in ([], ["1"]):
+        return PASSES
+    if len(groups) == 1:
+        return UNSURE if 10 <= len(digits) <= 15 else FAILS
+    if sizes == (3, 4):
+        return UNSURE
+    if digits.startswith("00"):
+        return UNSURE if 10 <= len(digits) <= 15 and min(sizes) > 1 else FAILS
+    return UNSURE if digits[0] == "0" and 2 <= sizes[0] <= 5 and 9 <= len(digits) <= 12 and min(sizes) > 1 else FAILS
+
+
 N_WORDS = 16
-N_FEATURES = 18 + N_WORDS
+N_FEATURES = 19 + N_WORDS
 
 
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
@@ -137,7 +177,7 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
     return [
         kind, len(span), len(digits), len(groups), len(groups[0]) if groups else 0, len(groups[-1]) if groups else 0, max(map(len, groups), default=0),
         span.count(" "), span.count("-"), span.count("."), span.count("(") == span.count(")") == 1, sum(c.isalpha() for c in span), len(set(digits)),
-        14 <= len(digits) <= 19 and luhn(digits), kind == 1 and octets(span), left.isalnum(), right.isalnum(), left.isspace() or not left, *words,
+        14 <= len(digits) <= 19 and luhn(digits), kind == 1 and octets(span), left.isalnum(), right.isalnum(), left.isspace() or not left, check(text, kind, start, end), *words,
     ]
 
 
@@ -169,12 +209,17 @@ class Trees:
         return 1 / (1 + np.exp(-(self.slope * self.margin(x) + self.shift)))
 
 
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = 40, rate: float = 0.2) -> Trees:
-    """Fit on three quarters, calibrate and set thresholds on the rest (every fourth row)."""
+def boost(x: np.ndarray, y: np.ndarray, loose: np.ndarray | None = None, rounds: int = 40, rate: float = 0.2) -> Trees:
+    """Fit on three quarters, calibrate and set thresholds on the rest.
+
+    Thresholds rest on the ``loose`` rows alone (all if not given): base spans stay
+    anyway and would cover for wrong ones. A kind with fewer than ten of them in the
+    rest is judged together with its base spans.
+    """
     model = Trees()
     if len(y) < 40 or y.all() or not y.any():
         return model
-    held = np.arange(len(y)) % 4 == 3
+    held = np.random.default_rng(0).permutation(len(y)) % 4 == 3  # spans of a document come in a fixed order
     model.edges = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, 17)[1:-1])) for k in range(x.shape[1])]
     b, t = model.binned(x[~held]), y[~held]
     share = float(np.clip(t.mean(), 0.01, 0.99))
@@ -207,9 +252,11 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 40, rate: float = 0.2) ->
         model.slope += 0.5 * float(((t - p) * m).mean())
         model.shift += 0.5 * float((t - p).mean())
     p, kind = model.probability(x[held]), x[held][:, 0]
+    added = np.ones(len(t), bool) if loose is None else loose[held]
     least = []
     for k in range(len(KINDS)):
-        own = np.flatnonzero(kind == k)
+        own = np.flatnonzero((kind == k) & added)
+        own = own if len(own) >= 10 else np.flatnonzero(kind == k)
         order = own[np.argsort(-p[own], kind="stable")]
         right = np.cumsum(t[order]) / np.arange(1, len(order) + 1)
         ok = np.flatnonzero(right >= PRECISION)
@@ -222,11 +269,11 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
 
 
-FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, marks binary, x binary"
+FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, marks binary, x binary, checks binary"
 
 
 def found_spans(docs: DataFrame) -> DataFrame:
-    """Base spans and described proposals of each document. marks: (start, kind, end, whether base) as int32; x: their features as float32."""
+    """Base spans and described proposals of each document. marks: (start, kind, end, whether base) as int32; x: their features as float32; checks: what check() says, as bytes."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,9 +285,9 @@ def found_spans(docs: DataFrame) -> DataFrame:
                 every = [(*s, 1) for s in base] + [(*s, 0) for s in dict.fromkeys(proposals(text)) if s not in known]
                 x = np.array([features(text, k, a, b) for a, k, b, _ in every], "<f4")
                 counts = [sum(k == j for _, k, _ in base) for j in range(len(KINDS))]
-                out.append((doc_id, *counts, joined(base), np.array(every, "<i4").tobytes(), x.tobytes()))
-            cols = list(zip(*out, strict=True)) or [[]] * 8
-            kinds = (*[pa.int64()] * 5, pa.string(), pa.binary(), pa.binary())
+                out.append((doc_id, *counts, joined(base), np.array(every, "<i4").tobytes(), x.tobytes(), bytes(check(text, k, a, b) for a, k, b, _ in every)))
+            cols = list(zip(*out, strict=True)) or [[]] * 9
+            kinds = (*[pa.int64()] * 5, pa.string(), *[pa.binary()] * 3)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=[n.split()[0] for n in FOUND.split(", ")])
 
     small_batches(docs.sparkSession)
@@ -255,22 +302,24 @@ def train(found: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     """Fit the trees on the spans of a bounded number of documents that have any, drawn by hash.
 
     At most ``rows`` documents are read, and of them at most ``rows`` spans; a
-    looser span that overlaps a base span is no example of either label.
+    looser span that overlaps a base span, or that check() cannot tell, is no
+    example of either label.
     """
     drawn = hash_sample(found.filter(F.length("marks") > 0), rows, "doc_id", "marks")
-    bounded = drawn.select("h", F.substring("marks", 1, 16 * 64).alias("marks"), F.substring("x", 1, 4 * N_FEATURES * 64).alias("x"))
-    xs, ys = [], []
+    bounded = drawn.select("h", F.substring("marks", 1, 16 * 64).alias("marks"), F.substring("x", 1, 4 * N_FEATURES * 64).alias("x"), F.substring("checks", 1, 64).alias("checks"))
+    xs, ys, loose = [], [], []
     for r in sorted(bounded.collect(), key=lambda r: (r["h"], bytes(r["marks"]))):
         marks = np.frombuffer(bytes(r["marks"]), "<i4").reshape(-1, 4)
         x = np.frombuffer(bytes(r["x"]), "<f4").reshape(-1, N_FEATURES)
         base = [tuple(map(int, m[:3])) for m in marks if m[3]]
-        for m, f in zip(marks, x, strict=True):
-            if m[3] or not any(overlaps(tuple(m[:3]), s) for s in base):
+        for m, f, c in zip(marks, x, bytes(r["checks"]), strict=True):
+            if m[3] or (c != UNSURE and not any(overlaps(tuple(m[:3]), s) for s in base)):
                 xs.append(f)
-                ys.append(float(m[3]))
+                ys.append(float(m[3] or c == PASSES))
+                loose.append(not m[3])
         if len(ys) >= rows:
             break
-    return boost(np.array(xs[:rows], float), np.array(ys[:rows])) if xs else Trees()
+    return boost(np.array(xs[:rows], float), np.array(ys[:rows]), np.array(loose[:rows])) if xs else Trees()
 
 
 def accepted(marks: np.ndarray, x: np.ndarray, model: Trees) -> list[tuple[int, int, int]]:

@@ -99,3 +99,38 @@ def test_accepted_spans_do_not_overlap():
 
 def test_empty_table(spark):
     assert pii.personal_data(frame(spark, rows()).limit(0)).collect() == []
+
+
+def planted(n=400, seed=11):
+    """(documents, (doc_id, span) that are personal data, (doc_id, span) that are not), none of them base spans."""
+    rng = random.Random(seed)
+    num = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    data, real, decoy = personal(n), set(), set()
+    for i in range(n, 3 * n):
+        d = num(15)
+        good = d + next(c for c in "0123456789" if plain_luhn(d + c))
+        bad = d + next(c for c in "0123456789" if not plain_luhn(d + c))
+        sep = rng.choice("./")
+        four = lambda s: sep.join(s[k : k + 4] for k in range(0, 16, 4))  # noqa: B023, E731
+        area = f"{rng.randint(200, 999)}"
+        true = [f"({area}) {num(3)}-{num(4)}", f"{area}-{num(3)}-{num(4)}", f"{area}.{num(3)}.{num(4)}", four(good), f"jane{i} [at] mail [dot] com", f"j.doe{i} (at) mail{i % 7}.org", f"ann{i} <at> site (dot) co (dot) uk"]
+        false = [four(bad), f"20{num(2)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}", f"{rng.randint(10, 28)}/{rng.randint(10, 12)}/19{num(2)}", f"{num(3)}-{num(2)}-{num(4)}", f"{rng.randint(300, 999)}.{num(3)}.{num(2)}.1", f"look (at) fig. {i}", f"{num(4)}-{num(4)}-{num(4)}"]
+        k = rng.randrange(4)
+        span = rng.choice(true) if k == 0 else rng.choice(false) if k == 1 else None
+        if span:
+            data.append((i, f"they wrote {span}{rng.choice([' to us', '. Then', ', and', ''])}", "en", "s"))
+            (real if k == 0 else decoy).add((i, span))
+    return data, real, decoy
+
+
+def test_looser_personal_data_is_added_and_decoys_are_not(spark):
+    data, real, decoy = planted()
+    text = {r[0]: r[1] for r in data}
+    assert all(not plain_base(text[i]) for i, _ in real | decoy)
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(frame(spark, data)).collect()}
+    found = {(i, text[i][int(a) : int(b)]) for i in {i for i, _ in real | decoy} for s in got[i].split(",") if s for _, a, b in [s.split(":")]}
+    for mark in ("at", "digits"):  # addresses, then numbers
+        own = {(i, s) for i, s in real if ("at" in s) == (mark == "at")}
+        assert len(found & own) / len(own) >= 0.95
+    assert len(found & real) / len(found) >= 0.97
+    assert len({i for i, _ in found} & {i for i, _ in decoy}) <= 0.03 * len(decoy)

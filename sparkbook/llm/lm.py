@@ -18,8 +18,10 @@ its distinct bigrams, to shards by hash, already counted, so a word that is a
 third of all tokens is one row per batch. A word with more than ``BATCH``
 occurrences has its successors dealt over several shards; the context's count is
 known by then, so no shard needs them together. A shard adds up the counts of all
-batches, builds its level and scores the bigrams that the batches sent; only
-sums per document go back. Shards grow in number with the tokens, not in size.
+batches, builds its level and scores the bigrams that the batches sent; one
+number per batch and distinct bigram goes back, and each batch adds them up over
+its own tokens. So a bigram costs one number per batch however often it occurs.
+Shards grow in number with the tokens, not in size.
 
 Words are known by 64-bit hashes. The score starts each document after a start
 mark (a context with as many occurrences as training documents); unknown words
@@ -37,6 +39,7 @@ import mmap
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -200,7 +203,79 @@ def bigram_scores(queries: list[list[np.ndarray]], mu: float) -> tuple[bytes, li
     return level, out
 
 
-SUMS = "batch long, doc binary, total binary, level binary"
+class Grams:
+    """What a batch knows of its tokens, given its words' numbers and counts; read alike when it asks and when it adds up."""
+
+    def __init__(self, words: bytes, body: bytes, counted: list[tuple[int, bytes]], shards: int, norm: float, mu: float, size: int):
+        h, _ = unpacked(words, 2)
+        self.tokens, self.sizes, self.held, end = unpacked(body, 4)
+        number, count = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
+        own = (h % np.uint64(shards)).astype(np.int64)
+        for shard, blob in counted:
+            number[own == shard], count[own == shard] = unpacked(blob, 2)
+        p1 = np.log10((count + ADD) / norm) if norm else np.zeros(len(h))
+        tokens = self.tokens
+        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.p1, self.known = p1[tokens], count[tokens] > 0
+        self.first = np.concatenate([[True], self.doc[1:] != self.doc[:-1]])
+        prev = np.concatenate([tokens[:1], tokens[:-1]])
+        start_total = int(count[end[0]])  # training documents, each with one end
+        total = np.where(self.first, start_total, count[prev])
+        #: Scores of tokens whose context or word no shard knows; the others wait for their shard.
+        self.p2 = np.where(total > 0, np.log10(mu / (total + mu)), 0.0) + self.p1
+        asked = (number[tokens] > 0) & (total > 0)
+        left, right = np.where(self.first, len(h), prev)[asked], tokens[asked]
+        key, back = np.unique(left * (len(h) + 1) + right, return_inverse=True)
+        left, right = key // (len(h) + 1), key % (len(h) + 1)
+        #: The distinct bigram of each token (-1: none is asked), and each one's context, total, successor and training count.
+        self.gram = np.full(len(tokens), -1)
+        self.gram[asked] = back
+        self.train = self.of_training(self.gram, len(key))
+        self.ctx = np.where(left == len(h), START, number[np.minimum(left, len(h) - 1)])
+        self.tot = np.where(left == len(h), start_total, count[np.minimum(left, len(h) - 1)])
+        self.succ, self.low = number[right], p1[right].astype("<f2")
+        self.to = shard_of(self.ctx, self.succ, self.tot, shards, size)
+        self.order = np.lexsort((self.succ, self.ctx, self.to))
+
+    def of_training(self, gram: np.ndarray, n: int) -> np.ndarray:
+        """How often each of ``n`` distinct grams occurs in training documents."""
+        train = (gram >= 0) & (self.held[self.doc] == 0)
+        return np.bincount(gram[train], minlength=n).astype(np.int64)
+
+    def per_document(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.doc, values, len(self.sizes)).astype(float)  # an empty count is of whole numbers
+
+    def bigrams(self) -> Iterator[tuple[int, bytes]]:
+        """(shard, its distinct bigrams with their counts)."""
+        for s, o in runs_of(self.to, self.order):
+            new, runs = starts(self.ctx[o])
+            yield s, packed(self.ctx[o][new], runs, self.tot[o][new], self.succ[o], self.train[o], self.low[o])
+
+    def scored(self, answers: dict[int, bytes]) -> None:
+        """Take the shards' answers on the bigrams."""
+        logp = np.zeros(len(self.order))
+        for s, o in runs_of(self.to, self.order):
+            (logp[o],) = unpacked(answers[s], 1)
+        asked = self.gram >= 0
+        self.p2[asked] = logp[self.gram[asked]]
+
+
+def starts(*sorted_columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a new row begins in sorted columns, and how many rows are alike from there."""
+    n = len(sorted_columns[0])
+    change = np.any([c[1:] != c[:-1] for c in sorted_columns], axis=0) if n else np.zeros(0, bool)
+    new = np.flatnonzero(np.concatenate([[True], change])) if n else np.zeros(0, np.int64)
+    return new, np.diff(np.concatenate([new, [n]]))
+
+
+def runs_of(to: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, the entries that go there), of entries ordered by shard."""
+    new, runs = starts(to[order])
+    for at, n in zip(new.tolist(), runs.tolist(), strict=True):
+        yield int(to[order[at]]), order[at : at + n]
+
+
+ANSWERED = "batch long, shard long, blob binary, level binary"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -214,94 +289,49 @@ def scores(docs: DataFrame, mu: float = MU, size: int = BATCH, keep_levels: bool
     n_train, n_words = (int(x or 0) for x in counted.agg(F.sum("n"), F.sum("v")).first())
     norm = n_train + ADD * (n_words + 1)
 
+    def opened(cols: dict[str, list], k: int) -> tuple[Grams, list[dict[int, bytes]]]:
+        """A batch's grams, and the shards' answers to it by round."""
+        rounds = [{p["shard"]: p["blob"] for p in cols["parts"][k] if p["round"] == r} for r in range(2)]
+        return Grams(cols["words"][k], cols["body"][k], list(rounds[0].items()), shards, norm, mu, size), rounds
+
     def ask(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             cols = batch.to_pydict()
-            for at, words, body, parts in zip(cols["batch"], cols["words"], cols["body"], cols["parts"], strict=True):
-                h, _ = unpacked(words, 2)
-                tokens, sizes, held, end = unpacked(body, 4)
-                number, count = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
-                own = (h % np.uint64(shards)).astype(np.int64)
-                for p in parts:
-                    number[own == p["shard"]], count[own == p["shard"]] = unpacked(p["blob"], 2)
-                p1 = np.log10((count + ADD) / norm) if norm else np.zeros(len(h))
-                doc = np.repeat(np.arange(len(sizes)), sizes)
-                base = np.bincount(doc, p1[tokens], len(sizes)).astype(float)
-                known = np.bincount(doc, count[tokens] > 0, len(sizes)).astype(np.int64)
-                first = np.concatenate([[True], doc[1:] != doc[:-1]])
-                prev = np.concatenate([tokens[:1], tokens[:-1]])
-                start_total = int(count[end[0]])  # training documents, each with one end
-                context = np.where(first, START, number[prev])
-                total = np.where(first, start_total, count[prev])
-                ask_ = (number[tokens] > 0) & (total > 0)
-                here = np.where(total > 0, np.log10(mu / (total + mu)), 0.0) + p1[tokens]
-                score = np.bincount(doc[~ask_], here[~ask_], len(sizes)).astype(float)  # an empty count is of whole numbers
-                # What is asked: distinct (context, word) with training count and the documents they occur in.
-                left, right = np.where(first, len(h), prev)[ask_], tokens[ask_]
-                key, back = np.unique(left * (len(h) + 1) + right, return_inverse=True)
-                left, right = key // (len(h) + 1), key % (len(h) + 1)
-                train = np.bincount(back, held[doc[ask_]] == 0, len(key)).astype(np.int64)
-                ctx = np.where(left == len(h), START, number[np.minimum(left, len(h) - 1)])
-                tot = np.where(left == len(h), start_total, count[np.minimum(left, len(h) - 1)])
-                succ, low = number[right], p1[right].astype("<f2")
-                to = shard_of(ctx, succ, tot, shards, size)
-                order = np.lexsort((succ, ctx, to))
-                occ = np.argsort(back, kind="stable")
-                occ_doc, occ_n = doc[ask_][occ], np.bincount(back, minlength=len(key))
-                occ_at = np.concatenate([[0], np.cumsum(occ_n)])
-                out = [(-1 - at, at, packed(base, score, known, sizes, held))]
-                cuts = np.searchsorted(to[order], np.arange(shards + 1))
-                for s in range(shards):
-                    o = order[cuts[s] : cuts[s + 1]]
-                    if not len(o):
-                        continue
-                    c = ctx[o]
-                    new = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-                    runs, n_occ = np.diff(np.concatenate([new, [len(o)]])), occ_n[o]
-                    places = np.repeat(occ_at[o], n_occ) + np.arange(n_occ.sum()) - np.repeat(np.cumsum(n_occ) - n_occ, n_occ)
-                    out.append((s, at, packed(c[new], runs, tot[o][new], succ[o], train[o], low[o], n_occ, occ_doc[places])))
-                cols3 = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(cols3[0], pa.int64()), pa.array(cols3[1], pa.int64()), pa.array(cols3[2], pa.binary())], names=["shard", "batch", "blob"])
+            for k, at in enumerate(cols["batch"]):
+                grams, _ = opened(cols, k)
+                out = list(grams.bigrams())
+                yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int64()), pa.array([at] * len(out), pa.int64()), pa.array([b for _, b in out], pa.binary())], names=["shard", "batch", "blob"])
 
     def answer(table: pa.Table) -> pa.Table:
-        names = [x.split()[0] for x in SUMS.split(", ")]
-        at, blobs = table["batch"].to_pylist(), table["blob"].to_pylist()
-        if table["shard"][0].as_py() < 0:  # what a batch knows by itself goes on as it is
-            return pa.table([pa.array(at, pa.int64()), pa.nulls(len(at), pa.binary()), pa.array(blobs, pa.binary()), pa.nulls(len(at), pa.binary())], names=names)
-        queries = [unpacked(b, 8) for b in blobs]
-        level, logp = bigram_scores([q[:6] for q in queries], mu)
-        docs_of, totals = [], []
-        for q, p in zip(queries, logp, strict=True):
-            n = int(q[7].max()) + 1
-            sums = np.bincount(q[7], np.repeat(p, q[6]), n)
-            own = np.flatnonzero(np.bincount(q[7], minlength=n))
-            docs_of.append(packed(own))
-            totals.append(packed(sums[own].astype("<f8")))
-        if keep_levels:
-            return pa.table([pa.array([*at, None], pa.int64()), pa.array([*docs_of, None], pa.binary()), pa.array([*totals, None], pa.binary()), pa.array([None] * len(at) + [level], pa.binary())], names=names)
-        return pa.table([pa.array(at, pa.int64()), pa.array(docs_of, pa.binary()), pa.array(totals, pa.binary()), pa.nulls(len(at), pa.binary())], names=names)
+        at, shard = table["batch"].to_pylist(), table["shard"][0].as_py()
+        level, logp = bigram_scores([unpacked(b, 6) for b in table["blob"].to_pylist()], mu)
+        cols = ([*at, None], [shard] * (len(at) + 1), [*(packed(p.astype("<f2")) for p in logp), None], [None] * len(at) + [level if keep_levels else None])
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in ANSWERED.split(", ")])
 
     def finish(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in SCORED.split(", ")]
         for batch in rows:
             cols = batch.to_pydict()
-            for ids, parts in zip(cols["doc_ids"], cols["sums"], strict=True):
-                own = next(p["total"] for p in parts if p["doc"] is None)
-                base, score, known, sizes, held = unpacked(own, 5)
-                score = score.copy()
-                for p in sorted((p for p in parts if p["doc"] is not None), key=lambda p: p["total"]):
-                    score[unpacked(p["doc"], 1)[0]] += unpacked(p["total"], 1)[0]
-                if not n_train:
-                    score = base
-                out = [pa.array(ids, pa.int64()), pa.array(held.astype(bool)), pa.array(sizes), pa.array(known), pa.array([n_train] * len(ids), pa.int64()), pa.array(base), pa.array(score)]
+            for k, ids in enumerate(cols["doc_ids"]):
+                grams, rounds = opened(cols, k)
+                grams.scored(rounds[1])
+                base = grams.per_document(grams.p1)
+                score = grams.per_document(grams.p2) if n_train else base
+                known = grams.per_document(grams.known).astype(np.int64)
+                out = [pa.array(ids, pa.int64()), pa.array(grams.held.astype(bool)), pa.array(grams.sizes), pa.array(known), pa.array([n_train] * len(ids), pa.int64()), pa.array(base), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(out, names=names)
 
-    answers = counted.filter("batch is not null").groupBy("batch").agg(F.collect_list(F.struct("shard", "blob")).alias("parts")).withColumnRenamed("batch", "of")
-    asked = batches.join(answers, F.col("batch") == F.col("of")).select("batch", "words", "body", "parts").mapInArrow(ask, "shard long, batch long, blob binary")
-    sums = saved(asked.groupBy("shard").applyInArrow(answer, SUMS), "sums")
-    per_batch = sums.filter("batch is not null").groupBy("batch").agg(F.collect_list(F.struct("doc", "total")).alias("sums")).withColumnRenamed("batch", "of")
-    result = saved(batches.select("batch", "doc_ids").join(per_batch, F.col("batch") == F.col("of")).select("doc_ids", "sums").mapInArrow(finish, SCORED), "scores")
+    def with_parts(columns: list[str], *rounds: DataFrame) -> DataFrame:
+        """Batches with the shards' answers of each round."""
+        parts = [r.filter("batch is not null").select(F.col("batch").alias("of"), F.struct(F.lit(k).alias("round"), F.col("shard").cast("long").alias("shard"), "blob").alias("part")) for k, r in enumerate(rounds)]
+        answers = reduce(DataFrame.unionAll, parts).groupBy("of").agg(F.collect_list("part").alias("parts"))
+        return batches.join(answers, F.col("batch") == F.col("of")).select(*columns, "parts")
+
+    asked = with_parts(["batch", "words", "body"], counted).mapInArrow(ask, "shard long, batch long, blob binary")
+    answered = saved(asked.groupBy("shard").applyInArrow(answer, ANSWERED), "bigrams")
+    result = saved(with_parts(["doc_ids", "words", "body"], counted, answered).mapInArrow(finish, SCORED), "scores")
     small_batches(spark)
     for table in (batches, counted):
         dropped(table)
-    return (result, sums.filter("level is not null").select("level")) if keep_levels else result
+    return (result, answered.filter("level is not null").select("level")) if keep_levels else result

@@ -103,3 +103,26 @@ def test_empty_table_and_no_training_rows(spark):
     held = next(i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0)
     (r,) = lm.scores(frame(spark, [(held, "a b", "en", "s")])).collect()
     assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (3, 0, 0) and r["score"] == r["base_score"]
+
+
+def grams(texts, shards=3):
+    """The grams of one batch that holds these training texts, with the answers that its words got."""
+    from xxhash import xxh64_intdigest
+
+    words = [[*t.encode().split(), lm.END] for t in texts]
+    h = {w: xxh64_intdigest(w) for ws in words for w in ws}
+    ranked = np.sort(np.array(list(h.values()), np.uint64))
+    tokens = np.searchsorted(ranked, np.array([h[w] for ws in words for w in ws], np.uint64))
+    count = np.bincount(tokens)
+    own = (ranked % np.uint64(shards)).astype(int)
+    counted = [(s, lm.packed(np.flatnonzero(own == s) + 1, count[own == s])) for s in range(shards)]
+    end = np.searchsorted(ranked, np.array([h[lm.END]], np.uint64))
+    body = lm.packed(tokens, np.array([len(w) for w in words]), np.zeros(len(words), np.uint8), end)
+    return lm.Grams(lm.packed(ranked, count), body, counted, shards, float(count.sum()), lm.MU, lm.BATCH)
+
+
+def test_a_hot_bigram_costs_one_entry_per_batch():
+    """A pair that is nearly all tokens is sent once, with its count: nothing in a shard grows with its occurrences."""
+    few, many = ([lm.unpacked(b, 6) for _, b in grams(["x y " * n, "y z"]).bigrams()] for n in (50, 50_000))
+    assert [[len(a) for a in q] for q in few] == [[len(a) for a in q] for q in many]
+    assert max(int(q[4].max()) for q in many) == 50_000 and sum(len(q[3]) for q in many) == 7

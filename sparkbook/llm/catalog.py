@@ -20,8 +20,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Add-0.1 unigram base and bigram trie score of every document."""
-    return lm.scores(documents(spark, sf_dir))
+    """Add-0.1 unigram base and trigram trie score of every document."""
+    return lm.scores(documents(spark, sf_dir), order=3)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -159,9 +159,16 @@ class Level:
 
     def lookup(self, context: np.ndarray, successor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(code, whether the pair is there) for each query."""
-        found, code = np.zeros(len(context), bool), np.zeros(len(context), np.uint8)
+        place, found = self.places(context, successor)
+        code = np.zeros(len(context), np.uint8)
+        code[found] = self.codes[place[found]]
+        return code, found
+
+    def places(self, context: np.ndarray, successor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the level, whether the pair is there) for each query."""
+        found, out = np.zeros(len(context), bool), np.zeros(len(context), np.int64)
         if not self.successors.n or not len(context):
-            return code, found
+            return out, found
         new = np.concatenate([[True], context[1:] != context[:-1]])  # queries come in runs of one context
         own = np.cumsum(new) - 1
         at, there = self.contexts.find(context[new].astype(np.uint64))
@@ -171,8 +178,8 @@ class Level:
         known = np.flatnonzero(there[own])
         place, same = self.successors.find(base[own[known]] + successor[known].astype(np.uint64))
         same &= place < hi[own[known]]
-        found[known[same]], code[known[same]] = True, self.codes[place[same]]
-        return code, found
+        found[known[same]], out[known[same]] = True, place[same]
+        return out, found
 
 
 def quantised(logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -1,15 +1,17 @@
 """Language-model scoring with Elias-Fano n-gram tries.
 
-A bigram model with hierarchical Dirichlet smoothing,
+A trigram model (or a bigram model, ``order`` 2) with hierarchical Dirichlet smoothing,
 
-    p(w)     = (c(w) + 0.1) / (N + 0.1 (V + 1))
-    p(w | v) = (c(v w) + MU p(w)) / (c(v) + MU),
+    p(w)       = (c(w) + 0.1) / (N + 0.1 (V + 1))
+    p(w | v)   = (c(v w) + MU p(w)) / (c(v) + MU)
+    p(w | u v) = (c(u v w) + MU p(w | v)) / (c(u v) + MU),
 
 whose bigram level is an Elias-Fano trie: contexts, monotone pointers to their
 successors, successors stored relative to their context, and log probabilities
 quantised to 256 values. A query finds the context, takes its start, and
 searches the successor relative to it (module ``elias_fano``). A level is one
-read-only buffer that is mapped, not unpacked; ``write_level`` and ``open_level``
+read-only buffer that is mapped, not unpacked; the trigram level's contexts are
+places in the bigram level, whose pointers lead on to their successors (``Trie``); ``write_level`` and ``open_level``
 keep it as a memory-mapped file.
 
 No task holds the whole model. Documents are cut into batches of about
@@ -21,6 +23,9 @@ known by then, so no shard needs them together. A shard adds up the counts of al
 batches, builds its level and scores the bigrams that the batches sent; one
 number per batch and distinct bigram goes back, and each batch adds them up over
 its own tokens. So a bigram costs one number per batch however often it occurs.
+Trigrams follow in a second round by the same rules: with the score of a bigram
+comes its count, by which a bigram of more than ``BATCH`` occurrences has its
+successors dealt over several shards.
 Shards grow in number with the tokens, not in size.
 
 Words are known by 64-bit hashes. The score starts each document after a start
@@ -182,8 +187,8 @@ def shard_of(context: np.ndarray, successor: np.ndarray, total: np.ndarray, shar
     return (context + (mixed % spread.astype(np.uint64)).astype(np.int64)) % shards
 
 
-def bigram_scores(queries: list[list[np.ndarray]], mu: float) -> tuple[bytes, list[np.ndarray]]:
-    """The level of a shard from all batches' (contexts, runs, totals, successors, counts, lower), and each batch's log10 probabilities."""
+def bigram_scores(queries: list[list[np.ndarray]], mu: float) -> tuple[bytes, list[np.ndarray], list[np.ndarray]]:
+    """The level of a shard from all batches' (contexts, runs, totals, successors, counts, lower), and each batch's log10 probabilities and counts."""
     context = [np.repeat(q[0], q[1]) for q in queries]
     total = [np.repeat(q[2], q[1]) for q in queries]
     c, s = np.concatenate(context), np.concatenate([q[3] for q in queries])
@@ -196,11 +201,16 @@ def bigram_scores(queries: list[list[np.ndarray]], mu: float) -> tuple[bytes, li
     t = np.concatenate(total)[order[new]] if len(order) else n[:0]
     low = np.concatenate([q[5] for q in queries])[order[new]].astype(float) if len(order) else np.zeros(0)
     level = Level.encode(oc[new], os_[new], np.log10((count + mu * 10.0**low) / (t + mu))) if len(order) else Level.encode(n[:0], n[:0], np.zeros(0))
-    trie, out = Level(level), []
+    trie, out, counts = Level(level), [], []
     for q, ctx, tot in zip(queries, context, total, strict=True):
-        code, found = trie.lookup(ctx, q[3])
-        out.append(np.where(found, trie.book[code].astype(float), np.log10(mu / (tot + mu)) + q[5].astype(float)))
-    return level, out
+        place, found = trie.places(ctx, q[3])
+        got = np.full(len(ctx), 0)
+        got[found] = count[place[found]]
+        logp = np.log10(mu / (tot + mu)) + q[5].astype(float)
+        logp[found] = trie.book[trie.codes[place[found]]]
+        out.append(logp)
+        counts.append(got)
+    return level, out, counts
 
 
 class Grams:
@@ -253,11 +263,87 @@ class Grams:
 
     def scored(self, answers: dict[int, bytes]) -> None:
         """Take the shards' answers on the bigrams."""
-        logp = np.zeros(len(self.order))
+        self.logp, self.count = np.zeros(len(self.order)), np.zeros(len(self.order), np.int64)
         for s, o in runs_of(self.to, self.order):
-            (logp[o],) = unpacked(answers[s], 1)
+            self.logp[o], self.count[o] = unpacked(answers[s], 2)
         asked = self.gram >= 0
-        self.p2[asked] = logp[self.gram[asked]]
+        self.p2[asked] = self.logp[self.gram[asked]]
+
+    def third(self, shards: int, mu: float, size: int) -> None:
+        """The distinct trigrams whose two bigrams occur in training; other tokens' scores ``p3`` need no shard."""
+        n = len(self.count)
+        before = np.where(self.first, -1, np.concatenate([[-1], self.gram[:-1]]))
+        total = np.zeros(len(before), np.int64)
+        total[before >= 0] = self.count[before[before >= 0]]
+        self.p3 = np.where(total > 0, np.log10(mu / (total + mu)), 0.0) + self.p2
+        asked = (total > 0) & (self.gram >= 0)
+        asked[asked] = self.count[self.gram[asked]] > 0
+        key, back = np.unique(before[asked] * n + self.gram[asked], return_inverse=True)
+        self.gram3 = np.full(len(before), -1)
+        self.gram3[asked] = back
+        left, right = key // max(n, 1), key % max(n, 1)
+        self.ctx3, self.succ3 = left, self.succ[right]
+        self.train3, self.low3 = self.of_training(self.gram3, len(key)), self.logp[right].astype("<f2")
+        self.to3 = shard_of(self.to[left], self.succ3, self.count[left], shards, size)
+        self.order3 = np.lexsort((self.succ3, self.succ[left], self.ctx[left], self.to3))
+
+    def trigrams(self) -> Iterator[tuple[int, bytes]]:
+        """(shard, its distinct trigrams with their counts), as runs of first words, of second words, and third words."""
+        for s, o in runs_of(self.to3, self.order3):
+            new, runs = starts(self.ctx3[o])
+            pair = self.ctx3[o][new]
+            new1, runs1 = starts(self.ctx[pair])
+            yield s, packed(self.ctx[pair][new1], runs1, self.succ[pair], runs, self.count[pair], self.succ3[o], self.train3[o], self.low3[o])
+
+    def scored3(self, answers: dict[int, bytes]) -> None:
+        """Take the shards' answers on the trigrams."""
+        logp = np.zeros(len(self.order3))
+        for s, o in runs_of(self.to3, self.order3):
+            (logp[o],) = unpacked(answers[s], 1)
+        asked = self.gram3 >= 0
+        self.p3[asked] = logp[self.gram3[asked]]
+
+
+class Trie:
+    """Two levels: first words with their successors and weights of backing off, and, by the place of such a pair, third words."""
+
+    def __init__(self, buffer):
+        view = memoryview(buffer)
+        (n,) = struct.unpack_from("<Q", view)
+        self.pairs, self.thirds = Level(view[8 : 8 + n]), Level(view[8 + n :])
+
+    @staticmethod
+    def encode(u: np.ndarray, v: np.ndarray, w: np.ndarray, weight: np.ndarray, logp: np.ndarray) -> bytes:
+        """From rows sorted by (u, v, w), without repeats."""
+        new, runs = starts(u, v)
+        pairs = Level.encode(u[new], v[new], weight[new])
+        return struct.pack("<Q", len(pairs)) + pairs + Level.encode(np.repeat(np.arange(len(new)), runs), w, logp)
+
+    def lookup(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(code, whether the trigram is there) for each query; queries come in runs of (u, v)."""
+        code, found = np.zeros(len(u), np.uint8), np.zeros(len(u), bool)
+        new, runs = starts(u, v)
+        place, there = self.pairs.places(u[new], v[new])
+        known = np.flatnonzero(np.repeat(there, runs))
+        code[known], found[known] = self.thirds.lookup(np.repeat(place, runs)[known], w[known])
+        return code, found
+
+
+def trigram_scores(queries: list[list[np.ndarray]], mu: float) -> tuple[bytes, list[np.ndarray]]:
+    """The trie of a shard from all batches' (u, runs, v, runs, totals, w, counts, lower), and each batch's log10 probabilities."""
+    spelled = [(np.repeat(np.repeat(q[0], q[1]), q[3]), np.repeat(q[2], q[3]), np.repeat(q[4], q[3]), q[5], q[6], q[7]) for q in queries]
+    u, v, t, w, n, low = (np.concatenate([q[k] for q in spelled]) for k in range(6))
+    seen = np.flatnonzero(n > 0)
+    order = seen[np.lexsort((w[seen], v[seen], u[seen]))]
+    new, _ = starts(u[order], v[order], w[order])
+    count = np.add.reduceat(n[order], new) if len(order) else n[:0]
+    at = order[new]
+    level = Trie.encode(u[at], v[at], w[at], np.log10(mu / (t[at] + mu)), np.log10((count + mu * 10.0 ** low[at].astype(float)) / (t[at] + mu)))
+    trie, out = Trie(level), []
+    for qu, qv, qt, qw, _, ql in spelled:
+        code, found = trie.lookup(qu, qv, qw)
+        out.append(np.where(found, trie.thirds.book[code].astype(float), np.log10(mu / (qt + mu)) + ql.astype(float)))
+    return level, out
 
 
 def starts(*sorted_columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -279,8 +365,8 @@ ANSWERED = "batch long, shard long, blob binary, level binary"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def scores(docs: DataFrame, mu: float = MU, size: int = BATCH, keep_levels: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
-    """One row per document (SCORED). With ``keep_levels`` also the table of the shards' levels."""
+def scores(docs: DataFrame, mu: float = MU, size: int = BATCH, keep_levels: bool = False, order: int = 2) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """One row per document (SCORED), by a model of ``order`` 2 or 3. With ``keep_levels`` also the table of the shards' levels (or tries)."""
     spark = docs.sparkSession
     batches = saved(token_batches(docs, size), "tokens")
     shards = max(1, -(-int(batches.agg(F.sum("tokens")).first()[0] or 0) // size))
@@ -291,23 +377,37 @@ def scores(docs: DataFrame, mu: float = MU, size: int = BATCH, keep_levels: bool
 
     def opened(cols: dict[str, list], k: int) -> tuple[Grams, list[dict[int, bytes]]]:
         """A batch's grams, and the shards' answers to it by round."""
-        rounds = [{p["shard"]: p["blob"] for p in cols["parts"][k] if p["round"] == r} for r in range(2)]
+        rounds = [{p["shard"]: p["blob"] for p in cols["parts"][k] if p["round"] == r} for r in range(3)]
         return Grams(cols["words"][k], cols["body"][k], list(rounds[0].items()), shards, norm, mu, size), rounds
 
-    def ask(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            cols = batch.to_pydict()
-            for k, at in enumerate(cols["batch"]):
-                grams, _ = opened(cols, k)
-                out = list(grams.bigrams())
-                yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int64()), pa.array([at] * len(out), pa.int64()), pa.array([b for _, b in out], pa.binary())], names=["shard", "batch", "blob"])
-
-    def answer(table: pa.Table) -> pa.Table:
-        at, shard = table["batch"].to_pylist(), table["shard"][0].as_py()
-        level, logp = bigram_scores([unpacked(b, 6) for b in table["blob"].to_pylist()], mu)
-        cols = ([*at, None], [shard] * (len(at) + 1), [*(packed(p.astype("<f2")) for p in logp), None], [None] * len(at) + [level if keep_levels else None])
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in ANSWERED.split(", ")])
+    def ask_of(n: int):
+        def ask(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in rows:
+                cols = batch.to_pydict()
+                for k, at in enumerate(cols["batch"]):
+                    grams, rounds = opened(cols, k)
+                    if n == 3:
+                        grams.scored(rounds[1])
+                        grams.third(shards, mu, size)
+                    out = list(grams.bigrams() if n == 2 else grams.trigrams())
+                    yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int64()), pa.array([at] * len(out), pa.int64()), pa.array([b for _, b in out], pa.binary())], names=["shard", "batch", "blob"])
+
+        return ask
+
+    def answer_of(n: int):
+        def answer(table: pa.Table) -> pa.Table:
+            at, shard, blobs = table["batch"].to_pylist(), table["shard"][0].as_py(), table["blob"].to_pylist()
+            if n == 3:
+                level, logp = trigram_scores([unpacked(b, 8) for b in blobs], mu)
+                out = [packed(p.astype("<f2")) for p in logp]
+            else:
+                level, logp, counts = bigram_scores([unpacked(b, 6) for b in blobs], mu)
+                out = [packed(p.astype("<f2"), c) for p, c in zip(logp, counts, strict=True)]
+            cols = ([*at, None], [shard] * (len(at) + 1), [*out, None], [None] * len(at) + [level if keep_levels and n == order else None])
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in ANSWERED.split(", ")])
+
+        return answer
 
     def finish(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in SCORED.split(", ")]
@@ -317,7 +417,10 @@ def scores(docs: DataFrame, mu: float = MU, size: int = BATCH, keep_levels: bool
                 grams, rounds = opened(cols, k)
                 grams.scored(rounds[1])
                 base = grams.per_document(grams.p1)
-                score = grams.per_document(grams.p2) if n_train else base
+                if order == 3:
+                    grams.third(shards, mu, size)
+                    grams.scored3(rounds[2])
+                score = grams.per_document(grams.p3 if order == 3 else grams.p2) if n_train else base
                 known = grams.per_document(grams.known).astype(np.int64)
                 out = [pa.array(ids, pa.int64()), pa.array(grams.held.astype(bool)), pa.array(grams.sizes), pa.array(known), pa.array([n_train] * len(ids), pa.int64()), pa.array(base), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(out, names=names)
@@ -328,10 +431,14 @@ def scores(docs: DataFrame, mu: float = MU, size: int = BATCH, keep_levels: bool
         answers = reduce(DataFrame.unionAll, parts).groupBy("of").agg(F.collect_list("part").alias("parts"))
         return batches.join(answers, F.col("batch") == F.col("of")).select(*columns, "parts")
 
-    asked = with_parts(["batch", "words", "body"], counted).mapInArrow(ask, "shard long, batch long, blob binary")
-    answered = saved(asked.groupBy("shard").applyInArrow(answer, ANSWERED), "bigrams")
-    result = saved(with_parts(["doc_ids", "words", "body"], counted, answered).mapInArrow(finish, SCORED), "scores")
+    rounds = [counted]
+    for n in range(2, order + 1):
+        asked = with_parts(["batch", "words", "body"], *rounds).mapInArrow(ask_of(n), "shard long, batch long, blob binary")
+        rounds.append(saved(asked.groupBy("shard").applyInArrow(answer_of(n), ANSWERED), f"grams{n}"))
+        del asked
+        spark._jvm.System.gc()  # lets Spark delete the round's shuffle files
+    result = saved(with_parts(["doc_ids", "words", "body"], *rounds).mapInArrow(finish, SCORED), "scores")
     small_batches(spark)
     for table in (batches, counted):
         dropped(table)
-    return (result, answered.filter("level is not null").select("level")) if keep_levels else result
+    return (result, rounds[-1].filter("level is not null").select("level")) if keep_levels else result

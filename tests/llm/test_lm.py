@@ -126,3 +126,63 @@ def test_a_hot_bigram_costs_one_entry_per_batch():
     few, many = ([lm.unpacked(b, 6) for _, b in grams(["x y " * n, "y z"]).bigrams()] for n in (50, 50_000))
     assert [[len(a) for a in q] for q in few] == [[len(a) for a in q] for q in many]
     assert max(int(q[4].max()) for q in many) == 50_000 and sum(len(q[3]) for q in many) == 7
+
+
+def plain_trigram_scores(data, mu=lm.MU):
+    texts = [[*re.findall(rb"[^\x20\x09-\x0D]+", (r[1] or "").encode().lower()), None] for r in data]
+    held = [r[0] is not None and zlib.crc32(str(r[0]).encode()) % 10 == 0 for r in data]
+    uni, bi, tri = Counter(), Counter(), Counter()
+    for words, h in zip(texts, held, strict=True):
+        if not h:
+            uni.update(words)
+            bi.update(zip([0, *words], words, strict=False))
+            tri.update(zip([0, *words], words, words[1:], strict=False))
+    n, v, starts = sum(uni.values()), len(uni), held.count(False)
+    out = []
+    for r, words in zip(data, texts, strict=True):
+        score = 0.0
+        for k, w in enumerate(words):
+            p = (uni[w] + 0.1) / (n + 0.1 * (v + 1))
+            prev = words[k - 1] if k else 0
+            total = uni[prev] if k else starts
+            p = (bi[prev, w] + mu * p) / (total + mu) if total else p
+            if k:
+                pair = (words[k - 2] if k > 1 else 0, prev)
+                p = (tri[(*pair, w)] + mu * p) / (bi[pair] + mu) if bi[pair] else p
+            score += math.log10(p)
+        out.append((r[0], len(words), score))
+    return out
+
+
+@pytest.mark.parametrize("size", [300, lm.BATCH])
+def test_trigram_scores_against_brute_force(spark, size):
+    data = rows()
+    got, tries = lm.scores(frame(spark, data, clashes=True), size=size, keep_levels=True, order=3)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got = sorted(((r["doc_id"], r["n_tokens"], r["score"]) for r in got.collect()), key=key)
+    want = sorted(plain_trigram_scores(data), key=key)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    for g, w in zip(got, want, strict=True):
+        assert g[2] == pytest.approx(w[2], abs=0.03 * w[1])
+    assert sum(lm.Trie(bytes(r["level"])).thirds.successors.n for r in tries.collect()) > 1000
+
+
+def test_the_query_sees_two_words_of_context(spark, tmp_path):
+    """Which word follows 'k' depends on the word before it: one word of context gives each half, two give nearly all."""
+    data = [(i, ("a k x " if i % 2 else "b k y ") * 40, "en", "s") for i in range(200)]
+    frame(spark, data).write.parquet(str(tmp_path / "documents.parquet"))
+    from sparkbook.llm.catalog import QUERIES
+
+    for r in QUERIES["op3_lm_scoring"](spark, str(tmp_path)).collect():
+        assert r["score"] > -3  # start, end and 39 repeats cost 2.35; each half of 'k' would cost another 12
+
+
+def test_trie_paths():
+    rng = np.random.default_rng(5)
+    t = np.unique(rng.integers(0, 30, (4000, 3)), axis=0)
+    trie = lm.Trie(lm.Trie.encode(*t.T, np.full(len(t), -0.5), -8 * rng.random(len(t))))
+    assert trie.lookup(*t.T)[1].all()
+    present = set(map(tuple, t.tolist()))
+    for step in ((0, 0, 1), (0, 1, 0), (1, 0, 0), (500, 0, 0)):
+        asked = t + np.array(step)
+        assert trie.lookup(*asked.T)[1].tolist() == [tuple(r) in present for r in asked.tolist()]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkbook.llm import exact_dedup, langid, line_dedup, lm, mixing, ordinal, packing, pii, quality_rules, simhash
+from sparkbook.llm import exact_dedup, filter_audit, langid, line_dedup, lm, merkle, mixing, ordinal, packing, pii, quality_rules, simhash
 from sparkbook.llm.common import documents
 
 
@@ -65,5 +65,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_pii, op3_lm_scoring, op4_mixing, op5_simhash, op6_quality_rules, op7_quality_classifier, op8_exact_dedup, op9_line_dedup, op10_language_id)}
-SQL = {"op4_mixing": mixing.SQL, "op6_quality_rules": quality_rules.SQL, "op8_exact_dedup": exact_dedup.SQL, "op9_line_dedup": line_dedup.SQL}
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes at each step of every order, per source."""
+    return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and verdict of every document in the table's Merkle tree."""
+    return merkle.manifest_report(documents(spark, sf_dir))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_packing, op2_pii, op3_lm_scoring, op4_mixing, op5_simhash, op6_quality_rules, op7_quality_classifier,
+        op8_exact_dedup, op9_line_dedup, op10_language_id, op12_filter_audit, op13_merkle_manifest,
+    )
+}
+SQL = {
+    "op4_mixing": mixing.SQL, "op6_quality_rules": quality_rules.SQL, "op8_exact_dedup": exact_dedup.SQL, "op9_line_dedup": line_dedup.SQL,
+    "op12_filter_audit": filter_audit.SQL, "op13_merkle_manifest": merkle.SQL,
+}

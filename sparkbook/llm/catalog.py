@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkbook.llm import exact_dedup, filter_audit, langid, line_dedup, lm, merkle, mixing, ordinal, packing, pii, quality_rules, simhash
+from sparkbook.llm import exact_dedup, filter_audit, langid, line_dedup, lm, merkle, mixing, ordinal, packing, pii, quality_rules, simhash, substring_dedup
 from sparkbook.llm.common import documents
 
 
@@ -65,6 +65,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 13-word passages of documents with a smaller doc_id."""
+    return substring_dedup.substring_report(documents(spark, sf_dir))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes at each step of every order, per source."""
     return filter_audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -79,10 +84,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_pii, op3_lm_scoring, op4_mixing, op5_simhash, op6_quality_rules, op7_quality_classifier,
-        op8_exact_dedup, op9_line_dedup, op10_language_id, op12_filter_audit, op13_merkle_manifest,
+        op8_exact_dedup, op9_line_dedup, op10_language_id, op11_substring_dedup, op12_filter_audit, op13_merkle_manifest,
     )
 }
 SQL = {
     "op4_mixing": mixing.SQL, "op6_quality_rules": quality_rules.SQL, "op8_exact_dedup": exact_dedup.SQL, "op9_line_dedup": line_dedup.SQL,
-    "op12_filter_audit": filter_audit.SQL, "op13_merkle_manifest": merkle.SQL,
+    "op11_substring_dedup": substring_dedup.SQL, "op12_filter_audit": filter_audit.SQL, "op13_merkle_manifest": merkle.SQL,
 }

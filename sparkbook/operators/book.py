@@ -10,7 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkbook.operators.joins import asof_join
+from sparkbook.operators.joins import asof_join, asof_points
 
 
 def fx_rate(
@@ -33,7 +33,7 @@ def fx_rate(
     """
     cd = days.select(F.col(currency_col).alias("currency"), F.col(day_col).alias("__day")).distinct()
     r = rates.select("currency", "rate_date", "units_per_eur")
-    out = asof_join(cd, r, ["currency"], "__day", "rate_date", ["units_per_eur"]).drop("rate_date")
+    out = asof_points(cd, r, ["currency"], "__day", "rate_date", ["units_per_eur"])
     if before_start == "first":
         first = r.groupBy("currency").agg(F.min_by("units_per_eur", "rate_date").alias("__first"))
         out = out.join(first, "currency", "left").withColumn(

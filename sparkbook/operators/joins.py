@@ -8,12 +8,27 @@ otherwise, and splits skewed partitions. Building a join runs no job.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Versions that touch more months than this are kept once per key, not once per month.
+LONG_MONTHS = 3
+
+
+def month_of(c: Column) -> Column:
+    """Months since year 0, so that neighbouring months are neighbouring numbers."""
+    return F.year(c) * 12 + F.month(c)
+
+
+def _all_equal(left: DataFrame, pairs: dict[str, str]) -> Column:
+    return reduce(and_, [left[a] == F.col(b) for a, b in pairs.items()])
+
+
 def resolve_version(
     facts: DataFrame,
     versions: DataFrame,
@@ -27,25 +42,37 @@ def resolve_version(
     """Point-in-time join: attach the version whose [valid_from, valid_to]
     (inclusive) holds the fact's date, matching on the equi ``keys``.
 
-    Planned as an equi-join on the keys with the date range as a residual
-    predicate: a broadcast join when the version table measures small, else a
-    sort-merge join whose skewed partitions adaptive execution splits.
-    A null fact key never matches and keeps nulls. Resolving on fewer keys
-    than the version grain can fan out; ``count_versions`` checks that.
+    Versions are cut at month borders and facts carry their month, so both are
+    joined on (key, month) by equality: a key with any number of versions and
+    facts is spread over its months, and a fact meets only the versions that
+    touch its own month (32 at most where the key's versions do not overlap).
+    Versions of more than ``LONG_MONTHS`` months, such as an open-ended base
+    version, are kept once per key; without overlaps a key has at most six a year.
+
+    A null fact key or date never matches (``left`` keeps the fact with nulls,
+    ``inner`` drops it); versions with a null key or bound match nothing.
+    Overlapping versions, or fewer keys than the version grain, fan out to one
+    row per match; ``count_versions`` checks that.
     """
-    v = versions.select(
-        *[F.col(k).alias(f"__v_{k}") for k in keys],
-        F.col(valid_from).alias("__v_from"),
-        F.col(valid_to).alias("__v_to"),
-        *[F.col(c) for c in take],
-    )
-    cond = None
-    for k in keys:
-        c = facts[k] == v[f"__v_{k}"]
-        cond = c if cond is None else cond & c
-    cond = cond & (facts[date_col] >= v["__v_from"]) & (facts[date_col] <= v["__v_to"])
-    out = facts.join(v, cond, how)
-    return out.drop(*[f"__v_{k}" for k in keys], "__v_from", "__v_to")
+    names = {k: f"__v_{k}" for k in keys}
+    body = F.struct(F.col(valid_from).alias("__from"), F.col(valid_to).alias("__to"), *[F.col(c) for c in take]).alias("__v")
+    v = versions.filter(F.col(valid_from) <= F.col(valid_to)).select(
+        *[F.col(k).alias(n) for k, n in names.items()], body, month_of(F.col(valid_from)).alias("__first"), month_of(F.col(valid_to)).alias("__last"))
+    spans = F.col("__last") - F.col("__first") >= F.lit(LONG_MONTHS)
+    monthly = v.filter(~spans).withColumn("__v_month", F.explode(F.sequence("__first", "__last")))
+    monthly = monthly.groupBy(*names.values(), "__v_month").agg(F.collect_list("__v").alias("__monthly"))
+    long = v.filter(spans).groupBy(*names.values()).agg(F.collect_list("__v").alias("__long"))
+
+    def holding(array: str) -> Column:
+        mine = F.filter(array, lambda x: (x["__from"] <= F.col(date_col)) & (F.col(date_col) <= x["__to"]))
+        return F.coalesce(mine, F.array().cast(monthly.schema["__monthly"].dataType))
+
+    # What matches in the month is picked before the second join, so the arrays themselves move once.
+    f = facts.withColumn("__month", month_of(F.col(date_col)))
+    j = f.join(monthly, _all_equal(f, names) & (F.col("__month") == F.col("__v_month")), "left").select(*f.columns, holding("__monthly").alias("__found"))
+    j = j.join(long, _all_equal(j, names), "left").select(*facts.columns, F.concat("__found", holding("__long")).alias("__found"))
+    each = F.explode_outer("__found") if how == "left" else F.explode("__found")
+    return j.withColumn("__v", each).select(*facts.columns, *[F.col(f"__v.`{c}`").alias(c) for c in take])
 
 
 def count_versions(
@@ -67,19 +94,54 @@ def count_versions(
     return joined.groupBy(*keys, date_col).agg(F.count(count_col).alias("version_rows"))
 
 
-def interval_table(
-    series: DataFrame,
-    by: Sequence[str],
-    on: str,
+def _period(c: Column, kind: str, period: str | Callable[[Column], Column] | None) -> Column:
+    if callable(period):
+        return period(c)
+    return F.date_trunc(period, c) if period and kind.startswith(("date", "timestamp")) else F.lit(0)
+
+
+def asof_points(
+    points: DataFrame,
+    right: DataFrame,
+    by: Sequence[str] | dict[str, str],
+    left_on: str,
+    right_on: str,
     value_cols: Sequence[str],
-    end_col: str = "__next",
+    period: str | Callable[[Column], Column] | None = "month",
 ) -> DataFrame:
-    """Turn a sparse point series into half-open validity intervals
-    [on, next on) per ``by`` group. One row per input row, no blow-up; the
-    window partition of a group is bounded by the number of distinct points.
+    """``points`` (distinct (by, left_on), nothing else) with the values of the
+    latest right row of the same key on or before each point; nulls when none.
+
+    Points and right rows are one tagged set of rows, sorted by time: a point
+    takes the last right row before it. That scan runs in two levels, so a hot
+    key is split by ``period``. Inside a (key, period) the rows are scanned; what
+    a period starts with is the last right row of the key's earlier periods,
+    carried over one row per (key, period). No row is matched with another, so
+    the work is linear in both sides.
+
+    ``period``: a date_trunc unit for dates and timestamps, or a function from
+    the time column to any ordered value that never falls as time rises. The
+    right side has one row per (by, right_on); its rows with a null key or
+    time, and points with one, match nothing.
     """
-    w = Window.partitionBy(*by).orderBy(on)
-    return series.select(*by, on, *value_cols, F.lead(on).over(w).alias(end_col))
+    by_map = dict(by) if isinstance(by, dict) else {k: k for k in by}
+    keys = [f"__k_{k}" for k in by_map]
+    kind = dict(points.dtypes)[left_on]
+    mine = points.select(*[F.col(k).alias(f"__k_{k}") for k in by_map], F.col(left_on).alias("__t"))
+    known = right.select(*[F.col(r).alias(f"__k_{k}") for k, r in by_map.items()], F.col(right_on).cast(kind).alias("__t"), F.struct(*value_cols).alias("__v"))
+    known = known.dropna(subset=[*keys, "__t"])
+    # A null struct tags the points; right rows of the same time sort before them.
+    both = mine.withColumn("__v", F.lit(None).cast(known.schema["__v"].dataType)).unionByName(known)
+    both = both.withColumn("__p", _period(F.col("__t"), kind, period))
+    is_point = F.col("__v").isNull()
+    ends = both.groupBy(*keys, "__p").agg(F.max_by("__v", F.when(~is_point, F.col("__t"))).alias("__end"))
+    earlier = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*[F.col(k).alias(f"__c{k}") for k in keys], F.col("__p").alias("__cp"), F.last("__end", ignorenulls=True).over(earlier).alias("__carry"))
+    inside = Window.partitionBy(*keys, "__p").orderBy("__t", is_point).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = both.withColumn("__in", F.last("__v", ignorenulls=True).over(inside)).filter(is_point)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__c{k}")) for k in keys], F.col("__p").eqNullSafe(F.col("__cp")))
+    found = scanned.join(carried, same, "left").withColumn("__v", F.coalesce("__in", "__carry"))
+    return found.select(*[F.col(f"__k_{k}").alias(k) for k in by_map], F.col("__t").alias(left_on), *[F.col(f"__v.`{c}`").alias(c) for c in value_cols])
 
 
 def asof_join(
@@ -89,30 +151,22 @@ def asof_join(
     left_on: str,
     right_on: str,
     value_cols: Sequence[str],
+    period: str | Callable[[Column], Column] | None = "month",
 ) -> DataFrame:
-    """Left as-of join: for each left row, the right row of the same ``by``
-    group with the greatest ``right_on`` <= ``left_on``; nulls when none.
+    """Left as-of join: each left row with the values of the right row of the
+    same ``by`` group with the greatest ``right_on`` <= ``left_on``; nulls when none.
 
-    Plan: the right side becomes intervals [point, next point) with one
-    window (bounded per group), then an equi-join on ``by`` with the interval
-    as residual predicate. The right side is assumed to have one row per
-    (by, right_on); duplicates should be resolved by the caller first.
+    The distinct (by, left_on) of the left side are resolved by ``asof_points``
+    and joined back by equality, so left rows that share a key and a time
+    are resolved once, and the join back is one that adaptive execution can
+    split. A null key or time keeps its row with nulls.
     """
     by_map = dict(by) if isinstance(by, dict) else {k: k for k in by}
-    r = interval_table(right, list(by_map.values()), right_on, value_cols)
-    r = r.select(
-        *[F.col(rk).alias(f"__r_{rk}") for rk in by_map.values()],
-        F.col(right_on).alias("__r_from"),
-        F.col("__next").alias("__r_to"),
-        *value_cols,
-    )
-    cond = None
-    for lk, rk in by_map.items():
-        c = left[lk] == r[f"__r_{rk}"]
-        cond = c if cond is None else cond & c
-    cond = cond & (left[left_on] >= r["__r_from"]) & (r["__r_to"].isNull() | (left[left_on] < r["__r_to"]))
-    out = left.join(r, cond, "left")
-    return out.drop(*[f"__r_{rk}" for rk in by_map.values()], "__r_from", "__r_to")
+    points = left.select(*by_map, left_on).dropna().distinct()
+    found = asof_points(points, right, by_map, left_on, right_on, value_cols, period)
+    found = found.select(*[F.col(c).alias(f"__r_{c}") for c in (*by_map, left_on)], F.struct(*value_cols).alias("__v"))
+    out = left.join(found, _all_equal(left, {c: f"__r_{c}" for c in (*by_map, left_on)}), "left")
+    return out.select(*[left[c] for c in left.columns], *[F.col(f"__v.`{c}`").alias(c) for c in value_cols])
 
 
 def missing_parents(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkbook.functions import finance as FN
 from sparkbook.operators import book as B
-from sparkbook.operators.joins import asof_join
+from sparkbook.operators.joins import asof_points
 from sparkbook.plans import standins as S
 from sparkbook.plans.oracle_sql import with_ctes
 from sparkbook.plans.registry import register
@@ -164,7 +164,7 @@ def accrued(spark, d, t):
     """``t`` (isin, trade_date, quantity, ...) with last_coupon_date and accrued since then; looked up per (isin, day)."""
     days = t.select("isin", "trade_date").distinct()
     s = schedule(spark, d).withColumn("__pd", F.col("pay_date"))
-    last = asof_join(days, s, ["isin"], "trade_date", "__pd", ["pay_date"]).withColumnRenamed("pay_date", "last_coupon_date")
+    last = asof_points(days, s, ["isin"], "trade_date", "__pd", ["pay_date"]).withColumnRenamed("pay_date", "last_coupon_date")
     acc = FN.accrued_interest(F.col("quantity").cast("double") * 100, F.lit(2.5) + brand_no() % 5, F.col("last_coupon_date"), F.col("trade_date"))
     return t.join(last.select("isin", "trade_date", "last_coupon_date"), ["isin", "trade_date"], "left").withColumn("accrued", acc)
 

@@ -1,11 +1,9 @@
-"""Book arithmetic over tables: FX resolution and conversion, cash ledger,
-running balances, payment schedules and income, fees, portfolio value."""
+"""Book arithmetic over tables: FX resolution and conversion, payment schedules
+and income, fees, portfolio value. Running balances are ``scan.prefix_sum``."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -66,31 +64,6 @@ def sell_cost(buy_amount: Column, buy_rate: Column, sell_rate: Column, margin_bp
     return F.round(buy_amount / mid * (1 + margin_bp / 10000), 2)
 
 
-def running_sum(
-    df: DataFrame,
-    keys: Sequence[str],
-    chunk: str,
-    within: Sequence[str],
-    value: str,
-    out: str = "running",
-) -> DataFrame:
-    """Running total per ``keys`` in order (chunk, *within), computed in two
-    levels so no task holds a whole key: totals per (keys, chunk) are
-    accumulated over chunks (window bounded by the number of chunks), and
-    rows are accumulated inside their (keys, chunk) partition. Null keys and
-    chunks are groups of their own (a null chunk comes first).
-    """
-    keys = list(keys)
-    totals = df.groupBy(*keys, chunk).agg(F.sum(value).alias("__t"))
-    wk = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    group = [*keys, chunk]
-    opening = totals.select(*[F.col(c).alias(f"__{c}") for c in group], F.coalesce(F.sum("__t").over(wk), F.lit(0)).alias("__open"))
-    wc = Window.partitionBy(*keys, chunk).orderBy(*within).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inner = df.withColumn("__in", F.sum(value).over(wc))
-    j = inner.join(opening, reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in group]), "inner")
-    return j.withColumn(out, F.col("__open") + F.coalesce("__in", F.lit(0))).drop("__open", "__in", *[f"__{c}" for c in group])
-
-
 def payment_schedule(instruments: DataFrame, key: str, per_year: str, anchor_month: str, anchor_day: str,
                      first_year: int | Column, last_year: int | Column) -> DataFrame:
     """Payment dates (key, pay_date): ``per_year`` evenly spaced months counted

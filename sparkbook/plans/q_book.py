@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from sparkbook.functions import finance as FN
 from sparkbook.operators import book as B
 from sparkbook.operators.joins import asof_points
+from sparkbook.operators.scan import prefix_sum
 from sparkbook.plans import standins as S
 from sparkbook.plans.oracle_sql import with_ctes
 from sparkbook.plans.registry import register
+from sparkbook.session import materialise
 
 BRAND_NO = "cast(substr(isin, 7, 10) as int)"
 
@@ -161,8 +163,13 @@ def schedule(spark, d):
 
 
 def accrued(spark, d, t):
-    """``t`` (isin, trade_date, quantity, ...) with last_coupon_date and accrued since then; looked up per (isin, day)."""
-    days = t.select("isin", "trade_date").distinct()
+    """``t`` (isin, trade_date, quantity, ...) with last_coupon_date and accrued since then; looked up per (isin, day).
+
+    The days come from the line items and their part alone, not from the joins that make ``t``.
+    """
+    p = S.table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("isin"))
+    li = S.table(spark, d, "lineitem").filter(F.col("l_linestatus") == "F").select("l_partkey", F.col("l_shipdate").cast("date").alias("trade_date"))
+    days = li.join(p, F.col("l_partkey") == F.col("p_partkey")).select("isin", "trade_date").distinct()
     s = schedule(spark, d).withColumn("__pd", F.col("pay_date"))
     last = asof_points(days, s, ["isin"], "trade_date", "__pd", ["pay_date"]).withColumnRenamed("pay_date", "last_coupon_date")
     acc = FN.accrued_interest(F.col("quantity").cast("double") * 100, F.lit(2.5) + brand_no() % 5, F.col("last_coupon_date"), F.col("trade_date"))
@@ -238,7 +245,9 @@ STEP_ORDER = ["kind", "step_id", "leg", "amount"]
 
 
 def balances(spark, d):
-    return B.running_sum(cash_steps(spark, d), LEDGER_KEYS, "step_date", STEP_ORDER, "amount", "balance")
+    """Every step with its balance. The steps are written first: they are dealt into ranges, which reads them twice."""
+    steps = materialise(cash_steps(spark, d), "cash-steps")
+    return prefix_sum(steps, LEDGER_KEYS, ["step_date", *STEP_ORDER], "amount", "balance")
 
 
 @register("q_cash_steps", ledger_sql(

@@ -45,13 +45,6 @@ def test_payment_months_wrap_inside_the_year(spark):
     assert got == [*year(2023, 28), *year(2024, 29), ("B", D(2023, 2, 28)), ("B", D(2024, 2, 29))]
 
 
-def test_running_sum_keeps_null_accounts_and_days(spark):
-    rows = [("a", D(2024, 1, 1), 1, 5), ("a", None, 2, 7), (None, D(2024, 1, 1), 3, 11), (None, D(2024, 1, 2), 4, 1), ("a", D(2024, 1, 1), 5, 2), ("a", D(2024, 1, 2), 6, None)]
-    df = spark.createDataFrame(rows, "k string, d date, i int, v long")
-    got = {r.i: r.run for r in B.running_sum(df, ["k"], "d", ["i"], "v", "run").collect()}
-    assert got == {1: 12, 2: 7, 3: 11, 4: 12, 5: 14, 6: 14}
-
-
 def test_fx_pegs_and_first_rate(spark):
     days = spark.createDataFrame([(0, D(2024, 1, 1)), (1, D(2023, 1, 1)), (1, D(2024, 5, 1)), (2, D(2024, 1, 1)), (3, D(2024, 1, 1))], "currency long, trade_date date")
     rates = spark.createDataFrame([(1, D(2024, 1, 1), 1.1), (1, D(2024, 4, 1), 1.2)], "currency long, rate_date date, units_per_eur double")

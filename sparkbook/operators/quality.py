@@ -1,7 +1,7 @@
 """Declarative data-quality layer: every rule is a DataFrame of violating
 rows, so a rule is just another lazy plan that Catalyst prunes and pushes
-down; ``run_checks`` evaluates them into one report without collecting any
-violation set (only counts and a bounded sample reach the driver).
+down; ``run_checks`` turns them into one report that holds counts and a bounded
+sample, never a violation set.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkbook.operators.joins import missing_parents
+from sparkbook.operators.sets import union_all
 
 BLANKS = ("", "N/A")
 
@@ -93,23 +94,21 @@ def is_blank(c: str | Column) -> Column:
     return col.isNull() | col.isin(*BLANKS)
 
 
-def run_checks(checks: Sequence[Check], sample: int = 3) -> DataFrame:
-    """Report (check, severity, violations, status, sample) for every check.
+def run_checks(checks: Sequence[Check]) -> DataFrame:
+    """Report (check, severity, violations, status, sample) for every check, as one lazy plan.
 
-    Each check is counted in its own distributed job; only the count and a
-    ``sample``-row preview (a fixed, small limit) return to the driver.
+    Each check is one aggregate (its count and two of its rows as JSON); the
+    aggregates are united, so the whole report is one job. Rules on the rows
+    and keys of tables are cheaper in ``rules.report``, which fuses them first.
     """
-    rows = []
-    spark = None
-    for c in checks:
-        spark = c.violations.sparkSession
-        n = c.violations.count()
-        preview = [str(r.asDict()) for r in c.violations.limit(sample).collect()] if n else []
-        if c.severity == "warn":
-            status = "warn" if n >= c.warn_if else "pass"
-        else:
-            status = "fail" if n >= c.error_if else ("warn" if n >= c.warn_if else "pass")
-        rows.append((c.name, c.severity, n, status, preview))
-    if spark is None:
+    if not checks:
         raise ValueError("no checks given")
-    return spark.createDataFrame(rows, "check string, severity string, violations long, status string, sample array<string>")
+    parts, meta = [], []
+    for i, c in enumerate(checks):
+        shown = F.to_json(F.struct(*[F.col(f"`{x}`") for x in c.violations.columns]))
+        parts.append(c.violations.agg(F.count(F.lit(1)).alias("violations"), F.array_distinct(F.array_compact(F.array(F.min(shown), F.max(shown)))).alias("sample")).withColumn("__i", F.lit(i)))
+        meta.append((i, c.name, c.severity, c.warn_if, c.error_if))
+    named = checks[0].violations.sparkSession.createDataFrame(meta, "i int, check string, severity string, warn_if long, error_if long")
+    n = F.col("violations")
+    status = F.when((F.col("severity") != "warn") & (n >= F.col("error_if")), "fail").when(n >= F.col("warn_if"), "warn").otherwise("pass")
+    return named.join(union_all(*parts), F.col("i") == F.col("__i")).select("check", "severity", "violations", status.alias("status"), "sample")

@@ -62,3 +62,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_root(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a frame that ``materialise`` returned; anything else is left alone."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    ours = path(f"{checkpoint_root(spark)}/tables").toUri().getPath()
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        at = path(folder)
+        if at.getParent().toUri().getPath() == ours:
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

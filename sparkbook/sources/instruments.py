@@ -11,12 +11,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkbook.functions.text import PATTERNS
-from sparkbook.sources.registers import DELTA_TYPES, delta_type, read_xml
+from sparkbook.sources.registers import DELTA_TYPES, delta_type
+from sparkbook.sources.xml_records import header_values, read_records
 
 # Column -> element path below the record, in published order.
 COLUMNS = {
@@ -83,10 +84,6 @@ def _schema(paths: Sequence[str]) -> T.StructType:
 RECORD = _schema([*COLUMNS.values(), *DELTA_COLUMNS.values()])
 
 
-def _file() -> Column:
-    return F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+)$", 1)
-
-
 def _published(file_col: str, pattern: str, at: int) -> Column:
     """Publication date (yyyy-MM-dd) from the file name; a name of another form fails the job."""
     name = F.col(file_col)
@@ -94,17 +91,10 @@ def _published(file_col: str, pattern: str, at: int) -> Column:
     return F.when(name.rlike(pattern), date).otherwise(F.raise_error(F.concat(F.lit("unexpected file name: "), name)))
 
 
-def _numbered(df: DataFrame) -> DataFrame:
-    """record_sequence: position in the file, from 1."""
-    own = Window.partitionBy("source_file").orderBy("__order")
-    return df.withColumn("record_sequence", F.row_number().over(own).cast("int")).drop("__order")
-
-
 def read_full(spark: SparkSession, paths) -> DataFrame:
     """A full file's records with ``record`` (the struct read), lineage and the category that the file name carries."""
-    df = read_xml(spark, paths, "RefData", RECORD)
-    raw = df.select(F.struct(*[F.col(c) for c in RECORD.names]).alias("record"), _file().alias("source_file"), F.monotonically_increasing_id().alias("__order"))
-    out = _numbered(raw).select(
+    raw = read_records(spark, paths, "RefData", RECORD)
+    out = raw.select(
         *[F.col(f"record.{p}").alias(c) for c, p in COLUMNS.items()], F.regexp_extract("source_file", FULL_NAME, 1).alias("cfi_category"),
         "source_file", _published("source_file", FULL_NAME, 2).alias("publication_date"), "record_sequence", "record")
     return out.withColumn("ingested_at", F.current_timestamp())
@@ -112,8 +102,7 @@ def read_full(spark: SparkSession, paths) -> DataFrame:
 
 def header_dates(spark: SparkSession, paths) -> DataFrame:
     """(source_file, reporting_date): the reporting period that each file's header states."""
-    head = read_xml(spark, paths, "RptgPrd", T.StructType([T.StructField("Dt", T.StringType())]))
-    return head.select(_file().alias("source_file"), F.col("Dt").alias("reporting_date"))
+    return header_values(spark, paths, "FinInstrm", "RptgPrd", "Dt").withColumnRenamed("value", "reporting_date")
 
 
 def read_deltas(spark: SparkSession, paths) -> DataFrame:
@@ -121,11 +110,10 @@ def read_deltas(spark: SparkSession, paths) -> DataFrame:
     record without exactly one known change element fails the job. The category
     is the first letter of the record's own classification."""
     kinds = T.StructType([T.StructField(k, RECORD) for k in DELTA_TYPES])
-    df = read_xml(spark, paths, "FinInstrm", kinds)
-    raw = df.select(F.struct(*[F.col(k) for k in DELTA_TYPES]).alias("r"), _file().alias("source_file"), F.monotonically_increasing_id().alias("__order"))
+    raw = read_records(spark, paths, "FinInstrm", kinds).withColumnRenamed("record", "r")
     raw = raw.withColumn("record_type", delta_type("r")).withColumn("record", F.coalesce(*[F.col(f"r.{k}") for k in DELTA_TYPES]))
-    header = header_dates(spark, paths).groupBy("source_file").agg(F.min("reporting_date").alias("reporting_date"), F.count_distinct("reporting_date").alias("reporting_dates"))
-    x = _numbered(raw).join(header, "source_file", "left")
+    header = header_dates(spark, paths).groupBy(F.col("source_file").alias("__file")).agg(F.min("reporting_date").alias("reporting_date"), F.count_distinct("reporting_date").alias("reporting_dates"))
+    x = raw.join(header, F.col("source_file") == F.col("__file"), "left")
     return x.select(
         *[F.col(f"record.{p}").alias(c) for c, p in {**COLUMNS, **DELTA_COLUMNS}.items()], "record_type", "reporting_date", "reporting_dates", "record_sequence",
         F.substring("record.FinInstrmGnlAttrbts.ClssfctnTp", 1, 1).alias("cfi_category"), "source_file",

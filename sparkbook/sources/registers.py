@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkbook.functions.text import is_blank
+from sparkbook.sources.xml_records import read_records
 
 # Delta record types = the name of the record's single child.
 DELTA_TYPES = {"NewRcrd": "NEW", "ModfdRcrd": "MODFD", "TermntdRcrd": "TERMNTD", "CancRcrd": "CANC"}
@@ -51,14 +52,8 @@ def read_xml(spark: SparkSession, paths: str | Sequence[str], row_tag: str, sche
 def read_register(spark: SparkSession, paths, row_tag: str, schema: T.StructType, mapping: dict[str, str]) -> DataFrame:
     """One row per record with path-mapped string columns (``mapping`` is
     target -> dotted struct path) plus the file name and document order."""
-    df = read_xml(spark, paths, row_tag, schema)
-    out = df.select(
-        *[F.col(path).cast("string").alias(target) for target, path in mapping.items()],
-        F.regexp_extract(F.col("_metadata.file_name"), r"([^/]+)$", 1).alias("source_file"),
-        F.monotonically_increasing_id().alias("__order"),
-    )
-    w = Window.partitionBy("source_file").orderBy("__order")
-    return out.withColumn("record_sequence", F.row_number().over(w).cast("int")).drop("__order")
+    raw = read_records(spark, paths, row_tag, schema)
+    return raw.select(*[F.col(f"record.{path}").cast("string").alias(target) for target, path in mapping.items()], "source_file", "record_sequence")
 
 
 def delta_type(record: str = "r") -> Column:

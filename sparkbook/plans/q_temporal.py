@@ -3,6 +3,8 @@ point-in-time and as-of resolution, reconciliation."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sparkbook.operators import temporal as T
@@ -14,6 +16,8 @@ from sparkbook.plans import standins as S
 from sparkbook.plans.oracle_sql import with_ctes
 from sparkbook.plans.q_positions import BOOK_KEYS, book_sql
 from sparkbook.plans.registry import register
+from sparkbook.session import checkpoint_root, discard, materialise
+from sparkbook.sources.register_store import RegisterStore
 
 REG_KEYS = ["isin", "trading_venue_mic"]
 
@@ -33,6 +37,19 @@ def q_scd2(spark, d):
     return register_versions(spark, d)
 
 
+@register("q_scd2_upkeep", with_ctes("select * from register_versions", "register_versions"))
+def q_scd2_upkeep(spark, d):
+    """M1: the register kept in buckets, its deltas delivered year by year; equal to the full replay."""
+    store = RegisterStore(f"{checkpoint_root(spark)}/tables/register-{uuid.uuid4().hex}", REG_KEYS, buckets=16, base_date=S.REGISTER_BASE_DATE)
+    store.create(S.register_base(spark, d))
+    deltas = materialise(S.register_deltas(spark, d), "deltas")
+    years = [r[0] for r in deltas.select(F.year("effective_date").alias("y")).distinct().orderBy("y").collect()]
+    for y in years:
+        store.apply(deltas.filter(F.year("effective_date") == y))
+    discard(deltas)
+    return store.read(spark).select(*register_versions(spark, d).columns)
+
+
 @register("q_cancel_erasure", with_ctes(
     "select isin, trading_venue_mic, version_source, effective_date, record_sequence from register_events e "
     "where not exists (select 1 from register_events c where c.version_source = 'CANC' "

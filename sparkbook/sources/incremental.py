@@ -2,25 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def increment(source: DataFrame, existing: DataFrame | None, date_col: str = "business_date",
+def high_water_mark(spark: SparkSession, path: str, date_col: str = "business_date") -> dt.date | None:
+    """The latest day of a table partitioned by it, from the names of its folders: no job, no file is opened. None for an empty or absent table."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    days = [m[1] for n in names if (m := re.fullmatch(rf"{re.escape(date_col)}=(\d{{4}}-\d\d-\d\d)", n))]
+    return dt.date.fromisoformat(max(days)) if days else None
+
+
+def increment(source: DataFrame, existing: DataFrame | dt.date | None, date_col: str = "business_date",
               price_through: str | None = None, mode: str = "watermark", days: list[str] | None = None) -> DataFrame:
     """Rows to (re)load.
 
-    'watermark': strictly above the high-water mark of ``existing`` (a
-    corrected old day is never re-selected); 'replay': exactly ``days``.
-    ``price_through`` caps the load date.
+    'watermark': strictly above the high-water mark (a corrected old day is
+    never re-selected), given as a day (see ``high_water_mark``) or as the
+    frame whose latest day it is, which is then found by the query itself:
+    nothing runs here. 'replay': exactly ``days``. ``price_through`` caps the load date.
     """
     out = source
     if mode == "replay":
         out = out.filter(F.col(date_col).isin([F.to_date(F.lit(x)) for x in (days or [])]))
     elif existing is not None:
-        hwm = existing.agg(F.max(date_col)).first()[0]
-        if hwm is not None:
-            out = out.filter(F.col(date_col) > F.lit(hwm))
+        latest = existing.agg(F.max(date_col)).scalar() if isinstance(existing, DataFrame) else F.lit(existing)
+        out = out.filter(latest.isNull() | (F.col(date_col) > latest))
     if price_through is not None:
         out = out.filter(F.col(date_col) <= F.to_date(F.lit(price_through)))
     return out

@@ -6,10 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkbook.plans import standins
+from sparkbook.plans.catalog import QUERIES
 from sparkbook.sources import files as FS
-from sparkbook.sources.incremental import write_partitions
+from sparkbook.sources.incremental import high_water_mark, increment, write_partitions
+from sparkbook.streaming import prices as P
 from sparkbook.streaming.prices import load_prices_stream
 
+from .conftest import SMOKE
+
 
 def fp(spark, rows, schema="a string, b string"):
     return FS.fingerprint(spark.createDataFrame(rows, schema)).first()
@@ -101,3 +106,50 @@ def test_partition_replacement_leaves_other_days(spark, tmp_path):
     write_partitions(df, path)
     write_partitions(df.filter("x = 2").withColumn("x", F.lit(9)), path)
     assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 9]
+
+
+def test_a_batch_reads_the_files_of_its_own_days_only(spark, tmp_path, monkeypatch):
+    source, target, name = str(tmp_path / "in"), str(tmp_path / "out"), f"s{tmp_path.name}"
+    read = []
+    inner = P.days_from_files
+    monkeypatch.setattr(P, "days_from_files", lambda session, files, *a: (read.append(len(files)), inner(session, files, *a))[1])
+
+    def land(rows):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        load_prices_stream(spark, source, SCHEMA, target, name=name)
+
+    for n in range(1, 6):
+        land([("A", float(n), dt.date(2026, 7, n))])
+    land([("B", 9.0, dt.date(2026, 7, 2)), ("B", 9.5, dt.date(2026, 7, 20))])
+    land([("A", 7.0, dt.date(2026, 7, 2)), ("A", 7.5, dt.date(2026, 7, 20))])
+    assert read == [1, 1, 1, 1, 1, 2, 3]  # of 7 files
+    got = {(r.isin, r.business_date.day): r.price for r in spark.read.parquet(target).collect()}
+    assert got == {("A", 1): 1.0, ("A", 2): 7.0, ("A", 3): 3.0, ("A", 4): 4.0, ("A", 5): 5.0, ("B", 2): 9.0, ("B", 20): 9.5, ("A", 20): 7.5}
+    # a batch that runs again writes the same
+    again = spark.read.schema(SCHEMA).parquet(source).withColumn(P.FILE, F.col("_metadata.file_path")).filter("business_date = date '2026-07-03'")
+    P.index_batch(again, target, name, 2, "business_date")
+    assert len(P.files_of_days(spark, target, spark.createDataFrame([(dt.date(2026, 7, 3),)], "day date"))) == 1
+    assert len(spark.read.parquet(P.file_index(target)).select("file").distinct().collect()) == 7
+
+
+def test_high_water_mark_from_folder_names(spark, tmp_path):
+    path = str(tmp_path / "p")
+    assert high_water_mark(spark, path) is None
+    write_partitions(spark.createDataFrame([(1, dt.date(2026, 7, 1)), (2, dt.date(2026, 6, 30)), (3, None)], "x int, business_date date"), path)
+    spark.sparkContext.setJobGroup("hwm", "hwm")
+    assert high_water_mark(spark, path) == dt.date(2026, 7, 1)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("hwm")) == 0
+    rows = spark.createDataFrame([(1, dt.date(2026, 7, 1)), (2, dt.date(2026, 7, 2))], "x int, business_date date")
+    assert [r.x for r in increment(rows, high_water_mark(spark, path)).collect()] == [2]
+    assert increment(rows, None).count() == increment(rows, rows.limit(0)).count() == 2 and increment(rows, rows).count() == 0
+
+
+def test_the_price_query_builds_without_a_job(spark):
+    """Reading the tables' schemas takes a job each; the query adds none."""
+
+    def jobs(group, build):
+        spark.sparkContext.setJobGroup(group, group)
+        build(spark, SMOKE)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs("prices-query", QUERIES["q_incremental_prices"].build) == jobs("prices-alone", standins.prices)

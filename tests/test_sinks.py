@@ -1,6 +1,7 @@
 """Sinks, fingerprints and loads: nothing kept that should go, nothing lost that should stay."""
 
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,7 +89,7 @@ SCHEMA = T.StructType([T.StructField("isin", T.StringType()), T.StructField("pri
 
 def test_second_file_of_a_day_adds_to_the_first(spark, tmp_path):
     source, target, day = str(tmp_path / "in"), str(tmp_path / "out"), dt.date(2026, 7, 1)
-    name = f"s{tmp_path.name}"
+    name = f"s{uuid.uuid4().hex}"
 
     def land(rows):
         spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(source)
@@ -109,7 +110,7 @@ def test_partition_replacement_leaves_other_days(spark, tmp_path):
 
 
 def test_a_batch_reads_the_files_of_its_own_days_only(spark, tmp_path, monkeypatch):
-    source, target, name = str(tmp_path / "in"), str(tmp_path / "out"), f"s{tmp_path.name}"
+    source, target, name = str(tmp_path / "in"), str(tmp_path / "out"), f"s{uuid.uuid4().hex}"
     read = []
     inner = P.days_from_files
     monkeypatch.setattr(P, "days_from_files", lambda session, files, *a: (read.append(len(files)), inner(session, files, *a))[1])

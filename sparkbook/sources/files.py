@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from decimal import Decimal
 from functools import reduce
@@ -103,20 +104,50 @@ def gated_write(df: DataFrame, fatal_checks: Sequence[DataFrame], path: str, ord
     return refused
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), options: dict[str, str] | None = None) -> None:
     """Replace the whole table at ``path``: partitions absent from ``df`` go too, whatever the session's overwrite mode."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").options(**(options or {})).option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
 
 
-def write_clustered(df: DataFrame, path: str, partition_by: str, cluster_by: Sequence[str], files_per_partition: int = 1) -> None:
+def write_clustered(df: DataFrame, path: str, partition_by: str | None, cluster_by: Sequence[str], files_per_partition: int = 1,
+                    bloom: Sequence[str] = (), row_group_bytes: int | None = None) -> None:
     """Replace a table laid out for point lookups: one folder per value of
-    ``partition_by``, rows range-clustered on ``cluster_by`` inside, so that
-    file and row-group statistics prune an equality on them. A large folder is
-    dealt over ``files_per_partition`` ranges or more; none is one task's work.
+    ``partition_by`` (none: one folder), rows range-clustered on ``cluster_by``
+    inside, so that file, row-group and page statistics prune an equality on
+    them. A large folder is dealt over ``files_per_partition`` ranges or more;
+    none is one task's work.
+
+    ``bloom``: columns that are looked up but not clustered on, such as a
+    hashed version key: each row group keeps a Bloom filter of their values, and a
+    lookup skips the groups that cannot hold its value. Smaller row groups
+    (``row_group_bytes``) skip more and cost more footer.
     """
     n = max(files_per_partition, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    keys = [partition_by, *cluster_by]
-    replace_table(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys), path, [partition_by])
+    folders = [partition_by] if partition_by else []
+    keys = [*folders, *cluster_by]
+    options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in bloom}
+    if bloom:
+        # Of sizes from 512 bytes to one MB, each row group keeps the one that its values need.
+        options["parquet.bloom.filter.adaptive.enabled"] = "true"
+        options |= {f"parquet.bloom.filter.candidates.number#{c}": "12" for c in bloom}
+    if row_group_bytes:
+        options["parquet.block.size"] = str(row_group_bytes)
+    replace_table(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys), path, folders, options)
+
+
+def bytes_read(df: DataFrame) -> tuple[int, list]:
+    """The bytes that running ``df`` reads from its files, by the input metrics of its own tasks, and its rows (for lookups: few)."""
+    sc, group = df.sparkSession.sparkContext, f"bytes-{uuid.uuid4().hex}"
+    sc.setJobGroup(group, group)
+    try:
+        rows = df.collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    tracker, store = sc.statusTracker(), sc._jsc.sc().statusStore()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(group)]
+    stages = {s for j in jobs if j for s in j.stageIds}
+    return sum(store.lastStageAttempt(s).inputBytes() for s in stages), rows
 
 
 def manifest(tables: dict[str, DataFrame]) -> DataFrame:

@@ -154,3 +154,17 @@ def test_the_price_query_builds_without_a_job(spark):
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
 
     assert jobs("prices-query", QUERIES["q_incremental_prices"].build) == jobs("prices-alone", standins.prices)
+
+
+def test_a_point_lookup_reads_a_fifteenth(spark, tmp_path):
+    """Bytes by Spark's own input metrics: a key on a day, and a hashed key that the table is not sorted by."""
+    rows = spark.range(300_000).select(
+        F.format_string("DE%08d", F.expr("id div 6")).alias("isin"), F.date_add(F.lit(dt.date(2000, 1, 1)), (F.col("id") % 6 * 100).cast("int")).alias("valid_from"),
+        F.md5(F.col("id").cast("string")).alias("sk"), F.sha1(F.col("id").cast("string")).alias("name"))
+    FS.replace_table(rows.repartition(8, "sk"), str(tmp_path / "plain"))
+    FS.write_clustered(rows, str(tmp_path / "laid"), None, ["isin"], files_per_partition=8, bloom=["sk"], row_group_bytes=1 << 18)
+    read = spark.read.option("parquet.hadoop.vectored.io.enabled", "false")
+    plain, laid = read.parquet(str(tmp_path / "plain")), read.parquet(str(tmp_path / "laid"))
+    for where, least in (("isin = 'DE00021000' and valid_from = date '2000-07-19'", 15), (f"sk = '{rows.filter('id = 123456').first()['sk']}'", 3), ("sk = '77777777777777777777777777777777'", 3)):
+        (a, left), (b, right) = FS.bytes_read(plain.filter(where)), FS.bytes_read(laid.filter(where))
+        assert left == right and a >= least * b, (where, a, b)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sparkbook.operators import temporal as T
 from sparkbook.operators.joins import asof_join, count_versions, resolve_version
 from sparkbook.operators.positions import position_book
-from sparkbook.operators.recon import positions_at, reconcile
+from sparkbook.operators.recon import positions_at, positions_by_blocks, reconcile
 from sparkbook.operators.sets import latest_per_key
 from sparkbook.plans import standins as S
 from sparkbook.plans.oracle_sql import with_ctes
@@ -289,11 +289,25 @@ _RECON = ("select account_id, isin, as_of_date, cast(sum(d) as bigint) as derive
           "union all select account_id, isin, snapshot_date, 0, quantity from {side}) group by account_id, isin, as_of_date having sum(d) <> sum(p)")
 
 
-def _recon(spark, d, open_days_only):
+def block_statement(bk, open_days_only=False):
+    """The statement by dyadic day blocks: independent of the book's running sum."""
+    ends, moved = bk.dates.filter("is_last_trading_day_of_month").select("date_key"), bk.movements
+    if open_days_only:
+        moved = moved.join(bk.calendar.filter("is_trading_day").select(F.col("calendar_date").alias("movement_date")), "movement_date", "left_semi")
+    return positions_by_blocks(moved, ends, BOOK_KEYS)
+
+
+@register("q_block_statement", book_sql("select * from statement", extra=_SNAP_SQL))
+def q_block_statement(spark, d):
+    """The month-end statement as sums of day blocks."""
+    return block_statement(S.book(spark, d))
+
+
+def _recon(spark, d, st):
+    """Month ends of the running-sum book against a statement of the same movements."""
     bk = S.book(spark, d)
     book = position_book(bk.movements, bk.dates, BOOK_KEYS, daily=True).filter("is_last_trading_day_of_month")
-    st = statement(bk, open_days_only)
-    return reconcile(book.withColumnRenamed("business_date", "as_of_date"), st, [*BOOK_KEYS, "as_of_date"],
+    return reconcile(book.withColumnRenamed("business_date", "as_of_date"), st(bk), [*BOOK_KEYS, "as_of_date"],
                      "closing_quantity", "quantity", right_keys=[*BOOK_KEYS, "snapshot_date"])
 
 
@@ -301,10 +315,10 @@ def _recon(spark, d, open_days_only):
 def q_reconcile(spark, d):
     """Derived book vs published statement at month ends; breaks
     are exactly the movements booked on closed days (trap T3)."""
-    return _recon(spark, d, open_days_only=False)
+    return _recon(spark, d, statement)
 
 
 @register("q_reconcile_range", book_sql(_RECON.format(side="open_statement"), extra=_SNAP_SQL))
 def q_reconcile_range(spark, d):
-    """Running-sum book vs open-day range aggregation; must be empty."""
-    return _recon(spark, d, open_days_only=True)
+    """Running-sum book vs sums of day blocks over open days; must be empty."""
+    return _recon(spark, d, lambda bk: block_statement(bk, open_days_only=True))

@@ -160,3 +160,25 @@ def q_fingerprint(spark, d):
     """Order-insensitive content fingerprint of a table."""
     o = S.table(spark, d, "orders").withColumn("order_day", F.col("o_orderdate").cast("date"))
     return FS.fingerprint(o, _FP_COLS)
+
+
+_FP_SQL = ["o_orderkey", "{custkey}", "o_orderstatus", "cast(o_orderdate as date)", "o_orderpriority"]
+
+
+def _frame_sql(cols):
+    return "concat_ws(chr(31), " + ", ".join(f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), 'N')" for c in cols) + ")"
+
+
+def _tree_sql(custkey):
+    return (f"select level, substr(b, 1, level) as prefix, count(*) as n, sum(('0x' || substr(h, 1, 16))::UBIGINT::HUGEINT) as fa, sum(('0x' || substr(h, 17, 16))::UBIGINT::HUGEINT) as fb "
+            f"from (select sha256({_frame_sql(c.format(custkey=custkey) for c in _FP_SQL)}) as h, sha256({_frame_sql(['o_orderkey'])}) as b from orders), range(4) l(level) group by all")
+
+
+@register("q_fingerprint_diff", f"with a as ({_tree_sql('o_custkey')}), b as ({_tree_sql('case when o_orderkey = (select max(o_orderkey) from orders) then o_custkey + 1 else o_custkey end')}) "
+          "select a.level::int as level, a.prefix, a.n as left_rows, b.n as right_rows from a join b on a.level = b.level and a.prefix = b.prefix where a.fa <> b.fa or a.fb <> b.fb or a.n <> b.n")
+def q_fingerprint_diff(spark, d):
+    """A change of one row, narrowed from the table's fingerprint to its bucket."""
+    o = S.table(spark, d, "orders").withColumn("order_day", F.col("o_orderdate").cast("date"))
+    last = o.agg(F.max("o_orderkey")).scalar()
+    changed = o.withColumn("o_custkey", F.when(F.col("o_orderkey") == last, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")))
+    return FS.differing_buckets(*[FS.fingerprint_tree(x, ["o_orderkey"], _FP_COLS) for x in (o, changed)])

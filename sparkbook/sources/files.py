@@ -56,6 +56,20 @@ def framed(cols: Sequence[str]) -> Column:
     return F.concat_ws(FIELD_SEP, *parts)
 
 
+def _summed(halves: DataFrame, *by: str) -> DataFrame:
+    """Row count and the two sums mod 2^64 of the halves __a and __b, as text."""
+    two64 = F.lit(Decimal(2**64))
+    g = halves.groupBy(*by).agg(F.sum("__n").alias("n_rows"), F.sum("__a").alias("__sa"), F.sum("__b").alias("__sb"))
+    total = lambda c: F.pmod(F.coalesce(c, F.lit(Decimal(0)).cast("decimal(38,0)")), two64).cast("decimal(20,0)").cast("string")
+    return g.select(*by, F.coalesce("n_rows", F.lit(0)).alias("n_rows"), total(F.col("__sa")).alias("fp_a"), total(F.col("__sb")).alias("fp_b"))
+
+
+def _halves(df: DataFrame, cols: Sequence[str], *more: Column) -> DataFrame:
+    h = F.sha2(framed(cols), 256)
+    two = [F.conv(F.substring(h, at, 16), 16, 10).cast("decimal(28,0)").alias(n) for at, n in ((1, "__a"), (17, "__b"))]
+    return df.select(*more, F.lit(1).cast("long").alias("__n"), *two)
+
+
 def fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Order-insensitive content fingerprint: row count plus two 64-bit sums
     (mod 2^64) of per-row sha256 slices over the framed values.
@@ -64,14 +78,42 @@ def fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     rows or their hashes; any changed, added or removed row changes it. Sums
     are kept in decimals wide enough for 10^18 rows.
     """
-    cols = list(cols or df.columns)
-    h = F.sha2(framed(cols), 256)
-    halves = [F.conv(F.substring(h, at, 16), 16, 10).cast("decimal(28,0)") for at in (1, 17)]
+    return _summed(_halves(df, list(cols or df.columns)))
+
+
+def fingerprint_tree(df: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None, depth: int = 3) -> DataFrame:
+    """(level, prefix, n_rows, fp_a, fp_b): fingerprints of a table and of its buckets, from the whole (level 0) down.
+
+    A row's bucket is the first ``depth`` hex digits of its key's hash, so a level
+    has 16 times the buckets of the one above, and a bucket's fingerprint is
+    the sum of its children's: the table is read once, the levels above come
+    from 16^depth rows. Trees of one key, columns and depth are compared with
+    ``differing_buckets`` without reading the tables again.
+    """
+    prefix = F.substring(F.sha2(framed(list(keys)), 256), 1, depth).alias("__prefix")
+    leaves = _halves(df, list(cols or df.columns), prefix).groupBy("__prefix").agg(*[F.sum(c).alias(c) for c in ("__n", "__a", "__b")])
     two64 = F.lit(Decimal(2**64))
-    g = df.select(halves[0].alias("__a"), halves[1].alias("__b")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("__a").alias("__sa"), F.sum("__b").alias("__sb"))
-    total = lambda c: F.pmod(F.coalesce(c, F.lit(Decimal(0)).cast("decimal(38,0)")), two64).cast("decimal(20,0)").cast("string")
-    return g.select("n_rows", total(F.col("__sa")).alias("fp_a"), total(F.col("__sb")).alias("fp_b"))
+    part = lambda c: F.pmod(F.col(c), two64).cast("decimal(28,0)").alias(c)
+    levels = leaves.select("__prefix", "__n", part("__a"), part("__b"), F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("level"))
+    return _summed(levels.withColumn("prefix", F.expr("substring(__prefix, 1, level)")), "level", "prefix")
+
+
+def differing_buckets(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(level, prefix, left_rows, right_rows) of the buckets in which two fingerprint trees differ; none for equal tables.
+
+    Level 0 tells whether the tables differ, the deepest level where: read on with ``bucket_rows``.
+    """
+    value = F.struct("n_rows", "fp_a", "fp_b")
+    null = F.lit(None).cast("struct<n_rows: bigint, fp_a: string, fp_b: string>")
+    both = left.select("level", "prefix", value.alias("l"), null.alias("r")).unionByName(right.select("level", "prefix", null.alias("l"), value.alias("r")))
+    met = both.groupBy("level", "prefix").agg(F.max("l").alias("l"), F.max("r").alias("r")).filter(~F.col("l").eqNullSafe(F.col("r")))
+    rows = lambda side: F.coalesce(F.col(f"{side}.n_rows"), F.lit(0)).cast("long")
+    return met.select("level", "prefix", rows("l").alias("left_rows"), rows("r").alias("right_rows"))
+
+
+def bucket_rows(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    """The rows of one bucket of a fingerprint tree."""
+    return df.filter(F.sha2(framed(list(keys)), 256).startswith(prefix))
 
 
 def verify_load(src: DataFrame, dst: DataFrame) -> DataFrame:
@@ -151,11 +193,13 @@ def bytes_read(df: DataFrame) -> tuple[int, list]:
 
 
 def manifest(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, n_rows, fingerprint) per table and a combined row '*' over all names and fingerprints in order."""
+    """(table_name, n_rows, fingerprint) per table and a combined row '*' over all names and fingerprints in order. Each table is read once."""
     one = [fingerprint(df).select(F.lit(name).alias("table_name"), "n_rows", F.concat("fp_a", F.lit("-"), "fp_b").alias("fingerprint"))
            for name, df in sorted(tables.items())]
     rows = reduce(DataFrame.unionByName, one)
     # One short line per table of the release: bounded by the number of tables.
     lines = F.array_sort(F.collect_list(F.concat("table_name", F.lit(":"), "fingerprint")))
-    combined = rows.agg(F.lit("*").alias("table_name"), F.sum("n_rows").alias("n_rows"), F.sha2(F.array_join(lines, "\n"), 256).alias("fingerprint"))
-    return rows.unionByName(combined)
+    both = rows.rollup("table_name").agg(F.sum("n_rows").alias("n_rows"), F.min("fingerprint").alias("__own"), lines.alias("__lines"), F.grouping("table_name").alias("__all"))
+    total = F.col("__all") == 1
+    return both.select(F.when(total, F.lit("*")).otherwise(F.col("table_name")).alias("table_name"), "n_rows",
+                       F.when(total, F.sha2(F.array_join("__lines", "\n"), 256)).otherwise(F.col("__own")).alias("fingerprint"))

@@ -168,3 +168,41 @@ def test_a_point_lookup_reads_a_fifteenth(spark, tmp_path):
     for where, least in (("isin = 'DE00021000' and valid_from = date '2000-07-19'", 15), (f"sk = '{rows.filter('id = 123456').first()['sk']}'", 3), ("sk = '77777777777777777777777777777777'", 3)):
         (a, left), (b, right) = FS.bytes_read(plain.filter(where)), FS.bytes_read(laid.filter(where))
         assert left == right and a >= least * b, (where, a, b)
+
+
+PINNED = [(1, "a", 1.5, dt.date(2026, 7, 1)), (2, None, -0.25, None), (2, None, -0.25, None), (3, "\u00fc", 0.0, dt.date(1960, 1, 1))]
+
+
+def test_pinned_fingerprint_and_two_runs(spark):
+    """The value is fixed: a change of framing, hash or sum shows here. Order and partitions do not matter, other content does."""
+    schema = "id int, name string, x double, day date"
+    one = FS.fingerprint(spark.createDataFrame(PINNED, schema)).first()
+    two = FS.fingerprint(spark.createDataFrame(PINNED[::-1], schema).repartition(3)).first()
+    assert tuple(one) == tuple(two) == (4, "18427089645040484175", "9290421379635267419")
+    assert tuple(FS.fingerprint(spark.createDataFrame(PINNED[:3], schema)).first()) != tuple(one)
+
+
+def test_tree_levels_add_up_and_narrow_a_difference(spark):
+    a = spark.range(5000).select("id", (F.col("id") * 7).alias("v"))
+    tree = FS.fingerprint_tree(a, ["id"], depth=2)
+    rows = {(r.level, r.prefix): r for r in tree.collect()}
+    whole = FS.fingerprint(a).first()
+    assert tuple(rows[0, ""])[2:] == tuple(whole) and len(rows) == 1 + 16 + 256
+    for level in (0, 1):
+        for (lv, prefix), r in rows.items():
+            if lv == level:
+                below = [x for (k, p), x in rows.items() if k == level + 1 and p.startswith(prefix)]
+                assert r.n_rows == sum(x.n_rows for x in below) and int(r.fp_a) == sum(int(x.fp_a) for x in below) % 2**64
+    changed = a.withColumn("v", F.when(F.col("id") == 77, 0).otherwise(F.col("v"))).filter("id <> 4000").unionByName(a.filter("id = 4001"))
+    found = {(r.level, r.prefix): (r.left_rows, r.right_rows) for r in FS.differing_buckets(tree, FS.fingerprint_tree(changed, ["id"], depth=2)).collect()}
+    homes = {p for p in (x for (k, x) in rows if k == 2) for i in (77, 4000, 4001) if FS.bucket_rows(a, ["id"], p).filter(F.col("id") == i).count()}
+    assert {p for k, p in found if k == 2} == homes and (0, "") in found and len(found) <= 7
+    assert FS.differing_buckets(tree, FS.fingerprint_tree(a.repartition(7), ["id"], depth=2)).count() == 0
+    assert FS.differing_buckets(tree, FS.fingerprint_tree(a.limit(0), ["id"], depth=2)).filter("right_rows > 0").count() == 0
+
+
+def test_a_manifest_reads_each_table_once(spark, tmp_path):
+    for n in ("a", "b"):
+        spark.range(9).write.parquet(str(tmp_path / n))
+    plan = FS.manifest({n: spark.read.parquet(str(tmp_path / n)) for n in ("a", "b")})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2

@@ -68,8 +68,11 @@ def book_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = book_lines(spark, sf_dir).filter(F.col("linestatus") == "F")
-    return b.select(
+    return trades_of(book_lines(spark, sf_dir))
+
+
+def trades_of(lines: DataFrame) -> DataFrame:
+    return lines.filter(F.col("linestatus") == "F").select(
         F.col("line_id").alias("trade_id"),
         F.col("ship_date").alias("trade_date"),
         "account_id", "isin", "trading_venue_mic",
@@ -79,8 +82,11 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = book_lines(spark, sf_dir).filter(F.col("linestatus") == "O")
-    return b.select(
+    return transfers_of(book_lines(spark, sf_dir))
+
+
+def transfers_of(lines: DataFrame) -> DataFrame:
+    return lines.filter(F.col("linestatus") == "O").select(
         F.col("line_id").alias("transfer_id"),
         F.col("ship_date").alias("transfer_date"),
         "account_id", "isin", "trading_venue_mic",
@@ -123,8 +129,11 @@ def _prints(tops: DataFrame) -> DataFrame:
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One print per (brand, ship day) with shipments: the day's largest gross."""
-    b = book_lines(spark, sf_dir)
-    return _prints(b.groupBy("isin", F.col("ship_date").alias("business_date")).agg(
+    return prices_of(book_lines(spark, sf_dir))
+
+
+def prices_of(lines: DataFrame) -> DataFrame:
+    return _prints(lines.groupBy("isin", F.col("ship_date").alias("business_date")).agg(
         F.max("gross_consideration").cast("decimal(18,4)").alias("price")))
 
 

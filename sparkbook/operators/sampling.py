@@ -31,12 +31,12 @@ def stratified_sample(df: DataFrame, stratum: str, id_col: str, weight: str, quo
 
 def top_up(sample: DataFrame, pool: DataFrame, group: str, id_col: str, floor: int) -> DataFrame:
     """Add, in id order, the first row of each group the sample lacks until
-    the sample holds ``floor`` rows. ``need`` is a bounded scalar."""
-    have = sample.count()
-    need = max(floor - have, 0)
-    if need == 0:
-        return sample
+    the sample holds ``floor`` rows. Nothing runs until the result does: how many
+    are needed is a scalar of the same plan, and of the first rows at most ``floor``
+    are ranked.
+    """
+    have = sample.agg(F.count(F.lit(1))).scalar()
     missing = pool.join(sample.select(group).distinct(), group, "left_anti")
     firsts = missing.groupBy(group).agg(F.min_by(F.struct(*pool.columns), F.col(id_col)).alias("__r")).select("__r.*")
-    extra = firsts.orderBy(id_col).limit(need)
-    return sample.unionByName(extra.select(*sample.columns))
+    extra = firsts.orderBy(id_col).limit(floor).withColumn("__rk", F.row_number().over(Window.orderBy(id_col)))
+    return sample.unionByName(extra.filter(F.col("__rk") <= F.lit(floor) - have).select(*sample.columns))

@@ -10,7 +10,7 @@ from sparkbook.operators import book as B
 from sparkbook.operators import sampling as SM
 from sparkbook.operators.calendar import roll_map, session_flags
 from sparkbook.operators.joins import asof_join, resolve_version
-from sparkbook.operators.sets import latest_per_key, union_all, union_distinct
+from sparkbook.operators.sets import latest_per_key, union_all
 from sparkbook.plans import standins as S
 from sparkbook.plans.oracle_sql import with_ctes
 from sparkbook.plans.q_book import _ACCRUED, _LEDGER, _RBD, _SCHED, _STEPS, accrued, brand_no, cash_steps, converted
@@ -62,13 +62,12 @@ _UNIVERSE = {"universe": "select isin, trading_venue_mic from trades union selec
 
 
 def universe(spark, d):
-    return union_distinct(S.trades(spark, d).select("isin", "trading_venue_mic"),
-                          S.transfers(spark, d).select("isin", "trading_venue_mic"))
+    return S.movements(spark, d).select("isin", "trading_venue_mic").distinct()
 
 
 @register("q_book_universe", with_ctes("select * from universe", "trades", "transfers", extra=_UNIVERSE))
 def q_book_universe(spark, d):
-    """Distinct traded (instrument, venue) keys of both feeds."""
+    """Distinct traded (instrument, venue) keys of trades and transfers, in one pass."""
     return universe(spark, d)
 
 

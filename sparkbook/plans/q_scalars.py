@@ -279,7 +279,20 @@ def q_trading_date(spark, d):
     "register_deltas"))
 def q_missing_dates(spark, d):
     """Publication days missing from the delta chain."""
-    pub = S.register_deltas(spark, d).select(F.col("effective_date").alias("d")).distinct()
+    return _missing_dates(S.register_deltas(spark, d))
+
+
+@register("q_missing_dates_broken", with_ctes(
+    "select distinct effective_date as missing_publication_date from register_deltas where day(effective_date) in (13, 14) "
+    "and effective_date > (select min(effective_date) from register_deltas where day(effective_date) not in (13, 14)) "
+    "and effective_date < (select max(effective_date) from register_deltas where day(effective_date) not in (13, 14))", "register_deltas"))
+def q_missing_dates_broken(spark, d):
+    """The same check on a chain whose 13th and 14th of every month were never published."""
+    return _missing_dates(S.register_deltas(spark, d).filter(~F.dayofmonth("effective_date").isin(13, 14)))
+
+
+def _missing_dates(deltas):
+    pub = deltas.select(F.col("effective_date").alias("d")).distinct()
     bounds = pub.agg(F.min("d").alias("start_date"), F.max("d").alias("end_date"))
     expected = cal.date_range(bounds, "start_date", "end_date", "missing_publication_date")
     return expected.join(pub, expected["missing_publication_date"] == pub["d"], "left_anti")

@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkbook.operators import calendar as cal
-from sparkbook.operators.positions import position_movements
 from sparkbook.session import materialise
 
 # Closing days (month, day) of the stand-in exchange calendar.
@@ -96,7 +95,16 @@ def transfers_of(lines: DataFrame) -> DataFrame:
 
 
 def movements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return position_movements(trades(spark, sf_dir), transfers(spark, sf_dir))
+    return movements_of(book_lines(spark, sf_dir))
+
+
+def movements_of(lines: DataFrame) -> DataFrame:
+    """Trades and transfers in one pass: sign and kind by the line's flag and status, where two feeds would be ``position_movements``."""
+    trade = F.col("linestatus") == "F"
+    return lines.filter(F.col("linestatus").isin("F", "O")).select(
+        "account_id", "isin", "trading_venue_mic", F.col("ship_date").alias("movement_date"),
+        F.when(F.col("returnflag") == "R", -F.col("quantity")).otherwise(F.col("quantity")).alias("quantity_delta"),
+        F.when(trade, "TRADE").otherwise("TRANSFER").alias("movement_type"), F.col("line_id").alias("movement_id"))
 
 
 def bounded_calendar(days: DataFrame, day: str) -> DataFrame:

@@ -79,3 +79,10 @@ def test_blocks_agree_with_periods(spark):
     ends = dates.filter("is_last_trading_day_of_month").select("date_key")
     a = positions_at(df, ends, dates, KEYS, open_days_only=False)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, positions_by_blocks(df, ends, KEYS).collect()))
+
+
+def test_union_distinct_by_name(spark):
+    from sparkbook.operators.sets import union_distinct
+
+    a, b = spark.createDataFrame([(1, "x"), (1, "x"), (None, None)], "k int, v string"), spark.createDataFrame([("x", 1), (None, None), ("y", 2)], "v string, k int")
+    assert sorted(map(tuple, union_distinct(a, b).collect()), key=str) == [(1, "x"), (2, "y"), (None, None)]

@@ -119,3 +119,20 @@ def test_failing_rules_stop_the_run(spark):
     with pytest.raises(LayerFailed) as failed:
         run_pipeline([bad, Layer("two", lambda t: {"b": t["a"]})], {})
     assert failed.value.report.filter("status = 'fail'").count() == 1
+
+
+def test_the_whole_book_in_layers(spark):
+    """31 tables, all checked, none left behind but the one kept; a planted fault stops the run before the facts."""
+    from sparkbook.plans import q_layers as L
+
+    tables, report = run_pipeline(L.book_layers(spark, SMOKE), {}, keep=["fct_trades"])
+    assert set(tables) == {"fct_trades"} and tables["fct_trades"].count() > 0
+    assert report.select("table").distinct().count() == 32 and sum(len(x) for x in L.LAYERS.values()) == 31
+    assert report.filter("status = 'fail'").count() == 0 and report.filter("status = 'warn'").count() > 3
+    layers = L.book_layers(spark, SMOKE)
+    staging = layers[1]
+    faulty = Layer(staging.name, lambda t: (x := staging.build(t)) | {"stg_countries": x["stg_countries"].filter("country_id <> 3")}, staging.checks, staging.rules, staging.reads)
+    with pytest.raises(LayerFailed) as failed:
+        run_pipeline([layers[0], faulty, *layers[2:]], {}, keep=[])
+    bad = {(r.table, r.check): r.violations for r in failed.value.report.filter("status = 'fail'").collect()}
+    assert failed.value.layer == "staging" and ("stg_clients", "country_id in stg_countries") in bad and ("stg_countries", "at least 25 rows") in bad

@@ -1,4 +1,3 @@
-import hashlib
 from collections import Counter, defaultdict
 
 import public_tokenizers as P
@@ -11,14 +10,14 @@ from sparkbook.llm import catalog, langid
 from .data import frame, rows
 from .test_dedup import plain_line_dedup
 from .test_langid import corpus
-from .test_mixing import plain_targets, words
+from .test_mixing import plain_copies
 from .test_simhash import plain_components, plain_fingerprint
 
 
 def test_registered():
     names = queries()
     assert {"pipeline", *catalog.QUERIES} <= set(names)
-    assert [n.split("_")[0] for n in catalog.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in catalog.QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(catalog.SQL) <= set(oracle_sql()) and "pipeline" not in oracle_sql()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "line_dedup", "near_dedup", "mixing", "packing"]
 
@@ -44,14 +43,8 @@ def test_against_plain_python(spark, tmp_path):
         first[root].append(r)
     kept = [min(g, key=lambda r: r[0]) for g in first.values()]
     assert len(kept) < len(roots)
-    sizes = defaultdict(int)
-    for r in kept:
-        sizes[r[3]] += words(r[1])
-    target, mixed = plain_targets(sizes), []
-    for r in kept:
-        rate = target[r[3]] / sizes[r[3]] if sizes[r[3]] else 1.0
-        u = int(hashlib.md5(f"{r[0]}:mix".encode()).hexdigest()[:8], 16) / 2**32
-        mixed += [r] * (int(rate) + (u < rate - int(rate)))
+    numbers, _ = plain_copies(kept)
+    mixed = [r for r, n in zip(kept, numbers, strict=True) for _ in range(n)]
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     want = Counter()
     for r in mixed:

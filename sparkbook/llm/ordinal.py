@@ -122,8 +122,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Ordinal
     small_batches(docs.sparkSession)
     graded = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
     grade = (F.least(F.greatest("quality", F.lit(0)), F.lit(1)) + F.when(F.col("toxic") > 0, 0).otherwise(1)).cast("int")
-    drawn = saved(hash_sample(graded.select(F.col("doc_id").alias("of"), grade.alias("grade")), rows, "of", "grade").drop("h"), "drawn")
+    drawn = saved(hash_sample(graded.select(F.col("doc_id").alias("of"), grade.alias("grade")).distinct(), rows, "of", "grade").drop("h"), "drawn")
     sample = drawn.join(docs.select("doc_id", F.col("text").cast("string").alias("text")), F.col("of") == F.col("doc_id"))
+    # One text per drawn label, the least: an id on many rows does not lift the bound.
+    sample = sample.groupBy("of", "grade").agg(F.min("text").alias("text"))
     got = saved(sample.select("grade", "text").mapInArrow(features, "grade int, idx binary, value binary"), "graded").collect()
     parts = sorted((r["grade"], bytes(r["idx"]), bytes(r["value"])) for r in got)
     return fit([(g, np.frombuffer(i, np.int32), np.frombuffer(x, np.float32)) for g, i, x in parts])

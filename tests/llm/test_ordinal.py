@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 
@@ -57,3 +58,64 @@ def test_without_labels_and_empty_table(spark):
     assert len(got) == len(rows()) and not any(r["selected"] for r in got)
     assert all(abs(r["expected_grade"] - 1) < 1e-6 for r in got)
     assert ordinal.graded_quality(d.limit(0), ordinal.train(d.limit(0), none)).collect() == []
+
+
+def plain_features(text):
+    """Bucket and value of every distinct word, of richness and length, and of each word shape's share."""
+    raw = (text or "").encode().split()
+    out = []
+    kinds = {}
+    for w in raw:
+        bare = w.strip(b".,;:!?\"'()")
+        kind = "sym" if not bare.isalnum() and w.isascii() else "cap" if w.isupper() else "low"
+        kinds[kind] = kinds.get(kind, 0) + 1
+    distinct = {w.lower().strip(b".,;:!?") for w in raw}
+    if raw:
+        out += [(w, 1.0) for w in distinct] + [(b"\x00rich%d" % (10 * len(distinct) // len(raw)), 1.0), (b"\x00long%d" % len(raw).bit_length(), 1.0)]
+        out += [(b"\x00" + k.encode(), n / len(raw)) for k, n in kinds.items()]
+    return sorted((zlib.crc32(w) % 2**ordinal.BITS, round(v, 6)) for w, v in out)
+
+
+def test_features_and_grades_against_plain_python():
+    rng = np.random.default_rng(2)
+    model = ordinal.Ordinal(rng.normal(size=1 << ordinal.BITS).astype(np.float32), np.array([-0.4, 0.9]))
+    texts = ["Hello, hello WORLD! 12 ### é", "a", "", None, "one two. Two (three) \"four\" " * 30]
+    grades = model.grades(texts)
+    for k, t in enumerate(texts):
+        idx, value = ordinal.hashed(t)
+        assert sorted(zip(idx.tolist(), [round(float(v), 6) for v in value], strict=True)) == plain_features(t)
+        s = sum(float(model.weights[i]) * v for i, v in plain_features(t))
+        cut = [1 / (1 + np.exp(-(x - s))) for x in (-0.4, 0.9)]
+        assert np.allclose(grades[k], [cut[0], cut[1] - cut[0], 1 - cut[1]], atol=1e-4)
+
+
+def test_fit_is_a_maximum_of_the_penalised_likelihood():
+    """Moving any weight or threshold of the fitted model raises the loss that plain Python computes."""
+    docs, labels = graded(150)
+    data = [(q + (not t), *ordinal.hashed(d[1])) for d, (_, q, t) in zip(docs, labels, strict=True)]
+    model = ordinal.fit(data, steps=1500, ridge=0.05)
+
+    def loss(w, theta):
+        total = 0.0
+        for y, idx, val in data:
+            s = float((w[idx] * val).sum())
+            cut = [0.0, *(1 / (1 + np.exp(-(t - s))) for t in theta), 1.0]
+            total -= np.log(cut[y + 1] - cut[y])
+        return total / len(data) + 0.05 / 2 * float((w**2).sum())
+
+    w, best = model.weights.astype(float), loss(model.weights.astype(float), model.thresholds)
+    for i in np.argsort(-np.abs(w))[:4]:
+        for step in (-0.2, 0.2):
+            moved = w.copy()
+            moved[i] += step
+            assert loss(moved, model.thresholds) > best
+    for step in ((0.5, 0), (-0.5, 0), (0, 0.5), (0, -0.5)):
+        assert loss(w, model.thresholds + np.array(step)) > best
+
+
+def test_the_sample_bound_holds_for_repeated_ids(spark, monkeypatch):
+    docs, labels = graded(60)
+    seen = []
+    monkeypatch.setattr(ordinal, "fit", lambda rows: seen.append(len(rows)))
+    ordinal.train(frame(spark, docs + [docs[1]] * 300 + [(2, f"other {i}", "en", "s") for i in range(200)]), spark.createDataFrame(labels + [labels[1]] * 200 + [labels[2]] * 100, "doc_id long, quality int, toxic int"), rows=20)
+    assert 0 < seen[0] <= 20

@@ -13,8 +13,10 @@ scored whole, in slices of bounded size.
 
 Defined cases: null text or a text without a letter is ``und`` with score 0
 and rejected; one-letter words count by their ends; repeated rows get equal
-rows; a null doc_id is never trained on and counts as not held out; an empty
-table gives no rows; a table without labels predicts ``und`` throughout.
+rows and are one candidate for training; a null doc_id is never trained on and
+counts as not held out; an empty table gives no rows; a table without labels
+predicts ``und`` throughout; columns beside doc_id, text and lang are not read,
+whatever their names, and pass through ``accepted``.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from sparkbook.llm.common import hash_share, saved, small_batches
+from sparkbook.llm.common import hash_share, row_key, saved, small_batches
 
 BITS, DIM = 15, 12
 #: Passes over the training part, more of them where it is small.
@@ -39,6 +41,8 @@ PER_LANGUAGE = 800
 SLICE = 1 << 18
 #: Of correctly predicted calibration documents, the share that rejection may cost.
 MAY_REJECT = 0.002
+#: Beyond this probability scores differ by rounding only, so no threshold lies above it.
+SATURATED = 0.99
 
 _letters: np.ndarray | None = None
 
@@ -57,7 +61,7 @@ def subwords(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]
     owner = np.repeat(np.arange(len(texts)), [len(p) for p in points])
     chars = np.where(letters()[chars], chars, 32).astype(np.uint32)
     keep = np.ones(len(chars), bool)
-    keep[1:] = (chars[1:] != 32) | (chars[:-1] != 32)
+    keep[1:] = (chars[1:] != 32) | (chars[:-1] != 32) | (owner[1:] != owner[:-1])  # each text has a space at either end
     chars, owner = chars[keep], owner[keep]
     for lo in range(0, len(chars), SLICE):
         c, own = chars[lo : lo + SLICE + 3], owner[lo : lo + SLICE + 3]
@@ -144,7 +148,7 @@ def fit(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 0) -> Model:
     model.temperature = heat[int(np.argmin(loss))]
     p = softmax(logits / model.temperature)
     right = p.max(axis=1)[p.argmax(axis=1) == truth[held]]
-    model.threshold = float(min(0.5, np.quantile(right, MAY_REJECT))) if len(right) else 0.0
+    model.threshold = float(min(SATURATED, np.quantile(right, MAY_REJECT))) if len(right) else 0.0
     return model
 
 
@@ -169,14 +173,17 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
     small_batches(docs.sparkSession)
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold() != 2))
+    known = known.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), row_key(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("key"))
+    # Rows are drawn by their content, so repeated rows are one candidate and the bound holds for them too.
     # Four times what is wanted passes the hash, whatever the size of the language; only those are ranked.
     # Written first, the counts have a size that the planner knows: no document is shuffled by language.
-    size = saved(known.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("size")), "languages")
-    draw = known.select("lang", F.col("doc_id").alias("drawn"), F.xxhash64("doc_id", F.lit("langid")).alias("h")).join(size, F.col("lang") == F.col("of"))
-    draw = draw.filter(hash_share(F.col("h"), per_language, F.col("size")))
-    draw = draw.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h", "drawn"))).filter(F.col("nth") <= per_language)
-    draw = saved(draw.select("drawn").distinct(), "draw")
-    sample = known.join(draw, F.col("doc_id") == F.col("drawn")).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id")
+    size = saved(known.groupBy(F.col("lang").alias("of")).agg(F.approx_count_distinct("key.a").alias("size")), "languages")
+    draw = known.select("lang", "key.a", "key.b").join(size, F.col("lang") == F.col("of"))
+    draw = draw.filter(hash_share(F.xxhash64("a"), per_language, F.col("size"))).select("lang", "a", "b").distinct()
+    draw = draw.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("a"), "a", "b"))).filter(F.col("nth") <= per_language)
+    draw = saved(draw.select(F.col("lang").alias("of"), "a", "b"), "draw")
+    sample = known.join(draw, (F.col("lang") == F.col("of")) & (F.col("key.a") == F.col("a")) & (F.col("key.b") == F.col("b")))
+    sample = sample.groupBy("lang", "a", "b").agg(F.min("text").alias("text"))
     got = saved(sample.select("lang", "text").mapInArrow(features, "lang string, idx binary, share binary"), "sample")
     rows = sorted((r["lang"], bytes(r["idx"]), bytes(r["share"])) for r in got.collect())
     return fit([(lang, np.frombuffer(i, np.int32), np.frombuffer(s, np.float32)) for lang, i, s in rows if i])

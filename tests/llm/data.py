@@ -4,7 +4,7 @@ import random
 
 WORDS = "the of and river stone light paper green quiet morning letter window garden copper winter signal harbor meadow candle thread".split()
 #: Names that operators use inside or return; a document may have columns called so.
-CLASHES = ["kept", "component_id", "size", "row", "key", "part", "of", "fp", "u", "rate", "window", "a", "b", "length", "sequence_id", "words", "metric", "root", "cut", "copies"]
+CLASHES = ["kept", "component_id", "size", "row", "key", "part", "of", "fp", "u", "rate", "window", "a", "b", "length", "sequence_id", "words", "metric", "root", "cut", "copies", "drawn", "nth", "h", "chosen", "name", "h2", "part_", "idx", "tree", "path", "marks", "salt", "bits", "leaf"]
 
 
 def sentence(rng, n):

@@ -162,14 +162,19 @@ def schedule(spark, d):
     return B.payment_schedule(b, "isin", "per_year", "anchor_month", "anchor_day", first, last)
 
 
-def accrued(spark, d, t):
-    """``t`` (isin, trade_date, quantity, ...) with last_coupon_date and accrued since then; looked up per (isin, day).
-
-    The days come from the line items and their part alone, not from the joins that make ``t``.
-    """
+def trade_days(spark, d):
+    """(isin, trade_date) of all trades, from the line items and their part alone."""
     p = S.table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("isin"))
     li = S.table(spark, d, "lineitem").filter(F.col("l_linestatus") == "F").select("l_partkey", F.col("l_shipdate").cast("date").alias("trade_date"))
-    days = li.join(p, F.col("l_partkey") == F.col("p_partkey")).select("isin", "trade_date").distinct()
+    return li.join(p, F.col("l_partkey") == F.col("p_partkey")).select("isin", "trade_date").distinct()
+
+
+def accrued(spark, d, t, days=None):
+    """``t`` (isin, trade_date, quantity, ...) with last_coupon_date and accrued since then, looked up per (isin, day).
+
+    ``days``: those of ``t``, or more, where they can be had without making ``t`` twice.
+    """
+    days = t.select("isin", "trade_date").distinct() if days is None else days
     s = schedule(spark, d).withColumn("__pd", F.col("pay_date"))
     last = asof_points(days, s, ["isin"], "trade_date", "__pd", ["pay_date"]).withColumnRenamed("pay_date", "last_coupon_date")
     acc = FN.accrued_interest(F.col("quantity").cast("double") * 100, F.lit(2.5) + brand_no() % 5, F.col("last_coupon_date"), F.col("trade_date"))
@@ -226,7 +231,7 @@ def cash_steps(spark, d):
     fx = converted(spark, d).withColumn("x", legs).select(
         "account_id", F.col("sell_currency").alias("base"), "x.currency", F.col("trade_date").alias("step_date"), F.lit(1).alias("kind"),
         F.col("fx_trade_id").alias("step_id"), "x.leg", "x.amount")
-    t = accrued(spark, d, _client_trades(spark, d))
+    t = accrued(spark, d, _client_trades(spark, d), trade_days(spark, d))
     fee = FN.tiered_fee(F.col("gross_consideration")).cast("decimal(18,2)")
     dirty = F.col("gross_consideration") + F.when(is_bond(), F.coalesce("accrued", F.lit(0.0))).otherwise(0.0).cast("decimal(18,2)")
     amount = F.when(F.col("returnflag") == "R", dirty - fee).otherwise(-(dirty + fee))

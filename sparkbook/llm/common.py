@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +56,18 @@ def dropped(df: DataFrame) -> None:
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Within it, Spark deletes a query's shuffle files when the query ends: for steps that are each run once and saved()."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def row_key(*cols: Column) -> Column:
     """128 bits that name a row by its content; rows repeated in full share it."""
     return F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit("row"), *reversed(cols)).alias("b"))

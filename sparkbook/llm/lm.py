@@ -6,27 +6,26 @@ A trigram model (or a bigram model, ``order`` 2) with hierarchical Dirichlet smo
     p(w | v)   = (c(v w) + MU p(w)) / (c(v) + MU)
     p(w | u v) = (c(u v w) + MU p(w | v)) / (c(u v) + MU),
 
-whose bigram level is an Elias-Fano trie: contexts, monotone pointers to their
-successors, successors stored relative to their context, and log probabilities
-quantised to 256 values. A query finds the context, takes its start, and
-searches the successor relative to it (module ``elias_fano``). A level is one
-read-only buffer that is mapped, not unpacked; the trigram level's contexts are
-places in the bigram level, whose pointers lead on to their successors (``Trie``); ``write_level`` and ``open_level``
+kept in Elias-Fano tries: first words, monotone pointers to their successors,
+successors stored relative to their context, and, by the place of such a pair, third
+words (``Trie``; ``Level`` alone for order 2). A pair or path of three has the log of its
+own share, c / (c(first word) + MU), quantised to 256 values; what a score adds by
+backing off comes from the counts that the batch knows. A query finds the context, takes
+its start, and searches the successor relative to it (module ``elias_fano``). A level is
+one read-only buffer that is mapped, not unpacked; ``write_level`` and ``open_level``
 keep it as a memory-mapped file.
 
-No task holds the whole model. Documents are cut into batches of about
-``BATCH`` tokens; each batch sends what it knows of its distinct words, then of
-its distinct bigrams, to shards by hash, already counted, so a word that is a
-third of all tokens is one row per batch. A word with more than ``BATCH``
-occurrences has its successors dealt over several shards; the context's count is
-known by then, so no shard needs them together. A shard adds up the counts of all
-batches, builds its level and scores the bigrams that the batches sent; one
-number per batch and distinct bigram goes back, and each batch adds them up over
-its own tokens. So a bigram costs one number per batch however often it occurs.
-Trigrams follow in a second round by the same rules: with the score of a bigram
-comes its count, by which a bigram of more than ``BATCH`` occurrences has its
-successors dealt over several shards.
-Shards grow in number with the tokens, not in size.
+No task holds the whole model. Documents are cut into batches of about ``BATCH``
+tokens. First each batch sends its distinct words, counted, to shards by hash, and gets
+their numbers and counts. Then it sends all its distinct bigrams and trigrams at once, in
+one message per shard of first words, already counted: neither scores nor totals of
+longer contexts are needed to build a trie, so one round serves every order. A first
+word with more than ``BATCH`` occurrences has its successors dealt over several shards,
+a pair that may have as many its third words too. A shard adds up the counts of all
+batches, builds its trie, looks up each distinct gram once and answers the batches,
+which add up the scores over their own tokens. So a gram costs one number per batch
+however often it occurs. Shards grow in number with the tokens, not in size; words,
+far fewer than grams, have a shard for ``WORD_SHARE`` shards of grams.
 
 Words are known by 64-bit hashes. The score starts each document after a start
 mark (a context with as many occurrences as training documents); unknown words
@@ -52,12 +51,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkbook.llm.common import dropped, saved, small_batches
+from sparkbook.llm.common import dropped, saved, shuffles_deleted, small_batches
 from sparkbook.llm.elias_fano import Level
 
 BATCH = 1_000_000
 MU = 2.0
 ADD = 0.1
+#: Shards of grams for each shard of words.
+WORD_SHARE = 16
 HELD_OUT_EVERY = 10
 #: The local number of the end token and the context number of the start mark.
 END, START = b"", 0
@@ -104,7 +105,7 @@ BATCHES = "batch long, tokens long, doc_ids array<long>, words binary, body bina
 
 
 def token_batches(docs: DataFrame, size: int = BATCH) -> DataFrame:
-    """Batches of documents: words as sorted hashes with training counts, tokens as numbers of words."""
+    """Batches of documents: words as hashes by falling frequency with training counts, tokens as numbers of words."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
@@ -114,10 +115,11 @@ def token_batches(docs: DataFrame, size: int = BATCH) -> DataFrame:
 
         def close() -> pa.RecordBatch:
             h = np.fromiter(map(xxh64_intdigest, number), np.uint64, len(number))
-            order = np.argsort(h, kind="stable")
+            tokens = np.concatenate(parts)
+            order = np.argsort(-np.bincount(tokens, minlength=len(h)), kind="stable")  # small numbers for frequent words take less room
             rank = np.empty(len(h), np.int64)
             rank[order] = np.arange(len(h))
-            tokens = rank[np.concatenate(parts)]
+            tokens = rank[tokens]
             sizes, held = np.array([len(p) for p in parts]), np.array(held_out, bool)
             train = np.bincount(tokens[np.repeat(~held, sizes)], minlength=len(h))
             row = ([(part << 32) + nth], [len(tokens)], [ids], [packed(h[order], train)], [packed(tokens, sizes, held.astype(np.uint8), rank[:1])])
@@ -144,6 +146,18 @@ def token_batches(docs: DataFrame, size: int = BATCH) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(of, BATCHES)
 
 
+def with_word_shards(batches: DataFrame, shards: int) -> DataFrame:
+    """Batches whose words are the shards of their hashes alone: all that later rounds need of them."""
+
+    def of(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            at = batch.schema.get_field_index("words")
+            slim = [packed(unpacked(blob.as_py(), 2)[0] % np.uint64(shards), np.zeros(0, np.int64)) for blob in batch.column(at)]
+            yield batch.set_column(at, "words", pa.array(slim, pa.binary()))
+
+    return batches.mapInArrow(of, BATCHES)
+
+
 COUNTED = "batch long, shard int, blob binary, n long, v long"
 
 
@@ -158,7 +172,7 @@ def word_counts(batches: DataFrame, shards: int) -> DataFrame:
             for at, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 h, train = unpacked(blob.as_py(), 2)
                 own = (h % np.uint64(shards)).astype(np.int64)
-                asked = [(s, packed(h[own == s], train[own == s])) for s in np.unique(own).tolist()]
+                asked = [(s, packed(h[o], train[o])) for s, o in runs_of(own, np.argsort(own, kind="stable"))]
                 yield pa.RecordBatch.from_arrays([pa.array([at] * len(asked), pa.int64()), pa.array([s for s, _ in asked], pa.int32()), pa.array([b for _, b in asked], pa.binary())], names=["batch", "shard", "blob"])
 
     def answer(table: pa.Table) -> pa.Table:
@@ -187,42 +201,59 @@ def shard_of(context: np.ndarray, successor: np.ndarray, total: np.ndarray, shar
     return (context + (mixed % spread.astype(np.uint64)).astype(np.int64)) % shards
 
 
-def bigram_scores(queries: list[list[np.ndarray]], mu: float) -> tuple[bytes, list[np.ndarray], list[np.ndarray]]:
-    """The level of a shard from all batches' (contexts, runs, totals, successors, counts, lower), and each batch's log10 probabilities and counts."""
-    context = [np.repeat(q[0], q[1]) for q in queries]
-    total = [np.repeat(q[2], q[1]) for q in queries]
-    c, s = np.concatenate(context), np.concatenate([q[3] for q in queries])
-    n = np.concatenate([q[4] for q in queries])
-    seen = np.flatnonzero(n > 0)
-    order = seen[np.lexsort((s[seen], c[seen]))]
-    oc, os_ = c[order], s[order]
-    new = np.flatnonzero(np.concatenate([[True], (oc[1:] != oc[:-1]) | (os_[1:] != os_[:-1])])) if len(order) else order
-    count = np.add.reduceat(n[order], new) if len(order) else n[:0]
-    t = np.concatenate(total)[order[new]] if len(order) else n[:0]
-    low = np.concatenate([q[5] for q in queries])[order[new]].astype(float) if len(order) else np.zeros(0)
-    level = Level.encode(oc[new], os_[new], np.log10((count + mu * 10.0**low) / (t + mu))) if len(order) else Level.encode(n[:0], n[:0], np.zeros(0))
-    trie, out, counts = Level(level), [], []
-    for q, ctx, tot in zip(queries, context, total, strict=True):
-        place, found = trie.places(ctx, q[3])
-        got = np.full(len(ctx), 0)
-        got[found] = count[place[found]]
-        logp = np.log10(mu / (tot + mu)) + q[5].astype(float)
-        logp[found] = trie.book[trie.codes[place[found]]]
-        out.append(logp)
-        counts.append(got)
-    return level, out, counts
+def gram_scores(queries: list[list[np.ndarray]], mu: float, order: int) -> tuple[bytes, list[tuple[np.ndarray, ...]]]:
+    """The level (``order`` 2) or trie of a shard from all batches' messages, and each batch's answer: log10 shares and counts of its pairs, log10 shares of its trigrams."""
+    u, total, v, n2 = (np.concatenate(x) for x in zip(*[(np.repeat(q[0], q[1]), np.repeat(q[2], q[1]), q[3], q[4]) for q in queries], strict=True))
+    wide = int(v.max(initial=0)) + 1
+    pairs, of_pair = np.unique(u * wide + v, return_inverse=True)
+    count = np.bincount(of_pair, n2, len(pairs)).astype(np.int64)
+    t = np.zeros(len(pairs))
+    t[of_pair] = total
+    u, v = pairs // wide, pairs % wide
+    kept = count > 0
+    own = np.log10(np.maximum(count, 1) / (t + mu))
+    if order == 3:
+        w, n3 = (np.concatenate([q[k] for q in queries]) for k in (6, 7))
+        wide = int(w.max(initial=0)) + 1
+        paths, of_path = np.unique(np.repeat(of_pair, np.concatenate([q[5] for q in queries])) * wide + w, return_inverse=True)
+        count3 = np.bincount(of_path, n3, len(paths)).astype(np.int64)
+        pair, w, seen = paths // wide, paths % wide, count3 > 0
+        kept[pair[seen]] = True  # a pair's own count may be in another shard
+        level = Trie.of(u[kept], v[kept], own[kept], (np.cumsum(kept) - 1)[pair[seen]], w[seen], np.log10(count3[seen] / (t[pair[seen]] + mu)))
+        trie = Trie(level)
+        first = trie.pairs
+    else:
+        level = Level.encode(u[kept], v[kept], own[kept])
+        first = Level(level)
+    place, there = first.places(u, v)
+    share, share3 = np.full(len(pairs), -np.inf, "<f2"), np.zeros(0, "<f2")
+    found = there & (count > 0)
+    share[found] = first.book[first.codes[place[found]]]
+    if order == 3:
+        share3 = np.full(len(paths), -np.inf, "<f2")
+        known = np.flatnonzero(there[pair])
+        code, found = trie.thirds.lookup(place[pair[known]], w[known])
+        share3[known[found]] = trie.thirds.book[code[found]]
+    out, at, at3 = [], 0, 0
+    for q in queries:
+        mine = of_pair[at : at + len(q[3])]
+        at += len(mine)
+        mine3 = of_path[at3 : at3 + len(q[6])] if order == 3 else mine[:0]
+        at3 += len(mine3)
+        out.append((share[mine], count[mine], share3[mine3]))
+    return level, out
 
 
 class Grams:
-    """What a batch knows of its tokens, given its words' numbers and counts; read alike when it asks and when it adds up."""
+    """What a batch knows of its tokens, given its words' hashes (or their shards), numbers and counts; read alike when it asks and when it adds up."""
 
-    def __init__(self, words: bytes, body: bytes, counted: list[tuple[int, bytes]], shards: int, norm: float, mu: float, size: int):
+    def __init__(self, words: bytes, body: bytes, counted: list[tuple[int, bytes]], shards: int, norm: float, mu: float, size: int, word_shards: int | None = None):
         h, _ = unpacked(words, 2)
         self.tokens, self.sizes, self.held, end = unpacked(body, 4)
+        self.shards, self.mu, self.size = shards, mu, size
         number, count = np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
-        own = (h % np.uint64(shards)).astype(np.int64)
-        for shard, blob in counted:
-            number[own == shard], count[own == shard] = unpacked(blob, 2)
+        by_shard = np.argsort((h.astype(np.uint64) % np.uint64(word_shards or shards)).astype(np.int64), kind="stable")
+        number[by_shard], count[by_shard] = (np.concatenate(x) for x in zip(*[unpacked(blob, 2) for _, blob in sorted(counted)], strict=True))
         p1 = np.log10((count + ADD) / norm) if norm else np.zeros(len(h))
         tokens = self.tokens
         self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
@@ -234,18 +265,16 @@ class Grams:
         #: Scores of tokens whose context or word no shard knows; the others wait for their shard.
         self.p2 = np.where(total > 0, np.log10(mu / (total + mu)), 0.0) + self.p1
         asked = (number[tokens] > 0) & (total > 0)
-        left, right = np.where(self.first, len(h), prev)[asked], tokens[asked]
-        key, back = np.unique(left * (len(h) + 1) + right, return_inverse=True)
-        left, right = key // (len(h) + 1), key % (len(h) + 1)
-        #: The distinct bigram of each token (-1: none is asked), and each one's context, total, successor and training count.
+        wide = int(number.max(initial=0)) + 1
+        key, back = np.unique(np.where(self.first, START, number[prev])[asked] * wide + number[tokens][asked], return_inverse=True)
+        #: The distinct bigram of each token (-1: none is asked), and each one's context, total, successor, its total and training count.
         self.gram = np.full(len(tokens), -1)
         self.gram[asked] = back
         self.train = self.of_training(self.gram, len(key))
-        self.ctx = np.where(left == len(h), START, number[np.minimum(left, len(h) - 1)])
-        self.tot = np.where(left == len(h), start_total, count[np.minimum(left, len(h) - 1)])
-        self.succ, self.low = number[right], p1[right].astype("<f2")
+        self.ctx, self.succ = key // wide, key % wide
+        self.tot, self.succ_tot = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64)
+        self.tot[back], self.succ_tot[back] = total[asked], count[tokens[asked]]
         self.to = shard_of(self.ctx, self.succ, self.tot, shards, size)
-        self.order = np.lexsort((self.succ, self.ctx, self.to))
 
     def of_training(self, gram: np.ndarray, n: int) -> np.ndarray:
         """How often each of ``n`` distinct grams occurs in training documents."""
@@ -255,57 +284,72 @@ class Grams:
     def per_document(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(self.doc, values, len(self.sizes)).astype(float)  # an empty count is of whole numbers
 
+    def laid_out(self, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(shard, its pairs, how many third words each has there, its trigrams): pairs are sorted, trigrams follow their pairs."""
+        n = len(self.to)
+        entries, third = self.to * n + np.arange(n), np.zeros(0, np.int64)
+        if order == 3:
+            before = np.where(self.first, -1, np.concatenate([[-1], self.gram[:-1]]))
+            asked = (before >= 0) & (self.gram >= 0)
+            key, back = np.unique(before[asked] * n + self.gram[asked], return_inverse=True)
+            #: The distinct trigram of each token (-1: none is asked), and each one's pair, third word and training count.
+            self.before, self.gram3 = before, np.full(len(before), -1)
+            self.gram3[asked] = back
+            self.pair, self.succ3 = key // max(n, 1), self.succ[key % max(n, 1)]
+            self.train3 = self.of_training(self.gram3, len(key))
+            # A pair occurs no more often than either word; one that may be frequent has its third words dealt out.
+            to = shard_of(self.to[self.pair], self.succ3, np.minimum(self.tot, self.succ_tot)[self.pair], self.shards, self.size)
+            third = np.argsort(to, kind="stable")
+            at = to[third] * n + self.pair[third]
+            entries = np.concatenate([entries, at[to[third] != self.to[self.pair[third]]]])
+        entries = np.unique(entries)
+        runs = np.bincount(np.searchsorted(entries, at), minlength=len(entries)) if order == 3 else np.zeros(len(entries), np.int64)
+        ends = np.cumsum(runs)
+        new, many = starts(entries // max(n, 1))
+        for a, m in zip(new.tolist(), many.tolist(), strict=True):
+            b = a + m
+            yield int(entries[a] // n), entries[a:b] % n, runs[a:b], third[ends[a] - runs[a] : ends[b - 1]]
+
+    def messages(self, order: int) -> Iterator[tuple[int, bytes]]:
+        """(shard, its distinct pairs with counts as runs of a context; for order 3 each one's third words with counts)."""
+        for s, o, runs3, third in self.laid_out(order):
+            new, runs = starts(self.ctx[o])
+            own = np.where(self.to[o] == s, self.train[o], 0)  # a pair is counted in its own shard alone
+            more = (self.succ3[third], self.train3[third]) if order == 3 else ()
+            yield s, packed(self.ctx[o][new], runs, self.tot[o][new], self.succ[o], own, runs3, *more)
+
     def bigrams(self) -> Iterator[tuple[int, bytes]]:
         """(shard, its distinct bigrams with their counts)."""
-        for s, o in runs_of(self.to, self.order):
-            new, runs = starts(self.ctx[o])
-            yield s, packed(self.ctx[o][new], runs, self.tot[o][new], self.succ[o], self.train[o], self.low[o])
-
-    def scored(self, answers: dict[int, bytes]) -> None:
-        """Take the shards' answers on the bigrams."""
-        self.logp, self.count = np.zeros(len(self.order)), np.zeros(len(self.order), np.int64)
-        for s, o in runs_of(self.to, self.order):
-            self.logp[o], self.count[o] = unpacked(answers[s], 2)
-        asked = self.gram >= 0
-        self.p2[asked] = self.logp[self.gram[asked]]
-
-    def third(self, shards: int, mu: float, size: int) -> None:
-        """The distinct trigrams whose two bigrams occur in training; other tokens' scores ``p3`` need no shard."""
-        n = len(self.count)
-        before = np.where(self.first, -1, np.concatenate([[-1], self.gram[:-1]]))
-        total = np.zeros(len(before), np.int64)
-        total[before >= 0] = self.count[before[before >= 0]]
-        self.p3 = np.where(total > 0, np.log10(mu / (total + mu)), 0.0) + self.p2
-        asked = (total > 0) & (self.gram >= 0)
-        asked[asked] = self.count[self.gram[asked]] > 0
-        key, back = np.unique(before[asked] * n + self.gram[asked], return_inverse=True)
-        self.gram3 = np.full(len(before), -1)
-        self.gram3[asked] = back
-        left, right = key // max(n, 1), key % max(n, 1)
-        self.ctx3, self.succ3 = left, self.succ[right]
-        self.train3, self.low3 = self.of_training(self.gram3, len(key)), self.logp[right].astype("<f2")
-        self.to3 = shard_of(self.to[left], self.succ3, self.count[left], shards, size)
-        self.order3 = np.lexsort((self.succ3, self.succ[left], self.ctx[left], self.to3))
-
-    def trigrams(self) -> Iterator[tuple[int, bytes]]:
-        """(shard, its distinct trigrams with their counts), as runs of first words, of second words, and third words."""
-        for s, o in runs_of(self.to3, self.order3):
-            new, runs = starts(self.ctx3[o])
-            pair = self.ctx3[o][new]
-            new1, runs1 = starts(self.ctx[pair])
-            yield s, packed(self.ctx[pair][new1], runs1, self.succ[pair], runs, self.count[pair], self.succ3[o], self.train3[o], self.low3[o])
-
-    def scored3(self, answers: dict[int, bytes]) -> None:
-        """Take the shards' answers on the trigrams."""
-        logp = np.zeros(len(self.order3))
-        for s, o in runs_of(self.to3, self.order3):
-            (logp[o],) = unpacked(answers[s], 1)
-        asked = self.gram3 >= 0
-        self.p3[asked] = logp[self.gram3[asked]]
+        return self.messages(2)
+
+    def scored(self, answers: dict[int, bytes], order: int) -> np.ndarray:
+        """The log10 probability of each token from the shards' answers."""
+        own, count = np.zeros(len(self.to)), np.zeros(len(self.to), np.int64)
+        path = None
+        for s, o, _, third in self.laid_out(order):
+            share, n, share3 = unpacked(answers[s], 3)
+            home = self.to[o] == s
+            own[o[home]], count[o[home]] = 10.0 ** share[home].astype(float), n[home]
+            if order == 3:
+                path = np.zeros(len(self.pair)) if path is None else path
+                path[third] = 10.0 ** share3.astype(float)
+        mu, asked = self.mu, self.gram >= 0
+        p2, gram = self.p2.copy(), self.gram[asked]
+        t = self.tot[gram]
+        p2[asked] = np.log10(np.minimum(own[gram], t / (t + mu)) + mu / (t + mu) * 10.0 ** self.p1[asked])
+        if order == 2 or path is None:
+            return p2
+        after = np.flatnonzero(self.before >= 0)
+        after = after[count[self.before[after]] > 0]
+        pair, gram3 = self.before[after], self.gram3[after]
+        seen = np.where(gram3 >= 0, np.append(path, 0.0)[gram3], 0.0) * (self.tot[pair] + mu)
+        p3 = p2
+        p3[after] = np.log10((np.minimum(seen, count[pair]) + mu * 10.0 ** p2[after]) / (count[pair] + mu))
+        return p3
 
 
 class Trie:
-    """Two levels: first words with their successors and weights of backing off, and, by the place of such a pair, third words."""
+    """Two levels: first words with their successors, and, by the place of such a pair, third words."""
 
     def __init__(self, buffer):
         view = memoryview(buffer)
@@ -313,11 +357,16 @@ class Trie:
         self.pairs, self.thirds = Level(view[8 : 8 + n]), Level(view[8 + n :])
 
     @staticmethod
-    def encode(u: np.ndarray, v: np.ndarray, w: np.ndarray, weight: np.ndarray, logp: np.ndarray) -> bytes:
+    def of(u: np.ndarray, v: np.ndarray, pair_logp: np.ndarray, place: np.ndarray, w: np.ndarray, logp: np.ndarray) -> bytes:
+        """From pairs sorted by (u, v) and third words sorted by (place of their pair, w), without repeats."""
+        pairs = Level.encode(u, v, pair_logp)
+        return struct.pack("<Q", len(pairs)) + pairs + Level.encode(place, w, logp)
+
+    @staticmethod
+    def encode(u: np.ndarray, v: np.ndarray, w: np.ndarray, pair_logp: np.ndarray, logp: np.ndarray) -> bytes:
         """From rows sorted by (u, v, w), without repeats."""
         new, runs = starts(u, v)
-        pairs = Level.encode(u[new], v[new], weight[new])
-        return struct.pack("<Q", len(pairs)) + pairs + Level.encode(np.repeat(np.arange(len(new)), runs), w, logp)
+        return Trie.of(u[new], v[new], pair_logp[new], np.repeat(np.arange(len(new)), runs), w, logp)
 
     def lookup(self, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(code, whether the trigram is there) for each query; queries come in runs of (u, v)."""
@@ -329,23 +378,6 @@ class Trie:
         return code, found
 
 
-def trigram_scores(queries: list[list[np.ndarray]], mu: float) -> tuple[bytes, list[np.ndarray]]:
-    """The trie of a shard from all batches' (u, runs, v, runs, totals, w, counts, lower), and each batch's log10 probabilities."""
-    spelled = [(np.repeat(np.repeat(q[0], q[1]), q[3]), np.repeat(q[2], q[3]), np.repeat(q[4], q[3]), q[5], q[6], q[7]) for q in queries]
-    u, v, t, w, n, low = (np.concatenate([q[k] for q in spelled]) for k in range(6))
-    seen = np.flatnonzero(n > 0)
-    order = seen[np.lexsort((w[seen], v[seen], u[seen]))]
-    new, _ = starts(u[order], v[order], w[order])
-    count = np.add.reduceat(n[order], new) if len(order) else n[:0]
-    at = order[new]
-    level = Trie.encode(u[at], v[at], w[at], np.log10(mu / (t[at] + mu)), np.log10((count + mu * 10.0 ** low[at].astype(float)) / (t[at] + mu)))
-    trie, out = Trie(level), []
-    for qu, qv, qt, qw, _, ql in spelled:
-        code, found = trie.lookup(qu, qv, qw)
-        out.append(np.where(found, trie.thirds.book[code].astype(float), np.log10(mu / (qt + mu)) + ql.astype(float)))
-    return level, out
-
-
 def starts(*sorted_columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where a new row begins in sorted columns, and how many rows are alike from there."""
     n = len(sorted_columns[0])
@@ -367,60 +399,49 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 def scores(docs: DataFrame, mu: float = MU, size: int = BATCH, keep_levels: bool = False, order: int = 2) -> DataFrame | tuple[DataFrame, DataFrame]:
     """One row per document (SCORED), by a model of ``order`` 2 or 3. With ``keep_levels`` also the table of the shards' levels (or tries)."""
+    with shuffles_deleted(docs.sparkSession):
+        return _scores(docs, mu, size, keep_levels, order)
+
+
+def _scores(docs: DataFrame, mu: float, size: int, keep_levels: bool, order: int) -> DataFrame | tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     batches = saved(token_batches(docs, size), "tokens")
     shards = max(1, -(-int(batches.agg(F.sum("tokens")).first()[0] or 0) // size))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    counted = saved(word_counts(batches, shards), "words")
+    word_shards = -(-shards // WORD_SHARE)
+    counted = saved(word_counts(batches, word_shards), "words")
     n_train, n_words = (int(x or 0) for x in counted.agg(F.sum("n"), F.sum("v")).first())
     norm = n_train + ADD * (n_words + 1)
+    hashed, batches = batches, saved(with_word_shards(batches, word_shards), "tokens")
+    dropped(hashed)
+
+    def opened(cols: dict[str, list], k: int) -> tuple[Grams, dict[int, bytes]]:
+        """A batch's grams, and the shards' answers on them so far."""
+        words, answers = ({p["shard"]: p["blob"] for p in cols["parts"][k] if p["round"] == r} for r in range(2))
+        return Grams(cols["words"][k], cols["body"][k], list(words.items()), shards, norm, mu, size, word_shards), answers
 
-    def opened(cols: dict[str, list], k: int) -> tuple[Grams, list[dict[int, bytes]]]:
-        """A batch's grams, and the shards' answers to it by round."""
-        rounds = [{p["shard"]: p["blob"] for p in cols["parts"][k] if p["round"] == r} for r in range(3)]
-        return Grams(cols["words"][k], cols["body"][k], list(rounds[0].items()), shards, norm, mu, size), rounds
-
-    def ask_of(n: int):
-        def ask(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in rows:
-                cols = batch.to_pydict()
-                for k, at in enumerate(cols["batch"]):
-                    grams, rounds = opened(cols, k)
-                    if n == 3:
-                        grams.scored(rounds[1])
-                        grams.third(shards, mu, size)
-                    out = list(grams.bigrams() if n == 2 else grams.trigrams())
-                    yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int64()), pa.array([at] * len(out), pa.int64()), pa.array([b for _, b in out], pa.binary())], names=["shard", "batch", "blob"])
-
-        return ask
-
-    def answer_of(n: int):
-        def answer(table: pa.Table) -> pa.Table:
-            at, shard, blobs = table["batch"].to_pylist(), table["shard"][0].as_py(), table["blob"].to_pylist()
-            if n == 3:
-                level, logp = trigram_scores([unpacked(b, 8) for b in blobs], mu)
-                out = [packed(p.astype("<f2")) for p in logp]
-            else:
-                level, logp, counts = bigram_scores([unpacked(b, 6) for b in blobs], mu)
-                out = [packed(p.astype("<f2"), c) for p, c in zip(logp, counts, strict=True)]
-            cols = ([*at, None], [shard] * (len(at) + 1), [*out, None], [None] * len(at) + [level if keep_levels and n == order else None])
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in ANSWERED.split(", ")])
-
-        return answer
+    def ask(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            cols = batch.to_pydict()
+            for k, at in enumerate(cols["batch"]):
+                out = list(opened(cols, k)[0].messages(order))
+                yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int64()), pa.array([at] * len(out), pa.int64()), pa.array([b for _, b in out], pa.binary())], names=["shard", "batch", "blob"])
+
+    def answer(table: pa.Table) -> pa.Table:
+        at, shard = table["batch"].to_pylist(), table["shard"][0].as_py()
+        level, answers = gram_scores([unpacked(b, 8 if order == 3 else 6) for b in table["blob"].to_pylist()], mu, order)
+        cols = ([*at, None], [shard] * (len(at) + 1), [*(packed(*x) for x in answers), None], [None] * len(at) + [level if keep_levels else None])
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=[x.split()[0] for x in ANSWERED.split(", ")])
 
     def finish(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in SCORED.split(", ")]
         for batch in rows:
             cols = batch.to_pydict()
             for k, ids in enumerate(cols["doc_ids"]):
-                grams, rounds = opened(cols, k)
-                grams.scored(rounds[1])
+                grams, answers = opened(cols, k)
                 base = grams.per_document(grams.p1)
-                if order == 3:
-                    grams.third(shards, mu, size)
-                    grams.scored3(rounds[2])
-                score = grams.per_document(grams.p3 if order == 3 else grams.p2) if n_train else base
+                score = grams.per_document(grams.scored(answers, order)) if n_train else base
                 known = grams.per_document(grams.known).astype(np.int64)
                 out = [pa.array(ids, pa.int64()), pa.array(grams.held.astype(bool)), pa.array(grams.sizes), pa.array(known), pa.array([n_train] * len(ids), pa.int64()), pa.array(base), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(out, names=names)
@@ -431,14 +452,10 @@ def scores(docs: DataFrame, mu: float = MU, size: int = BATCH, keep_levels: bool
         answers = reduce(DataFrame.unionAll, parts).groupBy("of").agg(F.collect_list("part").alias("parts"))
         return batches.join(answers, F.col("batch") == F.col("of")).select(*columns, "parts")
 
-    rounds = [counted]
-    for n in range(2, order + 1):
-        asked = with_parts(["batch", "words", "body"], *rounds).mapInArrow(ask_of(n), "shard long, batch long, blob binary")
-        rounds.append(saved(asked.groupBy("shard").applyInArrow(answer_of(n), ANSWERED), f"grams{n}"))
-        del asked
-        spark._jvm.System.gc()  # lets Spark delete the round's shuffle files
-    result = saved(with_parts(["doc_ids", "words", "body"], *rounds).mapInArrow(finish, SCORED), "scores")
+    asked = with_parts(["batch", "words", "body"], counted).mapInArrow(ask, "shard long, batch long, blob binary")
+    grams = saved(asked.groupBy("shard").applyInArrow(answer, ANSWERED), "grams")
+    result = saved(with_parts(["doc_ids", "words", "body"], counted, grams).mapInArrow(finish, SCORED), "scores")
     small_batches(spark)
-    for table in (batches, counted):
+    for table in (batches, counted, *([] if keep_levels else [grams])):
         dropped(table)
-    return (result, rounds[-1].filter("level is not null").select("level")) if keep_levels else result
+    return (result, grams.filter("level is not null").select("level")) if keep_levels else result

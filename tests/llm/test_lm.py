@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from sparkbook.llm import lm
+from sparkbook.llm.common import saved, shuffles_deleted
 from sparkbook.llm.elias_fano import EliasFano, Level
 
 from .data import frame, rows
@@ -186,3 +187,38 @@ def test_trie_paths():
     for step in ((0, 0, 1), (0, 1, 0), (1, 0, 0), (500, 0, 0)):
         asked = t + np.array(step)
         assert trie.lookup(*asked.T)[1].tolist() == [tuple(r) in present for r in asked.tolist()]
+
+
+def test_bigrams_and_trigrams_are_asked_in_one_round(spark, monkeypatch):
+    """Batches cross a shuffle once to ask and once to add up, and without their words' hashes."""
+    kept = []
+    monkeypatch.setattr(lm, "saved", lambda df, name: (kept.append(name), saved(df, name))[1])
+    assert lm.scores(frame(spark, rows()), size=500, order=3).count() == len(rows())
+    assert kept == ["tokens", "words", "tokens", "grams", "scores"]
+
+
+def test_words_are_numbered_once_for_many_shards_of_grams(spark):
+    """A batch's messages on words do not grow with the shards of grams."""
+    words = spark.createDataFrame([(0, 9, [1], lm.packed(np.arange(1, 900, dtype=np.uint64) * np.uint64(2**40 + 7), np.ones(899, np.int64)), b"")], lm.BATCHES)
+    (slim,) = lm.with_word_shards(words, 5).collect()
+    assert len(slim["words"]) < 500 and max(lm.unpacked(bytes(slim["words"]), 2)[0]) == 4
+    assert lm.word_counts(words, 5).filter("batch is not null").count() == 5
+
+
+def test_hot_pairs_have_their_third_words_dealt():
+    """'x y' is followed by ever new words: its third words go to many shards, and the counts of pairs stay in one."""
+    g = grams(["".join(f"x y w{i} " for i in range(3000))], shards=7)
+    g.size = 100
+    sent = {s: lm.unpacked(b, 8) for s, b in g.messages(3)}
+    x, y = (int(v) for v in (g.ctx[g.train.argmax()], g.succ[g.train.argmax()]))
+    pair = {s: (np.repeat(q[0], q[1]) == x) & (q[3] == y) for s, q in sent.items()}
+    assert sorted(int(q[4][pair[s]].sum()) for s, q in sent.items())[-2:] == [0, 3000]
+    assert max(int(q[5][pair[s]].sum()) for s, q in sent.items()) < 1000 and sum(int(q[5][pair[s]].sum()) for s, q in sent.items()) == 3000
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with shuffles_deleted(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key) == before

@@ -106,7 +106,8 @@ def run_checks(checks: Sequence[Check]) -> DataFrame:
     parts, meta = [], []
     for i, c in enumerate(checks):
         shown = F.to_json(F.struct(*[F.col(f"`{x}`") for x in c.violations.columns]))
-        parts.append(c.violations.agg(F.count(F.lit(1)).alias("violations"), F.array_distinct(F.array_compact(F.array(F.min(shown), F.max(shown)))).alias("sample")).withColumn("__i", F.lit(i)))
+        rows = c.violations.select(shown.alias("__row"))  # written once for both ends of the sample
+        parts.append(rows.agg(F.count(F.lit(1)).alias("violations"), F.array_distinct(F.array_compact(F.array(F.min("__row"), F.max("__row")))).alias("sample")).withColumn("__i", F.lit(i)))
         meta.append((i, c.name, c.severity, c.warn_if, c.error_if))
     named = checks[0].violations.sparkSession.createDataFrame(meta, "i int, check string, severity string, warn_if long, error_if long")
     n = F.col("violations")

@@ -152,20 +152,19 @@ def _long(wide: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
     return wide.select(F.lit(table).alias("table"), F.inline(F.array(*each)))
 
 
-def _counted(fails: Column, example: Column, i: int) -> list[Column]:
-    shown = F.when(fails, example)
-    return [F.count_if(fails).alias(f"n_{i}"), F.min(shown).alias(f"lo_{i}"), F.max(shown).alias(f"hi_{i}")]
-
-
 def _row_rules(table: str, df: DataFrame, rules: Sequence[RowRule | FloorRule]) -> DataFrame:
+    """A row is written as JSON once, however many rules it violates, and each rule is evaluated once."""
+    own = [(i, r) for i, r in enumerate(rules) if isinstance(r, RowRule)]
     example = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    found = df.select(*[F.coalesce(r.fails(), F.lit(False)).alias(f"__f{i}") for i, r in own], (example if own else F.lit(None)).cast("string").alias("__row"))
     aggs = []
     for i, r in enumerate(rules):
         if isinstance(r, FloorRule):
             aggs += [(F.count(F.lit(1)) < r.rows).cast("long").alias(f"n_{i}"), F.lit(None).cast("string").alias(f"lo_{i}"), F.lit(None).cast("string").alias(f"hi_{i}")]
         else:
-            aggs += _counted(r.fails(), example, i)
-    return _long(df.agg(*aggs), table, rules)
+            shown = F.when(F.col(f"__f{i}"), F.col("__row"))
+            aggs += [F.count_if(F.col(f"__f{i}")).alias(f"n_{i}"), F.min(shown).alias(f"lo_{i}"), F.max(shown).alias(f"hi_{i}")]
+    return _long(found.agg(*aggs), table, rules)
 
 
 def _per_key(df: DataFrame, columns: Sequence[str], rules: Sequence[KeyRule | ReferenceRule]) -> DataFrame:
@@ -175,8 +174,9 @@ def _per_key(df: DataFrame, columns: Sequence[str], rules: Sequence[KeyRule | Re
 
 def _key_rules(table: str, df: DataFrame, columns: tuple[str, ...], rules: Sequence[KeyRule]) -> DataFrame:
     keys = _per_key(df, columns, rules)
-    aggs = [a for i in range(len(rules)) for a in _counted(F.col(f"in_{i}") > 1, F.to_json(F.struct(*columns, F.col(f"in_{i}").alias("n_records"))), i)]
-    return _long(keys.agg(*aggs), table, rules)
+    shown = keys.select(*[F.when(F.col(f"in_{i}") > 1, F.to_json(F.struct(*columns, F.col(f"in_{i}").alias("n_records")))).alias(f"__r{i}") for i in range(len(rules))])
+    aggs = [a for i in range(len(rules)) for a in (F.count(f"__r{i}").alias(f"n_{i}"), F.min(f"__r{i}").alias(f"lo_{i}"), F.max(f"__r{i}").alias(f"hi_{i}"))]
+    return _long(shown.agg(*aggs), table, rules)
 
 
 def _references(parent: DataFrame, parent_columns: tuple[str, ...], children: Sequence[tuple[str, DataFrame, tuple[str, ...], Sequence[ReferenceRule]]]) -> DataFrame:
@@ -193,8 +193,8 @@ def _references(parent: DataFrame, parent_columns: tuple[str, ...], children: Se
     # Not an anti join: the optimizer would push that below the union, one join per child.
     met = counts.join(have, reduce(and_, [F.col(n) == F.col(f"p{i}") for i, n in enumerate(names)]), "left")
     missing = met.filter(F.col("p0").isNull())
-    example = F.to_json(F.struct(*names))
-    return missing.groupBy("table", "rule").agg(_violations(F.sum("n")), F.min(example).alias("least"), F.max(example).alias("greatest"))
+    shown = missing.select("table", "rule", "n", F.to_json(F.struct(*names)).alias("__row"))
+    return shown.groupBy("table", "rule").agg(_violations(F.sum("n")), F.min("__row").alias("least"), F.max("__row").alias("greatest"))
 
 
 def report(tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence[Rule]]) -> DataFrame:

@@ -136,3 +136,13 @@ def test_the_whole_book_in_layers(spark):
         run_pipeline([layers[0], faulty, *layers[2:]], {}, keep=[])
     bad = {(r.table, r.check): r.violations for r in failed.value.report.filter("status = 'fail'").collect()}
     assert failed.value.layer == "staging" and ("stg_clients", "country_id in stg_countries") in bad and ("stg_countries", "at least 25 rows") in bad
+
+
+def test_a_row_is_written_as_json_once_for_all_its_rules(tables):
+    """Each kind of rule, and a check, writes its rows as JSON in one place of the plan."""
+    many = [R.within("n", high=k, name=f"up to {k}") for k in range(20)]
+    for own, times in ((many, 1), ([R.unique("id")], 1), ([R.known({"ref": "code"}, "parent")], 1)):
+        plan = R.report(tables, {"child": own})._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"to_?json|structstojson", plan, re.I)) == times
+    plan = Q.run_checks([Q.Check("any", tables["child"])])._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"to_?json|structstojson", plan, re.I)) == 1

@@ -1,9 +1,10 @@
 """A versioned register on disk, upkept day by day.
 
 Rows are stored in buckets of their key. A delivery reads and rewrites the
-buckets of its keys alone, and in them only those keys are replayed: their open
-version is closed, new versions are appended, a termination ends the last one,
-a cancellation erases the key's history. The result is what a full replay of
+buckets of its keys alone: events and stored versions meet in one shuffle by
+key, and the replay of what it brings closes a key's open version, appends new
+ones, ends the last one on a termination, and erases the key's history on a
+cancellation; keys without an event come out as they went in. The result is what a full replay of
 everything delivered so far gives, whatever the order of delivery.
 
 Erased keys leave a tombstone, since a cancelled key stays erased whatever
@@ -17,10 +18,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkbook.operators.temporal import in_base_scope, replay_versions
@@ -44,11 +43,8 @@ class RegisterStore:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def _same(self, a: DataFrame, b: DataFrame, cols: Sequence[str]) -> Column:
-        return reduce(and_, [a[c].eqNullSafe(b[c]) for c in cols])
-
-    def _replayed(self, events: DataFrame) -> DataFrame:
-        out = replay_versions(events, None, self.keys, order=self.order, type_col=self.type_col, date_col=self.date_col, same_day=self.same_day)
+    def _replayed(self, events: DataFrame, then: Sequence[str] = ()) -> DataFrame:
+        out = replay_versions(events, None, self.keys, order=[*self.order, *then], type_col=self.type_col, date_col=self.date_col, same_day=self.same_day)
         return out.withColumn("erased", F.lit(False)).withColumn("bucket", self._bucket())
 
     def _tombstones(self, keys: DataFrame) -> DataFrame:
@@ -58,6 +54,7 @@ class RegisterStore:
         return events.filter(F.col(self.type_col) == "CANC").select(*self.keys).dropna()
 
     def _write(self, rows: DataFrame) -> None:
+        # The rows may be read from the buckets they replace: those are swapped when all is written.
         # A bucket above the advisory size is written by several tasks.
         rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path)
 
@@ -84,19 +81,18 @@ class RegisterStore:
             discard(events)
             return []
         stored = self.stored(spark).filter(F.col("bucket").isin(touched))
-        named = events.select(*[F.col(k).alias(f"__{k}") for k in self.keys]).distinct()
-        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in self.keys])
-        untouched, mine = stored.join(named, same, "left_anti"), stored.join(named, same, "left_semi")
-        gone = mine.filter("erased").select(*self.keys)
-        past = mine.filter(~F.col("erased")).withColumnRenamed("valid_from", self.date_col)
-        past = past.select(*[c for c in past.columns if c in events.columns])
-        again = [c for c in dict.fromkeys([*self.keys, *self.order]) if c in past.columns]
-        past = past.join(events, self._same(past, events, again), "left_anti")
-        replayed = self._replayed(past.unionByName(events, allowMissingColumns=True))
-        replayed = replayed.join(gone, self._same(replayed, gone, self.keys), "left_anti")
-        tombs = self._tombstones(gone.unionByName(self._cancelled(events)))
-        rows = materialise(untouched.unionByName(replayed, allowMissingColumns=True).unionByName(tombs, allowMissingColumns=True), "register")
-        self._write(rows)
-        discard(rows)
+        computed = [c for c in self._replayed(events).columns if c not in events.columns]
+        past = stored.withColumnsRenamed({"valid_from": self.date_col, "version_no": "__nth"}).drop(*[c for c in computed if c != "erased"])
+        # Versions of the delivered keys keep the columns that events have.
+        extra = [c for c in past.columns if c not in (*events.columns, "erased", "__nth")]
+        both = past.withColumn("__new", F.lit(False)).unionByName(events.withColumns({"__new": F.lit(True), "erased": F.lit(False)}), allowMissingColumns=True)
+        key = Window.partitionBy(*self.keys)
+        again = Window.partitionBy(*dict.fromkeys([*self.keys, *[c for c in self.order if c in events.columns and c in past.columns]]))
+        met = both.withColumns({"__gone": F.max("erased").over(key), "__named": F.max("__new").over(key), "__again": F.max("__new").over(again)})
+        live = met.filter(~F.col("__gone") & (F.col("__new") | ~F.col("__again"))).withColumns({c: F.when(~F.col("__named"), F.col(c)) for c in extra})
+        # Ties in the order keep the place they have.
+        replayed = self._replayed(live.drop("__new", "__gone", "__named", "__again", "erased"), ["__nth"]).drop("__nth")
+        tombs = self._tombstones(stored.filter("erased").select(*self.keys).unionByName(self._cancelled(events)))
+        self._write(replayed.unionByName(tombs, allowMissingColumns=True))
         discard(events)
         return touched

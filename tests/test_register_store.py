@@ -91,3 +91,23 @@ def test_a_register_may_start_empty(spark, tmp_path):
     store.apply(spark.createDataFrame([("I5", "XA", "NEW", BASE, "d", 1, "n5"), ("I5", "XA", "TERMNTD", BASE + dt.timedelta(days=2), "d", 2, "n5")], SCHEMA))
     got = [(r.version_no, r.valid_to, r.is_current, r.is_terminated) for r in store.read(spark).filter("isin = 'I5'").orderBy("version_no").collect()]
     assert got == [(1, BASE + dt.timedelta(days=1), False, False), (2, dt.date(9999, 12, 31), True, True)]
+
+
+def test_a_delivery_moves_the_register_once_by_key_and_once_by_bucket(spark, tmp_path, monkeypatch):
+    store = RegisterStore(str(tmp_path / "reg"), buckets=4)
+    store.create(spark.createDataFrame(base_rows(), SCHEMA))
+    plans = []
+    write = RegisterStore._write
+    monkeypatch.setattr(RegisterStore, "_write", lambda self, rows: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), write(self, rows)))
+    store.apply(spark.createDataFrame([("I1", "XA", "MODFD", BASE, "d", 1, "x"), ("I2", "XB", "CANC", BASE, "d", 2, None)], SCHEMA))
+    exchanges = [line for line in plans[0].splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2 and "Join" not in plans[0]  # versions with events; tombstones, which are keys alone
+
+
+def test_keys_without_an_event_keep_all_their_columns(spark, tmp_path):
+    """A delivery that lacks a column empties it for its own keys alone."""
+    store = RegisterStore(str(tmp_path / "reg"), buckets=1)
+    store.create(spark.createDataFrame(base_rows(), SCHEMA))
+    store.apply(spark.createDataFrame([("I1", "XA", "MODFD", BASE, "d", 1)], SCHEMA.replace(", name string", "")))
+    got = {(r.isin, r.version_no): r.name for r in store.read(spark).collect()}
+    assert got["I1", 1] is None and got["I1", 2] is None and got["I2", 1] == "n2" and got[None, 1] == "null key"

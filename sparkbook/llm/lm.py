@@ -336,13 +336,14 @@ class Grams:
         mu, asked = self.mu, self.gram >= 0
         p2, gram = self.p2.copy(), self.gram[asked]
         t = self.tot[gram]
-        p2[asked] = np.log10(np.minimum(own[gram], t / (t + mu)) + mu / (t + mu) * 10.0 ** self.p1[asked])
+        # Shares are of whole occurrences: rounding undoes the quantisation of small counts.
+        p2[asked] = np.log10((np.minimum(np.rint(own[gram] * (t + mu)), t) + mu * 10.0 ** self.p1[asked]) / (t + mu))
         if order == 2 or path is None:
             return p2
         after = np.flatnonzero(self.before >= 0)
         after = after[count[self.before[after]] > 0]
         pair, gram3 = self.before[after], self.gram3[after]
-        seen = np.where(gram3 >= 0, np.append(path, 0.0)[gram3], 0.0) * (self.tot[pair] + mu)
+        seen = np.rint(np.where(gram3 >= 0, np.append(path, 0.0)[gram3], 0.0) * (self.tot[pair] + mu))
         p3 = p2
         p3[after] = np.log10((np.minimum(seen, count[pair]) + mu * 10.0 ** p2[after]) / (count[pair] + mu))
         return p3
